@@ -21,13 +21,14 @@ from folio.jobs.returns import batch_return, overdue_fines_from_changes, return_
 from folio.oracle.jobs_sql import JOB_SQL
 from folio.quality.registry import QUALITY_QUERIES, QUALITY_SQL
 from folio.sources import requests as rq
+from folio.sources.catalog import library_for
 from folio.sources.library import Library
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _lib(spark: SparkSession, sf_dir: str) -> Library:
-    return Library.from_driver(spark, sf_dir)
+    return library_for(spark, sf_dir)
 
 
 def w1_fine_days(spark: SparkSession, sf_dir: str) -> DataFrame:

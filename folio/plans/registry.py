@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from folio.plans import aggregates, basic, joins, setops, subqueries, tuned, windows
 from folio.plans.member_report import member_report
+from folio.sources.catalog import library_for
 from folio.sources.library import Library
 
 ReportFn = Callable[[Library], DataFrame]
@@ -84,6 +85,6 @@ REPORTS.update({
 def on_driver_tables(fn: ReportFn) -> Callable[[SparkSession, str], DataFrame]:
     """Adapt a Library function to the (spark, sf_dir) signature."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Library.from_driver(spark, sf_dir))
+        return fn(library_for(spark, sf_dir))
     run.__name__ = getattr(fn, "__name__", "query")
     return run

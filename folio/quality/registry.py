@@ -12,6 +12,7 @@ from folio.oracle.prefix import with_library
 from folio.quality.rules import (CHECKS, DOMAINS, FOREIGN_KEYS, LENGTHS, NOT_NULL, UNIQUE, apply_defaults,
                                  delete_books_plan, foreign_keys, row_rules, unique_keys)
 from folio.sources import requests as rq
+from folio.sources.catalog import library_for
 from folio.sources.library import Library
 
 # The derived fixture has no audit_log rows to check; the rules cover it.
@@ -19,7 +20,7 @@ CHECKED_TABLES = [t for t in NOT_NULL]
 
 
 def _lib(spark: SparkSession, sf_dir: str) -> Library:
-    return Library.from_driver(spark, sf_dir)
+    return library_for(spark, sf_dir)
 
 
 def v_row_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
