@@ -5,14 +5,16 @@ one window partition. When a single member (say) owns a large share of all
 rows, that one task does the work of the whole job. ``chunked_lag`` splits
 each group into chunks of the ordering (e.g. calendar months):
 
-1. LAG inside (p, chunk) — bounded window partitions;
-2. the last value of every (p, chunk), an aggregate (map-side combined);
-3. LAG of that last value over the chunks of p — one row per chunk, so the
-   window is bounded by the calendar, not by the data;
-4. the first row of each chunk takes the previous chunk's last value.
-
-The chunk column must be non-decreasing in the order columns inside a group,
-and the order columns must be unique inside a group (add a tie-break key).
+1. the last value of every (p, chunk) — an aggregate, combined map-side;
+2. LAG of that value over the chunks of p — one row per chunk, so this
+   window is bounded by the number of chunks, not by the data;
+3. that value is added as a sentinel row that sorts first in its chunk, and
+   LAG runs inside (p, chunk): the first real row of a chunk picks up the
+   previous chunk's last value from the sentinel. Sentinels are dropped.
+
+The big table is shuffled once (for the window on (p, chunk)); step 3 is a
+union, not a join. The chunk column must be non-decreasing in the order
+columns inside a group, and the order columns must be unique inside a group.
 """
 
 from __future__ import annotations
@@ -27,13 +29,15 @@ def chunked_lag(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequen
                 value_col: str, chunk_col: str, out_col: str) -> DataFrame:
     part = list(partition_cols)
     order = [F.col(c) for c in order_cols]
-    in_chunk = Window.partitionBy(*part, chunk_col).orderBy(*order)
-    rows = (df.withColumn("_prev_in", F.lag(value_col).over(in_chunk))
-              .withColumn("_first", F.row_number().over(in_chunk) == 1))
-    last = df.groupBy(*part, chunk_col).agg(
-        F.max_by(F.col(value_col), F.struct(*order)).alias("_last"))
+    last = df.groupBy(*part, chunk_col).agg(F.max_by(F.col(value_col), F.struct(*order)).alias("_last"))
     by_chunk = Window.partitionBy(*part).orderBy(chunk_col)
-    prev_chunk = last.select(*part, chunk_col, F.lag("_last").over(by_chunk).alias("_prev_chunk"))
-    return (rows.join(prev_chunk, [*part, chunk_col])
-            .withColumn(out_col, F.when(F.col("_first"), F.col("_prev_chunk")).otherwise(F.col("_prev_in")))
-            .drop("_prev_in", "_first", "_prev_chunk"))
+    carried = (last.select(*part, chunk_col, F.lag("_last").over(by_chunk).alias("_carry"))
+               .filter(F.col("_carry").isNotNull()))
+    real = df.withColumn("_sentinel", F.lit(False))
+    sentinels = carried.select(*part, chunk_col, F.col("_carry").alias(value_col),
+                               F.lit(True).alias("_sentinel"))
+    both = real.unionByName(sentinels, allowMissingColumns=True)
+    in_chunk = Window.partitionBy(*part, chunk_col).orderBy(F.col("_sentinel").desc(), *order)
+    return (both.withColumn(out_col, F.lag(value_col).over(in_chunk))
+            .filter(~F.col("_sentinel"))
+            .drop("_sentinel"))

@@ -3,8 +3,8 @@
 Windows without PARTITION BY (8.1, 8.2, 8.7) are computed from small value
 tables (``folio.operators.ranking``) so that no step sends all rows to one
 task; the per-member LAG of 8.8 is computed chunk by chunk
-(``folio.operators.lag``). 8.6 orders the table of days, which is bounded by
-the calendar.
+(``folio.operators.lag``), as is the per-name LAG of 8.4. 8.6 orders the
+table of days, which is bounded by the calendar.
 """
 
 from __future__ import annotations
@@ -62,17 +62,18 @@ def q8_3_top3_per_genre(lib: Library, k: int = 3) -> DataFrame:
 
 
 def q8_4_monthly_change(lib: Library) -> DataFrame:
-    """Member-month loan counts with the previous row of the same member name.
+    """Member-month loan counts with the previous row of the same member name
+    (the reference partitions by name, so namesakes share one sequence).
 
-    The window runs over member-month aggregates, at most one row per month per
-    member, so its partitions are bounded by the calendar."""
+    Many members can share a name, so the LAG runs per chunk of
+    (month, block of member ids) — see operators.lag."""
     monthly = (lib.loans.groupBy("member_id", year_month("loan_date").alias("loan_month"))
                .agg(F.count("loan_id").alias("monthly_loans"))
-               .join(lib.members.select("member_id", full_name().alias("member_name")), "member_id"))
-    w = Window.partitionBy("member_name").orderBy("loan_month", "member_id")
-    prev = F.lag("monthly_loans").over(w)
-    return (monthly.withColumn("prev_month_loans", prev)
-            .withColumn("difference", F.col("monthly_loans") - F.col("prev_month_loans"))
+               .join(lib.members.select("member_id", full_name().alias("member_name")), "member_id")
+               .withColumn("_chunk", F.struct("loan_month", F.floor(F.col("member_id") / F.lit(1 << 16)))))
+    lagged = chunked_lag(monthly, ["member_name"], ["loan_month", "member_id"], "monthly_loans", "_chunk",
+                         "prev_month_loans")
+    return (lagged.withColumn("difference", F.col("monthly_loans") - F.col("prev_month_loans"))
             .select("member_name", "loan_month", "monthly_loans", "prev_month_loans", "difference")
             .orderBy("member_name", "loan_month"))
 
