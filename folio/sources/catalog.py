@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -25,6 +26,7 @@ DRIVER_INPUTS = ("supplier", "nation", "customer", "part", "orders", "events")
 MARKER = "_folio_complete"
 
 _state = {"root": None, "ready": set(), "enabled": True, "libs": {}}
+_lock = threading.Lock()
 
 
 def set_root(path: str | None) -> None:
@@ -70,6 +72,13 @@ def materialize(spark: SparkSession, sf_dir: str) -> str:
     fp = fingerprint(sf_dir)
     root = _state["root"] or scratch_dir(spark, "library")
     path = f"{root.rstrip('/')}/{fp}"
+    if path in _state["ready"]:
+        return path
+    with _lock:
+        return _materialize_locked(spark, sf_dir, path, fp)
+
+
+def _materialize_locked(spark: SparkSession, sf_dir: str, path: str, fp: str) -> str:
     if path in _state["ready"]:
         return path
     if not _complete(spark, path, fp):

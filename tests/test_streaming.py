@@ -1,0 +1,44 @@
+"""The trigger jobs on a stream of change records give the batch results."""
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from conftest import rows
+from folio.jobs.changes import audit_member_updates
+from folio.jobs.returns import overdue_fines_from_changes
+from folio.sources import requests as rq
+from folio.streaming.triggers import (loan_change_records, start_member_audit_stream,
+                                      start_overdue_fines_stream)
+
+
+def test_overdue_fines_stream_matches_batch(spark, sf0001_lib):
+    lib = sf0001_lib
+    old, new = rq.loan_changes(lib)
+    base = tempfile.mkdtemp(prefix="folio-stream-")
+    source, sink = os.path.join(base, "changes"), os.path.join(base, "fines")
+    # three files -> three micro-batches (one file per trigger)
+    loan_change_records(old, new).withColumn("_part", F.col("loan_id") % 3).repartition(3, "_part") \
+        .drop("_part").write.parquet(source)
+    q = start_overdue_fines_stream(spark, lib, source, sink, checkpoint=os.path.join(base, "ckpt"),
+                                   max_files_per_trigger=1)
+    q.awaitTermination(300)
+    got = spark.read.parquet(sink)
+    want = overdue_fines_from_changes(old, new, lib)
+    assert sorted(rows(got, "loan_id", "fine_amount", "fine_reason", "paid")) == \
+        sorted(rows(want, "loan_id", "fine_amount", "fine_reason", "paid"))
+    ids = [r[0] for r in rows(got, "fine_id")]
+    max_existing = lib.fines.agg(F.max("fine_id")).collect()[0][0]
+    assert len(ids) == len(set(ids)) and min(ids) > max_existing
+    assert got.select("batch_id").distinct().count() >= 2
+
+
+def test_member_audit_stream_matches_batch(spark, sf0001_lib):
+    old, new = rq.member_changes(sf0001_lib)
+    base = tempfile.mkdtemp(prefix="folio-stream-")
+    source, sink = os.path.join(base, "changes"), os.path.join(base, "audit")
+    old.select("member_id", F.col("first_name").alias("old_first_name"), F.col("last_name").alias("old_last_name"),
+               F.col("status").alias("old_status"), F.lit("suspended").alias("new_status")).write.parquet(source)
+    start_member_audit_stream(spark, source, sink, checkpoint=os.path.join(base, "ckpt")).awaitTermination(300)
+    got = spark.read.parquet(sink).drop("batch_id")
+    assert sorted(rows(got)) == sorted(rows(audit_member_updates(old, new)))
