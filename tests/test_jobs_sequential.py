@@ -222,3 +222,23 @@ def test_batch_return_equals_sequential(spark, seed):
     out = batch_return(spark.createDataFrame([(m,) for m in who], "member_id long"), lib, AS_OF)
     assert sorted(rows(out["new_fines"], "loan_id", "fine_amount")) == sorted(want_fines)
     assert sorted(rows(out["audit"], "record_id", "description")) == sorted(want_audit)
+
+
+def test_applied_returns_are_not_returned_twice(spark):
+    """Chaining: apply W3's output to the tables, run the same requests again."""
+    from folio.jobs.sink import apply_changes
+    rnd, members, copies, loans, fines = make_state(21)
+    lib = to_library(spark, members, copies, loans, fines)
+    reqs = spark.createDataFrame([(rid, lid) for rid, lid in enumerate(range(1, 161), 1)],
+                                 "request_id long, loan_id long")
+    out = return_batch(reqs, lib, AS_OF)
+    n_returned = out["updated_loans"].count()
+    assert n_returned == sum(1 for l in loans.values() if l["status"] == "active")
+    new_loans = apply_changes(lib.loans, updates=out["updated_loans"], keys=["loan_id"])
+    new_fines = apply_changes(lib.fines, inserts=out["new_fines"])
+    assert new_loans.count() == lib.loans.count()
+    assert new_fines.count() == lib.fines.count() + out["new_fines"].count()
+    lib2 = Library.from_frames(spark, members=lib.members, books=lib.books, book_copies=lib.book_copies,
+                               loans=new_loans, fines=new_fines, authors=lib.authors)
+    again = return_batch(reqs, lib2, AS_OF)
+    assert {r[0] for r in rows(again["results"], "message")} == {msg.LOAN_NOT_FOUND}
