@@ -82,7 +82,7 @@ def _materialize_locked(spark: SparkSession, sf_dir: str, path: str, fp: str) ->
     if path in _state["ready"]:
         return path
     if not _complete(spark, path, fp):
-        Library.from_driver(spark, sf_dir).write_parquet(path)
+        Library.store_from_driver(spark, sf_dir, path)
         spark.createDataFrame([(fp,)], "fingerprint string").coalesce(1).write.mode("overwrite").parquet(
             f"{path}/{MARKER}")
     _state["ready"].add(path)

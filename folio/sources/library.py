@@ -15,7 +15,7 @@ Everything is lazy: building a Library runs no job.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
@@ -192,8 +192,9 @@ class Library:
             return lambda: spark.read.schema(LIBRARY_SCHEMAS[name]).parquet(f"{base}/{name}")
         return cls({name: reader(name) for name in TABLES})
 
-    def write_parquet(self, path: str, mode: str = "overwrite", parallel: int = 4) -> None:
-        """Store every table under ``path`` (sorted per LAYOUT). Tables are
+    def write_parquet(self, path: str, mode: str = "overwrite", parallel: int = 6,
+                      names: Sequence[str] = TABLES) -> None:
+        """Store tables under ``path`` (sorted per LAYOUT). Tables are
         independent jobs, submitted from a few threads so small tables do not
         wait for each other."""
         base = path.rstrip("/")
@@ -207,12 +208,36 @@ class Library:
             df.write.mode(mode).parquet(f"{base}/{name}")
 
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-            list(pool.map(write, TABLES))
+            list(pool.map(write, names))
+
+    @classmethod
+    def store_from_driver(cls, spark: SparkSession, sf_dir: str, path: str) -> None:
+        """Derive and write all tables in dependency waves: tables built on
+        books and loans read the written copies, so the orders-parts join
+        behind loans runs once and lineage is cut after each wave."""
+        base = path.rstrip("/")
+
+        def read(name: str) -> DataFrame:
+            return spark.read.schema(LIBRARY_SCHEMAS[name]).parquet(f"{base}/{name}")
+
+        cls.from_driver(spark, sf_dir).write_parquet(
+            base, names=["books", "authors", "members", "lib_events", "event_registrations", "audit_log"])
+        cls.from_driver(spark, sf_dir, stored={"books": read("books")}).write_parquet(
+            base, names=["loans", "book_copies"])
+        cls.from_driver(spark, sf_dir, stored={"books": read("books"), "loans": read("loans")}).write_parquet(
+            base, names=["fines"])
 
     # ------------------------------------------------------------- derivation
     @classmethod
-    def from_driver(cls, spark: SparkSession, sf_dir: str) -> "Library":
-        """Derive the library tables from the driver's star schema (FIXTURES.md)."""
+    def from_driver(cls, spark: SparkSession, sf_dir: str, stored: Mapping[str, DataFrame] | None = None
+                    ) -> "Library":
+        """Derive the library tables from the driver's star schema (FIXTURES.md).
+
+        ``stored`` may hold already written tables (books, loans): tables
+        derived from them read the written copy instead of re-deriving it.
+        """
+        stored = dict(stored or {})
+
         def rd(name: str) -> DataFrame:
             return read_driver(spark, sf_dir, name)
 
@@ -259,6 +284,7 @@ class Library:
             (F.lit(1) + F.col("p_size") % 4).alias("total_copies"),
         )
 
+        books = stored.get("books", books)
         copy_no = F.col("copy_number")
         book_copies = (
             books.select("book_id", F.explode(F.sequence(F.lit(1), F.col("total_copies"))).alias("copy_number"))
@@ -293,6 +319,7 @@ class Library:
             )
         )
 
+        loans = stored.get("loans", loans)
         lid = F.col("loan_id")
 
         def fine_rows(selector: Column, fine_id: Column, paid: Column) -> DataFrame:
