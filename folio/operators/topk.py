@@ -32,3 +32,15 @@ def keep_top_k_with_ties(df: DataFrame, col: str, k: int, descending: bool = Tru
 
 def top_k(df: DataFrame, k: int, *order) -> DataFrame:
     return df.orderBy(*order).limit(k)
+
+
+def enrich_top_k(top: DataFrame, *lookups: tuple[DataFrame, str | list[str], str]) -> DataFrame:
+    """Join lookup tables to the result of a top-k, keeping the k rows as the
+    broadcast side of every join: the k rows are a proven size bound, so the
+    large lookup tables are only scanned, never shuffled.
+
+    ``lookups`` are ``(table, join key(s), how)`` applied in order."""
+    out = top
+    for table, key, how in lookups:
+        out = F.broadcast(out).join(table, key, how)
+    return out

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from folio.config import AS_OF, AS_OF_EVENTS, RECENT_JOIN_DAYS, UPCOMING_EVENT_DAYS
 from folio.functions.scalar import days_between, full_name
+from folio.operators.topk import enrich_top_k
 from folio.sources.library import Library
 
 
@@ -68,8 +69,8 @@ def q3_7_top_unpaid_fines(lib: Library, k: int = 10) -> DataFrame:
     top = (lib.fines.filter(F.col("paid") == F.lit(False))
            .orderBy(F.col("fine_amount").desc(), F.col("fine_id")).limit(k)
            .select("fine_id", "loan_id", "fine_amount", "fine_reason"))
-    return (top.join(lib.loans.select("loan_id", "member_id", "loan_date"), "loan_id")
-            .join(lib.members.select("member_id", full_name().alias("member_name")), "member_id")
+    return (enrich_top_k(top, (lib.loans.select("loan_id", "member_id", "loan_date"), "loan_id", "inner"),
+                         (lib.members.select("member_id", full_name().alias("member_name")), "member_id", "inner"))
             .orderBy(F.col("fine_amount").desc(), F.col("fine_id"))
             .select("member_name", "fine_amount", "fine_reason", "loan_date"))
 

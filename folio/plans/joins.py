@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from folio.config import AS_OF, AS_OF_EVENTS
 from folio.functions.scalar import days_between, full_name, ratio_round
 from folio.operators.pairs import pairs_within_key
+from folio.operators.topk import enrich_top_k
 from folio.plans.common import active_loans_per_copy, book_author, loans_per_book, unpaid_fines_per_loan
 from folio.sources.library import Library
 
@@ -19,10 +20,12 @@ def q5_1_loan_history(lib: Library, k: int = 20) -> DataFrame:
     loan_id) is taken on loans alone; the joins follow foreign keys."""
     order = [F.col("loan_date").desc(), F.col("loan_id").desc()]
     top = lib.loans.orderBy(*order).limit(k)
-    return (top.join(lib.members.select("member_id", full_name().alias("member_name"), "email"), "member_id")
-            .join(lib.book_copies.select("copy_id", "book_id"), "copy_id")
-            .join(book_author(lib).select("book_id", F.col("title").alias("book_title"),
-                                          F.col("author_name").alias("author")), "book_id")
+    books = book_author(lib).select("book_id", F.col("title").alias("book_title"), F.col("author_name").alias("author"))
+    return (enrich_top_k(top,
+                         (lib.members.select("member_id", full_name().alias("member_name"), "email"), "member_id",
+                          "inner"),
+                         (lib.book_copies.select("copy_id", "book_id"), "copy_id", "inner"),
+                         (books, "book_id", "inner"))
             .orderBy(*order)
             .select("member_name", "email", "book_title", "author", "loan_date", "due_date",
                     "return_date", "status"))

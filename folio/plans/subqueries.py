@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folio.config import MEMBERSHIP_FEE
 from folio.functions.scalar import full_name, ratio_round, year_month
 from folio.operators.ranking import sequence_within
+from folio.operators.topk import enrich_top_k
 from folio.plans.common import book_author, loans_per_book, unpaid_fines_per_loan
 from folio.sources.library import Library
 
@@ -158,8 +159,8 @@ def q6_8_recommendations(lib: Library, k: int = 5) -> DataFrame:
     unread = (first.unionByName(after_read).distinct()
               .join(read_fav, ["member_id", "genre", "rk"], "left_anti"))
     recs = unread.join(ranked, ["genre", "rk"])
-    return (recs.orderBy("member_id", "book_id").limit(k)
-            .join(lib.members.select("member_id", full_name().alias("member_name")), "member_id")
+    top = recs.orderBy("member_id", "book_id").limit(k)
+    return (enrich_top_k(top, (lib.members.select("member_id", full_name().alias("member_name")), "member_id", "inner"))
             .orderBy("member_id", "book_id")
             .select("member_name", F.col("genre").alias("favorite_genre"),
                     F.col("title").alias("recommended_book")))
