@@ -7,8 +7,9 @@ the same numbers from small derived tables:
 * ``sequence_within`` — ROW_NUMBER inside a group, through per-block counts and
   prefix sums: only the block table (rows / block_width per group) is ordered
   as a whole; rows are numbered inside bounded blocks.
-* ``rank_by_value`` — RANK / DENSE_RANK from the table of distinct values.
-* ``percent_rank_by_value`` — PERCENT_RANK from the same value table.
+* ``rank_by_value`` — RANK / DENSE_RANK from the table of distinct values,
+  itself ranked block-wise along the value range (``value_ranks``).
+* ``percent_rank_by_value`` — PERCENT_RANK from the same value ranks.
 * ``running_total_by_key`` — SUM() OVER (ORDER BY k) with the default RANGE
   frame, from per-key sums (peers share the value, as in SQL).
 
@@ -53,39 +54,56 @@ def sequence_within(df: DataFrame, partition_cols: Sequence[str], order_cols: Se
             .drop("_blk", "_off"))
 
 
-def rank_by_value(df: DataFrame, value_col: str, descending: bool = True,
-                  rank_col: str | None = "rank", dense_col: str | None = "dense_rank") -> DataFrame:
-    """RANK() and DENSE_RANK() OVER (ORDER BY value_col) for every row of ``df``.
+def value_ranks(df: DataFrame, value_col: str, descending: bool, block_width: float) -> DataFrame:
+    """For every distinct value of ``value_col`` (numeric): ``_v``, the number of
+    rows ordered before it (``_rows_before``), the number of distinct values
+    ordered before it (``_vals_before``) and its own row count (``_c``).
+
+    The distinct values are cut into blocks of ``block_width`` along the value
+    range (NULL in its own block: first ascending, last descending, as in SQL);
+    only the per-block table is ordered as a whole, values are ordered inside
+    their block. No step holds more than one block of distinct values."""
+    vals = df.groupBy(F.col(value_col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    key = -F.col("_v") if descending else F.col("_v")
+    edge = F.lit(2 ** 62 if descending else -(2 ** 62)).cast("long")
+    blk = F.when(F.col("_v").isNull(), edge).otherwise(F.floor(key / F.lit(block_width)).cast("long"))
+    tagged = vals.withColumn("_key", key).withColumn("_blk", blk)
+    blocks = tagged.groupBy("_blk").agg(F.sum("_c").alias("_bc"), F.count(F.lit(1)).alias("_bv"))
+    before = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select("_blk", F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off_rows"),
+                            F.coalesce(F.sum("_bv").over(before), F.lit(0)).alias("_off_vals"))
+    inside = Window.partitionBy("_blk").orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
+    return (tagged.join(offsets, "_blk")
+            .select("_v", "_c",
+                    (F.col("_off_rows") + F.coalesce(F.sum("_c").over(inside), F.lit(0))).cast("long")
+                    .alias("_rows_before"),
+                    (F.col("_off_vals") + F.coalesce(F.count(F.lit(1)).over(inside), F.lit(0))).cast("long")
+                    .alias("_vals_before")))
 
-    The ordering runs over the distinct values only; their number is bounded
-    (for counts: at most sqrt(2 * total)), so that table is small.
-    """
-    vals = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_n"))
-    order = _order(value_col, descending)
-    before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    cols = [F.col(value_col).alias("_v")]
+
+def rank_by_value(df: DataFrame, value_col: str, descending: bool = True,
+                  rank_col: str | None = "rank", dense_col: str | None = "dense_rank",
+                  block_width: float = DEFAULT_BLOCK_WIDTH) -> DataFrame:
+    """RANK() and DENSE_RANK() OVER (ORDER BY value_col) for every row of ``df``,
+    from the distinct values (``value_ranks``), joined back on the value."""
+    ranks = value_ranks(df, value_col, descending, block_width)
+    cols = [F.col("_v")]
     if rank_col:
-        cols.append((F.lit(1) + F.coalesce(F.sum("_n").over(before), F.lit(0))).cast("long").alias(rank_col))
+        cols.append((F.col("_rows_before") + 1).alias(rank_col))
     if dense_col:
-        cols.append(F.row_number().over(Window.orderBy(order)).cast("long").alias(dense_col))
-    ranked = vals.select(*cols)
-    return (df.join(ranked, F.col(value_col).eqNullSafe(F.col("_v"))).drop("_v"))
+        cols.append((F.col("_vals_before") + 1).alias(dense_col))
+    return df.join(ranks.select(*cols), F.col(value_col).eqNullSafe(F.col("_v"))).drop("_v")
 
 
 def percent_rank_by_value(df: DataFrame, value_col: str, out_rank: str = "_rank",
-                          out_n: str = "_n_rows") -> DataFrame:
+                          out_n: str = "_n_rows", block_width: float = DEFAULT_BLOCK_WIDTH) -> DataFrame:
     """Adds RANK() OVER (ORDER BY value_col ASC) and the row count, so that
     PERCENT_RANK = (rank - 1) / (n - 1) (0 when n = 1) can be formed exactly."""
-    vals = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_c"))
-    order = _order(value_col, False)
-    before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = vals.select(
-        F.col(value_col).alias("_v"),
-        (F.lit(1) + F.coalesce(F.sum("_c").over(before), F.lit(0))).cast("long").alias(out_rank),
-        F.sum("_c").over(everything).cast("long").alias(out_n),
-    )
-    return df.join(ranked, F.col(value_col).eqNullSafe(F.col("_v"))).drop("_v")
+    ranks = value_ranks(df, value_col, False, block_width)
+    n_rows = df.select(F.count(F.lit(1))).scalar()
+    return (df.join(ranks.select("_v", (F.col("_rows_before") + 1).alias(out_rank)),
+                    F.col(value_col).eqNullSafe(F.col("_v")))
+            .drop("_v").withColumn(out_n, n_rows))
 
 
 def running_total_by_key(df: DataFrame, key_col: str, value_col: str, out_col: str,

@@ -103,7 +103,8 @@ def q8_7_fine_percentile(lib: Library) -> DataFrame:
             .join(lib.loans.select("loan_id", "member_id"), "loan_id")
             .join(lib.members.select("member_id", full_name().alias("member_name")), "member_id")
             .select("member_name", "fine_amount"))
-    ranked = percent_rank_by_value(rows, "fine_amount", out_rank="_r", out_n="_n")
+    # blocks of 100 currency units: at most 10,000 distinct cent amounts each
+    ranked = percent_rank_by_value(rows, "fine_amount", out_rank="_r", out_n="_n", block_width=100)
     pct = F.when(F.col("_n") == 1, F.lit(0.0)).otherwise(
         ratio_round(F.col("_r") - 1, F.col("_n") - 1, 2, mult=100))
     return (ranked.select("member_name", "fine_amount", pct.alias("percentile_rank"))

@@ -50,16 +50,25 @@ def test_sequence_without_groups(df):
 
 
 @pytest.mark.parametrize("desc", [True, False])
-def test_rank_by_value(df, desc):
-    order = F.col("v").desc() if desc else F.col("v").asc()
+@pytest.mark.parametrize("col,width", [("v", 1 << 16), ("v", 2), ("nv", 3), ("id", 50)])
+def test_rank_by_value(df, desc, col, width):
+    order = F.col(col).desc() if desc else F.col(col).asc()      # SQL null order: first asc, last desc
     want = df.select("id", F.rank().over(Window.orderBy(order)).cast("long").alias("r"),
                      F.dense_rank().over(Window.orderBy(order)).cast("long").alias("dr"))
-    got = rank_by_value(df, "v", descending=desc, rank_col="r", dense_col="dr")
+    got = rank_by_value(df, col, descending=desc, rank_col="r", dense_col="dr", block_width=width)
     assert sorted(rows(got, "id", "r", "dr")) == sorted(rows(want, "id", "r", "dr"))
 
 
+@pytest.mark.parametrize("width", [1 << 16, 0.5, 4])
+def test_rank_by_decimal_value(spark, width):
+    data = spark.createDataFrame([(i, Decimal(i * 37 % 101) / 4) for i in range(300)], "id long, amt decimal(10,2)")
+    want = data.select("id", F.rank().over(Window.orderBy("amt")).cast("long").alias("r"))
+    got = rank_by_value(data, "amt", descending=False, rank_col="r", dense_col=None, block_width=width)
+    assert sorted(rows(got, "id", "r")) == sorted(rows(want, "id", "r"))
+
+
 def test_percent_rank_by_value(df):
-    got = percent_rank_by_value(df, "v", out_rank="r", out_n="n").select(
+    got = percent_rank_by_value(df, "v", out_rank="r", out_n="n", block_width=3).select(
         "id", ((F.col("r") - 1) / (F.col("n") - 1)).alias("p"))
     want = df.select("id", F.percent_rank().over(Window.orderBy("v")).alias("p"))
     g = dict(rows(got, "id", "p"))
