@@ -46,7 +46,9 @@ def fresh_root(spark: SparkSession) -> str:
     return path
 
 
-def fingerprint(sf_dir: str) -> str:
+def fingerprint(sf_dir: str, spark: SparkSession | None = None) -> str:
+    """Identity of the driver inputs: sizes and modification times of local
+    files; for other file systems, the list of input files Spark reads."""
     h = hashlib.sha1(LAYOUT_VERSION.encode())
     h.update(os.path.abspath(sf_dir).encode() if "://" not in sf_dir else sf_dir.encode())
     for name in DRIVER_INPUTS:
@@ -56,6 +58,12 @@ def fingerprint(sf_dir: str) -> str:
             h.update(f"{name}:{st.st_size}:{st.st_mtime_ns}".encode())
         except OSError:
             h.update(name.encode())
+            if spark is not None:
+                try:
+                    h.update("|".join(sorted(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+                                             .inputFiles())).encode())
+                except Exception:
+                    pass
     return h.hexdigest()[:16]
 
 
@@ -69,7 +77,7 @@ def _complete(spark: SparkSession, path: str, fp: str) -> bool:
 
 def materialize(spark: SparkSession, sf_dir: str) -> str:
     """Write the derived library tables once; return their folder."""
-    fp = fingerprint(sf_dir)
+    fp = fingerprint(sf_dir, spark)
     root = _state["root"] or scratch_dir(spark, "library")
     path = f"{root.rstrip('/')}/{fp}"
     if path in _state["ready"]:
