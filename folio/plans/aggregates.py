@@ -1,4 +1,4 @@
-"""Aggregation reports (goal 4)."""
+"""Aggregation reports (group 4)."""
 
 from __future__ import annotations
 

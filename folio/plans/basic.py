@@ -1,4 +1,4 @@
-"""Basic reports: filters, projections, sorts, small joins (goal 3)."""
+"""Basic reports: filters, projections, sorts, small joins (group 3)."""
 
 from __future__ import annotations
 

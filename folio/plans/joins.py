@@ -1,4 +1,4 @@
-"""Join reports (goal 5)."""
+"""Join reports (group 5)."""
 
 from __future__ import annotations
 

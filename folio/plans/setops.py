@@ -1,4 +1,4 @@
-"""Set-operation reports (goal 7)."""
+"""Set-operation reports (group 7)."""
 
 from __future__ import annotations
 

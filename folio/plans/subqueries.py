@@ -1,4 +1,4 @@
-"""Subquery and CTE reports (goal 6)."""
+"""Subquery and CTE reports (group 6)."""
 
 from __future__ import annotations
 

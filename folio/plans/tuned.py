@@ -1,4 +1,4 @@
-"""The queries of the index/EXPLAIN exercise (goal 11).
+"""The queries of the index/EXPLAIN exercise (group 11).
 
 The reference tunes them with secondary indexes; on Spark the same work is
 done by column pruning and Parquet predicate pushdown (see ``explain()``)."""

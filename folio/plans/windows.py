@@ -1,4 +1,4 @@
-"""Window-function reports (goal 8).
+"""Window-function reports (group 8).
 
 Windows without PARTITION BY (8.1, 8.2, 8.7) are computed from small value
 tables (``folio.operators.ranking``) so that no step sends all rows to one

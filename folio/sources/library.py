@@ -117,7 +117,7 @@ ACQUISITION_ORIGIN = _dt.date(1994, 1, 1)
 
 
 # Layout of stored library tables: the Spark counterpart of the reference's
-# secondary indexes (goal 11.2). Rows are sorted inside each file by the
+# secondary indexes (report group 11). Rows are sorted inside each file by the
 # indexed columns, so Parquet min/max statistics let filtered scans skip row
 # groups; joins and aggregates are left to the planner.
 LAYOUT = {
