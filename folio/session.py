@@ -42,9 +42,10 @@ def build_session(master: str | None = None, app_name: str = "folio",
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Apply the SQL settings to an already running session (e.g. the driver's)."""
+    """Apply the adaptive-execution settings to an already running session
+    (e.g. one created by a caller); other settings of that session are kept."""
     for key, value in DEFAULT_CONF.items():
-        if key.startswith("spark.sql."):
+        if key.startswith("spark.sql.adaptive."):
             try:
                 spark.conf.set(key, value)
             except Exception:  # static conf on an existing session: keep theirs
