@@ -40,9 +40,9 @@ def return_batch(requests: DataFrame, lib: Library, as_of: _dt.date = AS_OF) ->
     """
     req = requests.select("request_id", "loan_id")
     first = req.groupBy("loan_id").agg(F.min("request_id").alias("_first"))
-    j = (req.join(first, "loan_id")
+    j = (req.join(first, "loan_id", "left")
          .join(lib.loans.filter(F.col("status") == "active").select(*LOAN_COLUMNS), "loan_id", "left"))
-    ok = F.col("status").isNotNull() & (F.col("request_id") == F.col("_first"))
+    ok = F.coalesce(F.col("status").isNotNull() & (F.col("request_id") == F.col("_first")), F.lit(False))
     days_late = fine_days("due_date", F.lit(as_of))
     staged = (j.withColumn("_ok", ok).withColumn("_days", days_late)
               .withColumn("_late", F.col("_ok") & (F.col("_days") > 0)))

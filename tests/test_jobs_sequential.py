@@ -242,3 +242,15 @@ def test_applied_returns_are_not_returned_twice(spark):
                                loans=new_loans, fines=new_fines, authors=lib.authors)
     again = return_batch(reqs, lib2, AS_OF)
     assert {r[0] for r in rows(again["results"], "message")} == {msg.LOAN_NOT_FOUND}
+
+
+def test_requests_with_null_keys_get_not_found_messages(spark):
+    rnd, members, copies, loans, fines = make_state(31)
+    lib = to_library(spark, members, copies, loans, fines)
+    out = return_batch(spark.createDataFrame([(1, None), (2, 99999)], "request_id long, loan_id long"), lib, AS_OF)
+    assert sorted(rows(out["results"], "request_id", "message")) == [(1, msg.LOAN_NOT_FOUND), (2, msg.LOAN_NOT_FOUND)]
+    co = checkout_batch(spark.createDataFrame([(1, None, 11), (2, 1, None)], "request_id long, member_id long, "
+                                              "copy_id long"), lib, AS_OF)
+    got = dict(rows(co["results"], "request_id", "message"))
+    assert got[1] == msg.MEMBER_NOT_FOUND
+    assert got[2] in (msg.COPY_NOT_FOUND, msg.MEMBER_NOT_ACTIVE)
