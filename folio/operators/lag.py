@@ -1,20 +1,23 @@
-"""LAG over a group that may be hot, computed chunk by chunk.
+"""LAG over groups that may be hot, with hot groups computed chunk by chunk.
 
 ``LAG(x) OVER (PARTITION BY p ORDER BY o)`` puts every row of a group into
 one window partition. When a single member (say) owns a large share of all
-rows, that one task does the work of the whole job. ``chunked_lag`` splits
-each group into chunks of the ordering (e.g. calendar months):
+rows, that one task does the work of the whole job. ``chunked_lag`` finds
+the hot groups (more than ``hot_rows`` rows; a bounded, broadcast table, see
+``operators.skew``) and splits only those into chunks of the ordering (e.g.
+calendar months):
 
-1. the last value of every (p, chunk) — an aggregate, combined map-side;
+1. the last value of every (hot p, chunk) — an aggregate, combined map-side;
 2. LAG of that value over the chunks of p — one row per chunk, so this
    window is bounded by the number of chunks, not by the data;
 3. that value is added as a sentinel row that sorts first in its chunk, and
    LAG runs inside (p, chunk): the first real row of a chunk picks up the
    previous chunk's last value from the sentinel. Sentinels are dropped.
 
-The big table is shuffled once (for the window on (p, chunk)); step 3 is a
-union, not a join. The chunk column must be non-decreasing in the order
-columns inside a group, and the order columns must be unique inside a group.
+Groups that are not hot form a single chunk, which is exactly the plain
+window. The big table is shuffled once (for the window); step 3 is a union,
+not a join. The chunk column must be non-decreasing in the order columns
+inside a group, and the order columns must be unique inside a group.
 """
 
 from __future__ import annotations
@@ -24,20 +27,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from folio.operators.skew import DEFAULT_HOT_ROWS, tag_hot
+
 
 def chunked_lag(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
-                value_col: str, chunk_col: str, out_col: str) -> DataFrame:
+                value_col: str, chunk_col: str, out_col: str, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     part = list(partition_cols)
     order = [F.col(c) for c in order_cols]
-    last = df.groupBy(*part, chunk_col).agg(F.max_by(F.col(value_col), F.struct(*order)).alias("_last"))
+    tagged = tag_hot(df, part, hot_rows)
+    last = (tagged.filter(F.col("_hot")).groupBy(*part, chunk_col)
+            .agg(F.max_by(F.col(value_col), F.struct(*order)).alias("_last")))
     by_chunk = Window.partitionBy(*part).orderBy(chunk_col)
-    carried = (last.select(*part, chunk_col, F.lag("_last").over(by_chunk).alias("_carry"))
+    carried = (last.select(*part, F.col(chunk_col).alias("_chunk"), F.lag("_last").over(by_chunk).alias("_carry"))
                .filter(F.col("_carry").isNotNull()))
-    real = df.withColumn("_sentinel", F.lit(False))
-    sentinels = carried.select(*part, chunk_col, F.col("_carry").alias(value_col),
-                               F.lit(True).alias("_sentinel"))
+    real = (tagged.withColumn("_chunk", F.when(F.col("_hot"), F.col(chunk_col)))
+            .withColumn("_sentinel", F.lit(False)).drop("_hot"))
+    sentinels = carried.select(*part, "_chunk", F.col("_carry").alias(value_col), F.lit(True).alias("_sentinel"))
     both = real.unionByName(sentinels, allowMissingColumns=True)
-    in_chunk = Window.partitionBy(*part, chunk_col).orderBy(F.col("_sentinel").desc(), *order)
+    in_chunk = Window.partitionBy(*part, "_chunk").orderBy(F.col("_sentinel").desc(), *order)
     return (both.withColumn(out_col, F.lag(value_col).over(in_chunk))
             .filter(~F.col("_sentinel"))
-            .drop("_sentinel"))
+            .drop("_sentinel", "_chunk"))

@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folio.operators.skew import hot_keys
+
 DEFAULT_HOT_ROWS = 50_000
 
 
@@ -26,9 +28,8 @@ def pairs_within_key(df: DataFrame, key_col: str, id_col: str, carry: Sequence[s
     """Rows ``key, a_<id>, a_<carry...>, b_<id>, b_<carry...>`` for every pair
     of rows with equal non-NULL ``key`` and ``a.id < b.id``."""
     rows = df.filter(F.col(key_col).isNotNull()).select(key_col, id_col, *carry)
-    hot = (rows.groupBy(key_col).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > hot_rows)
-           .select(key_col, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts")))
+    hot = (hot_keys(rows, [key_col], hot_rows)
+           .select(key_col, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_salts")))
     salted = (rows.join(F.broadcast(hot), key_col, "left")
               .withColumn("_salts", F.coalesce(F.col("_salts"), F.lit(1))))
     left = salted.select(

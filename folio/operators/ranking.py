@@ -4,9 +4,9 @@ A window without PARTITION BY (or with a hot partition key) makes Spark plan
 ``Exchange SinglePartition`` (or one giant partition). The helpers below get
 the same numbers from small derived tables:
 
-* ``sequence_within`` — ROW_NUMBER inside a group, through per-block counts and
-  prefix sums: only the block table (rows / block_width per group) is ordered
-  as a whole; rows are numbered inside bounded blocks.
+* ``sequence_within`` — ROW_NUMBER inside a group: plain for ordinary groups;
+  hot groups (and the whole table when there is no group) through per-block
+  counts and prefix sums, so rows are numbered inside bounded blocks.
 * ``rank_by_value`` — RANK / DENSE_RANK from the table of distinct values,
   itself ranked block-wise along the value range (``value_ranks``).
 * ``percent_rank_by_value`` — PERCENT_RANK from the same value ranks.
@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folio.operators.skew import DEFAULT_HOT_ROWS, tag_hot
+
 DEFAULT_BLOCK_WIDTH = 1 << 16
 
 
@@ -34,23 +36,36 @@ def _order(c: str, descending: bool, nulls_first: bool | None = None) -> Column:
 
 
 def sequence_within(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
-                    out_col: str = "seq", block_width: int = DEFAULT_BLOCK_WIDTH) -> DataFrame:
+                    out_col: str = "seq", block_width: int = DEFAULT_BLOCK_WIDTH,
+                    hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """ROW_NUMBER() OVER (PARTITION BY partition_cols ORDER BY order_cols).
 
-    ``order_cols[0]`` must be an integer column; rows are grouped into blocks of
-    ``block_width`` consecutive values of it, so a block holds at most
-    ``block_width`` rows when that column is unique in its group. Remaining
-    order columns break ties inside a block. Partition columns must be non-null.
+    Groups with at most ``hot_rows`` rows are numbered by the plain window.
+    Hot groups (a bounded, broadcast list; see ``operators.skew``) and the
+    whole table when there are no partition columns are cut into blocks of
+    ``block_width`` consecutive values of ``order_cols[0]`` (an integer
+    column), so a block holds at most ``block_width`` rows when that column is
+    unique in its group; blocks are offset by a prefix sum over the small
+    block table. Remaining order columns break ties inside a block.
+    Partition columns must be non-null.
     """
     part = list(partition_cols)
     lead = order_cols[0]
-    tagged = df.withColumn("_blk", F.floor(F.col(lead) / F.lit(block_width)))
-    counts = tagged.groupBy(*part, "_blk").agg(F.count(F.lit(1)).alias("_n"))
+    block = F.floor(F.col(lead) / F.lit(block_width))
+    if part:
+        tagged = tag_hot(df, part, hot_rows)
+        tagged = tagged.withColumn("_blk", F.when(F.col("_hot"), block)).drop("_hot")
+        counts = tagged.filter(F.col("_blk").isNotNull())
+    else:
+        tagged = df.withColumn("_blk", block)
+        counts = tagged
+    counts = counts.groupBy(*part, "_blk").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*part).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*part, "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     inside = Window.partitionBy(*part, "_blk").orderBy(*[F.col(c) for c in order_cols])
-    return (tagged.join(offsets, [*part, "_blk"])
-            .withColumn(out_col, (F.col("_off") + F.row_number().over(inside)).cast("long"))
+    joined = tagged.join(offsets, [*part, "_blk"], "left") if part else tagged.join(offsets, "_blk")
+    return (joined.withColumn(out_col, (F.coalesce(F.col("_off"), F.lit(0)) + F.row_number().over(inside))
+                              .cast("long"))
             .drop("_blk", "_off"))
 
 

@@ -36,9 +36,9 @@ def df(spark):
     return spark.createDataFrame(skewed_rows(), "id long, grp long, v long, d date, nv long")
 
 
-@pytest.mark.parametrize("width", [1, 7, 64, 1 << 16])
-def test_sequence_within_matches_row_number(df, width):
-    got = sequence_within(df, ["grp"], ["id"], out_col="s", block_width=width)
+@pytest.mark.parametrize("width,hot", [(1, 0), (7, 0), (64, 30), (7, 1 << 20), (1 << 16, 0)])
+def test_sequence_within_matches_row_number(df, width, hot):
+    got = sequence_within(df, ["grp"], ["id"], out_col="s", block_width=width, hot_rows=hot)
     want = df.withColumn("s", F.row_number().over(Window.partitionBy("grp").orderBy("id")).cast("long"))
     assert sorted(rows(got, "id", "s")) == sorted(rows(want, "id", "s"))
 
@@ -84,10 +84,11 @@ def test_running_total_by_key_with_nulls_and_peers(df):
 
 
 @pytest.mark.parametrize("chunk", ["month", "year", "one"])
-def test_chunked_lag_matches_lag(df, chunk):
+@pytest.mark.parametrize("hot", [0, 30, 1 << 20])
+def test_chunked_lag_matches_lag(df, chunk, hot):
     chunk_col = {"month": F.year("d") * 12 + F.month("d"), "year": F.year("d"), "one": F.lit(0)}[chunk]
     data = df.withColumn("c", chunk_col)
-    got = chunked_lag(data, ["grp"], ["d", "id"], "v", "c", "prev")
+    got = chunked_lag(data, ["grp"], ["d", "id"], "v", "c", "prev", hot_rows=hot)
     want = data.withColumn("prev", F.lag("v").over(Window.partitionBy("grp").orderBy("d", "id")))
     assert sorted(rows(got, "id", "prev")) == sorted(rows(want, "id", "prev"), key=lambda r: r)
 
