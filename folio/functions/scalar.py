@@ -3,7 +3,6 @@ so they stay inside whole-stage codegen."""
 
 from __future__ import annotations
 
-import datetime as _dt
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -21,10 +20,6 @@ def full_name(first="first_name", last="last_name") -> Column:
     return F.concat(col_(first), F.lit(" "), col_(last))
 
 
-def date_lit(d: _dt.date) -> Column:
-    return F.lit(d)
-
-
 def days_between(end, start) -> Column:
     """``DATEDIFF(end, start)`` as BIGINT (whole days, end minus start)."""
     return F.datediff(col_(end), col_(start)).cast("long")
@@ -60,8 +55,3 @@ def ratio_round(num, den, scale: int, mult: int = 1) -> Column:
     d2 = den_nz * 2
     quotient = (n2 - n2 % d2) / d2          # exact integer, as DOUBLE
     return quotient / F.lit(float(factor))
-
-
-def money_sum(c) -> Column:
-    """``SUM`` of a DECIMAL(10,2) money column, typed DECIMAL(20,2)."""
-    return F.sum(col_(c)).cast("decimal(20,2)")

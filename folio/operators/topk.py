@@ -30,10 +30,6 @@ def keep_top_k_with_ties(df: DataFrame, col: str, k: int, descending: bool = Tru
     return df.filter(F.coalesce(reaches, F.lit(False)) | (cut.getField("n") < k))
 
 
-def top_k(df: DataFrame, k: int, *order) -> DataFrame:
-    return df.orderBy(*order).limit(k)
-
-
 def enrich_top_k(top: DataFrame, *lookups: tuple[DataFrame, str | list[str], str]) -> DataFrame:
     """Join lookup tables to the result of a top-k, keeping the k rows as the
     broadcast side of every join: the k rows are a proven size bound, so the

@@ -82,9 +82,6 @@ DEFAULTS = {
     "event_registrations": {"registration_date": "AS_OF"},
 }
 
-REPORT_COLUMNS = ("rule", "table_name", "check_name", "violations")
-
-
 def _compare(col: str, op: str, value) -> Column:
     c = F.col(col)
     return {">": c > value, ">=": c >= value}[op]

@@ -254,3 +254,16 @@ def test_requests_with_null_keys_get_not_found_messages(spark):
     got = dict(rows(co["results"], "request_id", "message"))
     assert got[1] == msg.MEMBER_NOT_FOUND
     assert got[2] in (msg.COPY_NOT_FOUND, msg.MEMBER_NOT_ACTIVE)
+
+
+def test_sink_writes_versions_and_appends(spark):
+    import os
+    import tempfile
+    from folio.jobs.sink import append_rows, write_version
+    base = tempfile.mkdtemp(prefix="folio-sink-")
+    df = spark.createDataFrame([(1, "a")], "id long, v string")
+    write_version(df, os.path.join(base, "v1"))
+    append_rows(spark.createDataFrame([(2, "b")], "id long, v string"), os.path.join(base, "v1"))
+    assert sorted(rows(spark.read.parquet(os.path.join(base, "v1")))) == [(1, "a"), (2, "b")]
+    with pytest.raises(Exception):
+        write_version(df, os.path.join(base, "v1"))        # never over an existing version
