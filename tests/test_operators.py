@@ -93,7 +93,7 @@ def test_chunked_lag_matches_lag(df, chunk, hot):
     assert sorted(rows(got, "id", "prev")) == sorted(rows(want, "id", "prev"), key=lambda r: r)
 
 
-@pytest.mark.parametrize("hot", [5, 1_000_000])
+@pytest.mark.parametrize("hot", [1, 5, 40, 1_000_000])
 def test_pairs_within_key_matches_self_join(df, hot):
     keyed = df.withColumn("k", F.when(F.col("nv").isNull(), None).otherwise(F.col("grp")))
     got = pairs_within_key(keyed, "k", "id", ["v"], hot_rows=hot)
