@@ -36,15 +36,17 @@ def chunked_lag(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequen
     order = [F.col(c) for c in order_cols]
     tagged = tag_hot(df, part, hot_rows)
     last = (tagged.filter(F.col("_hot")).groupBy(*part, chunk_col)
-            .agg(F.max_by(F.col(value_col), F.struct(*order)).alias("_last")))
+            .agg(F.max_by(F.col(value_col), F.struct(*order)).alias("_lag_last")))
     by_chunk = Window.partitionBy(*part).orderBy(chunk_col)
-    carried = (last.select(*part, F.col(chunk_col).alias("_chunk"), F.lag("_last").over(by_chunk).alias("_carry"))
-               .filter(F.col("_carry").isNotNull()))
-    real = (tagged.withColumn("_chunk", F.when(F.col("_hot"), F.col(chunk_col)))
-            .withColumn("_sentinel", F.lit(False)).drop("_hot"))
-    sentinels = carried.select(*part, "_chunk", F.col("_carry").alias(value_col), F.lit(True).alias("_sentinel"))
+    carried = (last.select(*part, F.col(chunk_col).alias("_lag_chunk"),
+                           F.lag("_lag_last").over(by_chunk).alias("_lag_carry"))
+               .filter(F.col("_lag_carry").isNotNull()))
+    real = (tagged.withColumn("_lag_chunk", F.when(F.col("_hot"), F.col(chunk_col)))
+            .withColumn("_lag_sentinel", F.lit(False)).drop("_hot"))
+    sentinels = carried.select(*part, "_lag_chunk", F.col("_lag_carry").alias(value_col),
+                               F.lit(True).alias("_lag_sentinel"))
     both = real.unionByName(sentinels, allowMissingColumns=True)
-    in_chunk = Window.partitionBy(*part, "_chunk").orderBy(F.col("_sentinel").desc(), *order)
+    in_chunk = Window.partitionBy(*part, "_lag_chunk").orderBy(F.col("_lag_sentinel").desc(), *order)
     return (both.withColumn(out_col, F.lag(value_col).over(in_chunk))
-            .filter(~F.col("_sentinel"))
-            .drop("_sentinel", "_chunk"))
+            .filter(~F.col("_lag_sentinel"))
+            .drop("_lag_sentinel", "_lag_chunk"))
