@@ -54,19 +54,19 @@ def sequence_within(df: DataFrame, partition_cols: Sequence[str], order_cols: Se
     block = F.floor(F.col(lead) / F.lit(block_width))
     if part:
         tagged = tag_hot(df, part, hot_rows)
-        tagged = tagged.withColumn("_blk", F.when(F.col("_hot"), block)).drop("_hot")
-        counts = tagged.filter(F.col("_blk").isNotNull())
+        tagged = tagged.withColumn("_seq_blk", F.when(F.col("_hot"), block)).drop("_hot")
+        counts = tagged.filter(F.col("_seq_blk").isNotNull())
     else:
-        tagged = df.withColumn("_blk", block)
+        tagged = df.withColumn("_seq_blk", block)
         counts = tagged
-    counts = counts.groupBy(*part, "_blk").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*part).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*part, "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy(*part, "_blk").orderBy(*[F.col(c) for c in order_cols])
-    joined = tagged.join(offsets, [*part, "_blk"], "left") if part else tagged.join(offsets, "_blk")
-    return (joined.withColumn(out_col, (F.coalesce(F.col("_off"), F.lit(0)) + F.row_number().over(inside))
+    counts = counts.groupBy(*part, "_seq_blk").agg(F.count(F.lit(1)).alias("_seq_n"))
+    before = Window.partitionBy(*part).orderBy("_seq_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*part, "_seq_blk", F.coalesce(F.sum("_seq_n").over(before), F.lit(0)).alias("_seq_off"))
+    inside = Window.partitionBy(*part, "_seq_blk").orderBy(*[F.col(c) for c in order_cols])
+    joined = tagged.join(offsets, [*part, "_seq_blk"], "left") if part else tagged.join(offsets, "_seq_blk")
+    return (joined.withColumn(out_col, (F.coalesce(F.col("_seq_off"), F.lit(0)) + F.row_number().over(inside))
                               .cast("long"))
-            .drop("_blk", "_off"))
+            .drop("_seq_blk", "_seq_off"))
 
 
 def value_ranks(df: DataFrame, value_col: str, descending: bool, block_width: float) -> DataFrame:
