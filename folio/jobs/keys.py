@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.operators.ranking import sequence_within
+from folio.operators.skew import q
 
 
 def assign_keys(rows: DataFrame, existing: DataFrame, key_col: str, order_col: str) -> DataFrame:
     """``rows`` with ``key_col`` = max(existing key) + 1, 2, ... in ``order_col`` order."""
-    base = existing.select(F.coalesce(F.max(key_col), F.lit(0)).cast("long")).scalar()
-    numbered = sequence_within(rows, [], [order_col], out_col="_seq")
-    return numbered.withColumn(key_col, base + F.col("_seq")).drop("_seq")
+    base = existing.selectExpr(f"CAST(coalesce(max({q(key_col)}), 0) AS BIGINT)").scalar()
+    numbered = sequence_within(rows, [], [order_col], out_col="_key_seq")
+    return numbered.withColumn(key_col, base + F.col("_key_seq")).drop("_key_seq")

@@ -24,29 +24,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.operators.skew import DEFAULT_HOT_ROWS, tag_hot
+from folio.operators.skew import DEFAULT_HOT_ROWS, q, q_list, tag_hot
 
 
 def chunked_lag(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
                 value_col: str, chunk_col: str, out_col: str, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     part = list(partition_cols)
-    order = [F.col(c) for c in order_cols]
+    by_part = f"PARTITION BY {q_list(part)} " if part else ""
+    order = q_list(order_cols)
     tagged = tag_hot(df, part, hot_rows)
-    last = (tagged.filter(F.col("_hot")).groupBy(*part, chunk_col)
-            .agg(F.max_by(F.col(value_col), F.struct(*order)).alias("_lag_last")))
-    by_chunk = Window.partitionBy(*part).orderBy(chunk_col)
-    carried = (last.select(*part, F.col(chunk_col).alias("_lag_chunk"),
-                           F.lag("_lag_last").over(by_chunk).alias("_lag_carry"))
-               .filter(F.col("_lag_carry").isNotNull()))
-    real = (tagged.withColumn("_lag_chunk", F.when(F.col("_hot"), F.col(chunk_col)))
-            .withColumn("_lag_sentinel", F.lit(False)).drop("_hot"))
-    sentinels = carried.select(*part, "_lag_chunk", F.col("_lag_carry").alias(value_col),
-                               F.lit(True).alias("_lag_sentinel"))
+    last = (tagged.where("_hot").groupBy(*part, chunk_col)
+            .agg(F.expr(f"max_by({q(value_col)}, struct({order})) AS _lag_last")))
+    carried = (last.selectExpr(*[q(c) for c in part], f"{q(chunk_col)} AS _lag_chunk",
+                               f"lag(_lag_last) OVER ({by_part}ORDER BY {q(chunk_col)}) AS _lag_carry")
+               .where("_lag_carry IS NOT NULL"))
+    real = tagged.selectExpr("*", f"CASE WHEN _hot THEN {q(chunk_col)} END AS _lag_chunk",
+                             "false AS _lag_sentinel").drop("_hot")
+    sentinels = carried.selectExpr(*[q(c) for c in part], "_lag_chunk", f"_lag_carry AS {q(value_col)}",
+                                   "true AS _lag_sentinel")
     both = real.unionByName(sentinels, allowMissingColumns=True)
-    in_chunk = Window.partitionBy(*part, "_lag_chunk").orderBy(F.col("_lag_sentinel").desc(), *order)
-    return (both.withColumn(out_col, F.lag(value_col).over(in_chunk))
-            .filter(~F.col("_lag_sentinel"))
+    window = f"PARTITION BY {q_list([*part, '_lag_chunk'])} ORDER BY _lag_sentinel DESC, {order}"
+    return (both.selectExpr("*", f"lag({q(value_col)}) OVER ({window}) AS {q(out_col)}")
+            .where("NOT _lag_sentinel")
             .drop("_lag_sentinel", "_lag_chunk"))

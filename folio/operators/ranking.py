@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folio.operators.skew import DEFAULT_HOT_ROWS, tag_hot
+from folio.operators.skew import DEFAULT_HOT_ROWS, q, q_list, tag_hot
 
 DEFAULT_BLOCK_WIDTH = 1 << 16
 
@@ -47,26 +47,25 @@ def sequence_within(df: DataFrame, partition_cols: Sequence[str], order_cols: Se
     column), so a block holds at most ``block_width`` rows when that column is
     unique in its group; blocks are offset by a prefix sum over the small
     block table. Remaining order columns break ties inside a block.
-    Partition columns must be non-null.
     """
     part = list(partition_cols)
-    lead = order_cols[0]
-    block = F.floor(F.col(lead) / F.lit(block_width))
+    block = f"floor({q(order_cols[0])} / {int(block_width)})"
     if part:
-        tagged = tag_hot(df, part, hot_rows)
-        tagged = tagged.withColumn("_seq_blk", F.when(F.col("_hot"), block)).drop("_hot")
-        counts = tagged.filter(F.col("_seq_blk").isNotNull())
+        tagged = (tag_hot(df, part, hot_rows)
+                  .selectExpr("*", f"CASE WHEN _hot THEN {block} END AS _seq_blk").drop("_hot"))
+        counts = tagged.where("_seq_blk IS NOT NULL")
     else:
-        tagged = df.withColumn("_seq_blk", block)
+        tagged = df.selectExpr("*", f"{block} AS _seq_blk")
         counts = tagged
-    counts = counts.groupBy(*part, "_seq_blk").agg(F.count(F.lit(1)).alias("_seq_n"))
-    before = Window.partitionBy(*part).orderBy("_seq_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*part, "_seq_blk", F.coalesce(F.sum("_seq_n").over(before), F.lit(0)).alias("_seq_off"))
-    inside = Window.partitionBy(*part, "_seq_blk").orderBy(*[F.col(c) for c in order_cols])
-    joined = tagged.join(offsets, [*part, "_seq_blk"], "left") if part else tagged.join(offsets, "_seq_blk")
-    return (joined.withColumn(out_col, (F.coalesce(F.col("_seq_off"), F.lit(0)) + F.row_number().over(inside))
-                              .cast("long"))
-            .drop("_seq_blk", "_seq_off"))
+    by_part = f"PARTITION BY {q_list(part)} " if part else ""
+    offsets = (counts.groupBy(*part, "_seq_blk").agg(F.expr("count(1) AS _seq_n"))
+               .selectExpr(*[q(c) for c in part], "_seq_blk",
+                           f"coalesce(sum(_seq_n) OVER ({by_part}ORDER BY _seq_blk "
+                           f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _seq_off"))
+    joined = tagged.join(offsets, [*part, "_seq_blk"], "left")
+    number = (f"CAST(coalesce(_seq_off, 0) + row_number() OVER (PARTITION BY {q_list([*part, '_seq_blk'])} "
+              f"ORDER BY {q_list(order_cols)}) AS BIGINT) AS {q(out_col)}")
+    return joined.selectExpr("*", number).drop("_seq_blk", "_seq_off")
 
 
 def value_ranks(df: DataFrame, value_col: str, descending: bool, block_width: float) -> DataFrame:
@@ -78,22 +77,21 @@ def value_ranks(df: DataFrame, value_col: str, descending: bool, block_width: fl
     range (NULL in its own block: first ascending, last descending, as in SQL);
     only the per-block table is ordered as a whole, values are ordered inside
     their block. No step holds more than one block of distinct values."""
-    vals = df.groupBy(F.col(value_col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    key = -F.col("_v") if descending else F.col("_v")
-    edge = F.lit(2 ** 62 if descending else -(2 ** 62)).cast("long")
-    blk = F.when(F.col("_v").isNull(), edge).otherwise(F.floor(key / F.lit(block_width)).cast("long"))
-    tagged = vals.withColumn("_key", key).withColumn("_blk", blk)
-    blocks = tagged.groupBy("_blk").agg(F.sum("_c").alias("_bc"), F.count(F.lit(1)).alias("_bv"))
-    before = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select("_blk", F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off_rows"),
-                            F.coalesce(F.sum("_bv").over(before), F.lit(0)).alias("_off_vals"))
-    inside = Window.partitionBy("_blk").orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
-    return (tagged.join(offsets, "_blk")
-            .select("_v", "_c",
-                    (F.col("_off_rows") + F.coalesce(F.sum("_c").over(inside), F.lit(0))).cast("long")
-                    .alias("_rows_before"),
-                    (F.col("_off_vals") + F.coalesce(F.count(F.lit(1)).over(inside), F.lit(0))).cast("long")
-                    .alias("_vals_before")))
+    key = "-_v" if descending else "_v"
+    edge = 2 ** 62 if descending else -(2 ** 62)
+    before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    tagged = (df.selectExpr(f"{q(value_col)} AS _v").groupBy("_v").agg(F.expr("count(1) AS _c"))
+              .selectExpr("_v", "_c", f"{key} AS _key",
+                          f"CASE WHEN _v IS NULL THEN CAST({edge} AS BIGINT) "
+                          f"ELSE CAST(floor(({key}) / {block_width!r}) AS BIGINT) END AS _blk"))
+    offsets = (tagged.groupBy("_blk").agg(F.expr("sum(_c) AS _bc"), F.expr("count(1) AS _bv"))
+               .selectExpr("_blk", f"coalesce(sum(_bc) OVER (ORDER BY _blk {before}), 0) AS _off_rows",
+                           f"coalesce(sum(_bv) OVER (ORDER BY _blk {before}), 0) AS _off_vals"))
+    inside = f"PARTITION BY _blk ORDER BY _key {before}"
+    return tagged.join(offsets, "_blk").selectExpr(
+        "_v", "_c",
+        f"CAST(_off_rows + coalesce(sum(_c) OVER ({inside}), 0) AS BIGINT) AS _rows_before",
+        f"CAST(_off_vals + coalesce(count(1) OVER ({inside}), 0) AS BIGINT) AS _vals_before")
 
 
 def rank_by_value(df: DataFrame, value_col: str, descending: bool = True,
@@ -101,23 +99,22 @@ def rank_by_value(df: DataFrame, value_col: str, descending: bool = True,
                   block_width: float = DEFAULT_BLOCK_WIDTH) -> DataFrame:
     """RANK() and DENSE_RANK() OVER (ORDER BY value_col) for every row of ``df``,
     from the distinct values (``value_ranks``), joined back on the value."""
-    ranks = value_ranks(df, value_col, descending, block_width)
-    cols = [F.col("_v")]
+    cols = ["_v"]
     if rank_col:
-        cols.append((F.col("_rows_before") + 1).alias(rank_col))
+        cols.append(f"_rows_before + 1 AS {q(rank_col)}")
     if dense_col:
-        cols.append((F.col("_vals_before") + 1).alias(dense_col))
-    return df.join(ranks.select(*cols), F.col(value_col).eqNullSafe(F.col("_v"))).drop("_v")
+        cols.append(f"_vals_before + 1 AS {q(dense_col)}")
+    ranks = value_ranks(df, value_col, descending, block_width).selectExpr(*cols)
+    return df.join(ranks, F.col(value_col).eqNullSafe(F.col("_v"))).drop("_v")
 
 
 def percent_rank_by_value(df: DataFrame, value_col: str, out_rank: str = "_rank",
                           out_n: str = "_n_rows", block_width: float = DEFAULT_BLOCK_WIDTH) -> DataFrame:
     """Adds RANK() OVER (ORDER BY value_col ASC) and the row count, so that
     PERCENT_RANK = (rank - 1) / (n - 1) (0 when n = 1) can be formed exactly."""
-    ranks = value_ranks(df, value_col, False, block_width)
+    ranks = value_ranks(df, value_col, False, block_width).selectExpr("_v", f"_rows_before + 1 AS {q(out_rank)}")
     n_rows = df.select(F.count(F.lit(1))).scalar()
-    return (df.join(ranks.select("_v", (F.col("_rows_before") + 1).alias(out_rank)),
-                    F.col(value_col).eqNullSafe(F.col("_v")))
+    return (df.join(ranks, F.col(value_col).eqNullSafe(F.col("_v")))
             .drop("_v").withColumn(out_n, n_rows))
 
 

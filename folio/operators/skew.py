@@ -5,6 +5,10 @@ task. ``hot_keys`` counts rows per key (a map-side combined aggregate) and
 keeps keys with more than ``threshold`` rows. There are at most
 rows / threshold such keys, so the result is a bounded table that is safe to
 broadcast; every other key takes the plain path.
+
+The operators write their expressions as SQL text (``selectExpr``): the
+plan is the same as with Column objects, but it is built with a handful of
+calls to the JVM instead of hundreds.
 """
 
 from __future__ import annotations
@@ -18,15 +22,23 @@ from pyspark.sql import functions as F
 DEFAULT_HOT_ROWS = 1 << 20
 
 
+def q(name: str) -> str:
+    """A column name quoted for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def q_list(names: Sequence[str]) -> str:
+    return ", ".join(q(n) for n in names)
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int) -> DataFrame:
     """``keys..., _rows`` for every key with more than ``threshold`` rows."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-            .filter(F.col("_rows") > threshold))
+    return df.groupBy(*keys).agg(F.expr("count(1) AS _rows")).where(f"_rows > {int(threshold)}")
 
 
 def tag_hot(df: DataFrame, keys: Sequence[str], threshold: int) -> DataFrame:
     """``df`` with a boolean ``_hot`` column (true for rows of hot keys),
     through a broadcast join with the bounded hot-key table."""
-    hot = hot_keys(df, keys, threshold).select(*keys, F.lit(True).alias("_hot"))
+    hot = hot_keys(df, keys, threshold).selectExpr(*[q(k) for k in keys], "true AS _hot_key")
     return (df.join(F.broadcast(hot), list(keys), "left")
-            .withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False))))
+            .selectExpr("*", "coalesce(_hot_key, false) AS _hot").drop("_hot_key"))

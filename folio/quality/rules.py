@@ -17,11 +17,12 @@ from __future__ import annotations
 import datetime as _dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.config import AS_OF
 from folio.jobs import messages as msg
+from folio.operators.skew import q
 from folio.sources.library import Library
 
 # The constraints of the table definitions.
@@ -82,18 +83,19 @@ DEFAULTS = {
     "event_registrations": {"registration_date": "AS_OF"},
 }
 
-def _compare(col: str, op: str, value) -> Column:
-    c = F.col(col)
-    return {">": c > value, ">=": c >= value}[op]
+def _sql_lit(v) -> str:
+    return "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
 
 
-def row_rule_checks(table: str) -> list[tuple[str, str, Column]]:
-    """(rule, check_name, violation predicate) of the row rules of a table."""
-    out = [("not_null", c, F.col(c).isNull()) for c in NOT_NULL.get(table, [])]
-    out += [("domain", c, F.col(c).isNotNull() & ~F.col(c).isin(*values))
+def row_rule_checks(table: str) -> list[tuple[str, str, str]]:
+    """(rule, check_name, violation predicate as a SQL expression) of the row
+    rules of a table; NULL passes domain, check and length rules."""
+    out = [("not_null", c, f"`{c}` IS NULL") for c in NOT_NULL.get(table, [])]
+    out += [("domain", c, f"`{c}` IS NOT NULL AND `{c}` NOT IN ({', '.join(_sql_lit(v) for v in values)})")
             for (t, c), values in DOMAINS.items() if t == table]
-    out += [("check", name, ~_compare(*spec)) for (t, name), spec in CHECKS.items() if t == table]
-    out += [("length", c, F.length(c) > n) for (t, c), n in LENGTHS.items() if t == table]
+    out += [("check", name, f"NOT (`{col}` {op} {_sql_lit(v)})")
+            for (t, name), (col, op, v) in CHECKS.items() if t == table]
+    out += [("length", c, f"length(`{c}`) > {n}") for (t, c), n in LENGTHS.items() if t == table]
     return out
 
 
@@ -104,26 +106,30 @@ def row_rules(lib: Library, tables: list[str] | None = None) -> DataFrame:
         checks = row_rule_checks(table)
         if not checks:
             continue
-        counts = lib.table(table).agg(*[F.count_if(F.coalesce(pred, F.lit(False))).alias(f"c{i}")
+        counts = lib.table(table).agg(*[F.expr(f"count_if(coalesce({pred}, false)) AS c{i}")
                                         for i, (_, _, pred) in enumerate(checks)])
-        rows = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(table).alias("table_name"),
-                                  F.lit(name).alias("check_name"), F.col(f"c{i}").alias("violations"))
-                         for i, (rule, name, _) in enumerate(checks)])
-        parts.append(counts.select(F.inline(rows)))
+        cells = ", ".join(f"struct({_sql_lit(rule)} AS rule, {_sql_lit(table)} AS table_name, "
+                          f"{_sql_lit(name)} AS check_name, c{i} AS violations)"
+                          for i, (rule, name, _) in enumerate(checks))
+        parts.append(counts.select(F.expr(f"inline(array({cells}))")))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _report_row(df: DataFrame, rule: str, table: str, check: str) -> DataFrame:
+    return df.selectExpr(f"{_sql_lit(rule)} AS rule", f"{_sql_lit(table)} AS table_name",
+                         f"{_sql_lit(check)} AS check_name", "violations")
+
+
 def unique_keys(lib: Library, tables: list[str] | None = None) -> DataFrame:
     """V2: per unique key, the number of key values that occur more than once."""
     parts = []
     for table, keys in UNIQUE:
         if tables and table not in tables:
             continue
-        df = lib.table(table).filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-        dupes = df.groupBy(*keys).count().filter(F.col("count") > 1)
-        parts.append(dupes.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit("unique").alias("rule"), F.lit(table).alias("table_name"),
-            F.lit(",".join(keys)).alias("check_name"), "violations"))
+        not_null = " AND ".join(f"{q(k)} IS NOT NULL" for k in keys)
+        dupes = (lib.table(table).where(not_null).groupBy(*keys).agg(F.expr("count(1) AS _c")).where("_c > 1")
+                 .agg(F.expr("count(1) AS violations")))
+        parts.append(_report_row(dupes, "unique", table, ",".join(keys)))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -131,11 +137,10 @@ def foreign_keys(lib: Library) -> DataFrame:
     """V3: child rows whose (non-NULL) key has no parent row."""
     parts = []
     for child, ck, parent, pk, _ in FOREIGN_KEYS:
-        orphans = (lib.table(child).select(ck).filter(F.col(ck).isNotNull())
-                   .join(lib.table(parent).select(F.col(pk).alias(ck)).distinct(), ck, "left_anti"))
-        parts.append(orphans.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit("foreign_key").alias("rule"), F.lit(child).alias("table_name"),
-            F.lit(f"{ck}->{parent}.{pk}").alias("check_name"), "violations"))
+        parents = lib.table(parent).selectExpr(f"{q(pk)} AS {q(ck)}").distinct()
+        orphans = (lib.table(child).select(ck).where(f"{q(ck)} IS NOT NULL").join(parents, ck, "left_anti")
+                   .agg(F.expr("count(1) AS violations")))
+        parts.append(_report_row(orphans, "foreign_key", child, f"{ck}->{parent}.{pk}"))
     return reduce(DataFrame.unionByName, parts)
 
 
