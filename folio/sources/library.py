@@ -192,6 +192,12 @@ class Library:
             return lambda: spark.read.schema(LIBRARY_SCHEMAS[name]).parquet(f"{base}/{name}")
         return cls({name: reader(name) for name in TABLES})
 
+    def register_views(self, prefix: str = "") -> None:
+        """Expose the tables as temporary views (``members``, ``loans``, ...)
+        so reports can also be written as Spark SQL text."""
+        for name in TABLES:
+            self.table(name).createOrReplaceTempView(f"{prefix}{name}")
+
     def write_parquet(self, path: str, mode: str = "overwrite", parallel: int = 6,
                       names: Sequence[str] = TABLES) -> None:
         """Store tables under ``path`` (sorted per LAYOUT). Tables are
