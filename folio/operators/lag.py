@@ -15,9 +15,10 @@ calendar months):
    previous chunk's last value from the sentinel. Sentinels are dropped.
 
 Groups that are not hot form a single chunk, which is exactly the plain
-window. The big table is shuffled once (for the window); step 3 is a union,
-not a join. The chunk column must be non-decreasing in the order columns
-inside a group, and the order columns must be unique inside a group.
+window. The big table is shuffled once, on (group, chunk), for the window;
+step 3 is a union, not a join. The chunk column must be non-decreasing in
+the order columns inside a group, and the order columns must be unique
+inside a group.
 """
 
 from __future__ import annotations
@@ -45,7 +46,9 @@ def chunked_lag(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequen
                              "false AS _lag_sentinel").drop("_hot")
     sentinels = carried.selectExpr(*[q(c) for c in part], "_lag_chunk", f"_lag_carry AS {q(value_col)}",
                                    "true AS _lag_sentinel")
-    both = real.unionByName(sentinels, allowMissingColumns=True)
+    # Shuffle on (group, chunk) explicitly: rows already partitioned by the
+    # group alone (e.g. after a join on it) would keep a hot group in one task.
+    both = real.unionByName(sentinels, allowMissingColumns=True).repartition(*part, "_lag_chunk")
     window = f"PARTITION BY {q_list([*part, '_lag_chunk'])} ORDER BY _lag_sentinel DESC, {order}"
     return (both.selectExpr("*", f"lag({q(value_col)}) OVER ({window}) AS {q(out_col)}")
             .where("NOT _lag_sentinel")

@@ -62,7 +62,9 @@ def sequence_within(df: DataFrame, partition_cols: Sequence[str], order_cols: Se
                .selectExpr(*[q(c) for c in part], "_seq_blk",
                            f"coalesce(sum(_seq_n) OVER ({by_part}ORDER BY _seq_blk "
                            f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _seq_off"))
-    joined = tagged.join(offsets, [*part, "_seq_blk"], "left")
+    # Shuffle on (group, block) explicitly, before the offsets join: rows
+    # already partitioned by the group alone would keep a hot group in one task.
+    joined = tagged.repartition(*part, "_seq_blk").join(offsets, [*part, "_seq_blk"], "left")
     number = (f"CAST(coalesce(_seq_off, 0) + row_number() OVER (PARTITION BY {q_list([*part, '_seq_blk'])} "
               f"ORDER BY {q_list(order_cols)}) AS BIGINT) AS {q(out_col)}")
     return joined.selectExpr("*", number).drop("_seq_blk", "_seq_off")
