@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from folio.config import AS_OF, AS_OF_EVENTS, RECENT_JOIN_DAYS, UPCOMING_EVENT_DAYS
 from folio.functions.scalar import days_between, full_name
 from folio.operators.topk import enrich_top_k
+from folio.plans.common import copy_dim
 from folio.sources.library import Library
 
 
@@ -41,10 +42,9 @@ def q3_3_genre_search(lib: Library, genre: str = "PROMO") -> DataFrame:
 def q3_4_overdue_loans(lib: Library, as_of: _dt.date = AS_OF) -> DataFrame:
     loans = lib.loans.filter((F.col("status") == "active") & (F.col("due_date") < F.lit(as_of)))
     return (loans.select("member_id", "copy_id", "loan_date", "due_date")
+            .join(copy_dim(lib, "title"), "copy_id")
             .join(lib.members.select("member_id", full_name().alias("member_name")), "member_id")
-            .join(lib.book_copies.select("copy_id", "book_id"), "copy_id")
-            .join(lib.books.select("book_id", F.col("title").alias("book_title")), "book_id")
-            .select("member_name", "book_title", "loan_date", "due_date",
+            .select("member_name", F.col("title").alias("book_title"), "loan_date", "due_date",
                     days_between(F.lit(as_of), "due_date").alias("days_overdue"))
             .orderBy(F.col("days_overdue").desc()))
 

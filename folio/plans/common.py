@@ -64,3 +64,16 @@ def book_author(lib: Library) -> DataFrame:
     """book_id, title, genre, publication_year, author_id, author_name (inner)."""
     return (lib.books.select("book_id", "title", "genre", "publication_year", "author_id")
             .join(lib.authors.select("author_id", "author_name"), "author_id"))
+
+
+def copy_dim(lib: Library, *book_cols: str, author: bool = False, copy_cols: tuple[str, ...] = ()) -> DataFrame:
+    """The copy-level dimension: copy_id, book_id, the given book columns
+    (and author_name), built from the dimension tables only.
+
+    A fact table (loans) joins it once on copy_id, instead of joining copies,
+    then books, then authors in turn — each of those joins would shuffle the
+    large joined rows again."""
+    books = lib.books.select("book_id", *book_cols, *(["author_id"] if author else []))
+    if author:
+        books = books.join(lib.authors.select("author_id", "author_name"), "author_id").drop("author_id")
+    return lib.book_copies.select("copy_id", "book_id", *copy_cols).join(books, "book_id")

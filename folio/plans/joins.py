@@ -11,7 +11,8 @@ from folio.config import AS_OF, AS_OF_EVENTS
 from folio.functions.scalar import days_between, full_name, ratio_round
 from folio.operators.pairs import pairs_within_key
 from folio.operators.topk import enrich_top_k
-from folio.plans.common import active_loans_per_copy, book_author, loans_per_book, unpaid_fines_per_loan
+from folio.plans.common import (active_loans_per_copy, book_author, copy_dim, loans_per_book,
+                                unpaid_fines_per_loan)
 from folio.sources.library import Library
 
 
@@ -33,11 +34,11 @@ def q5_1_loan_history(lib: Library, k: int = 20) -> DataFrame:
 
 def q5_2_on_loan(lib: Library, as_of: _dt.date = AS_OF) -> DataFrame:
     active = lib.loans.filter(F.col("status") == "active").select("member_id", "copy_id", "loan_date", "due_date")
-    return (active.join(lib.book_copies.select("copy_id", "book_id", "copy_number"), "copy_id")
-            .join(book_author(lib).select("book_id", F.col("title").alias("book_title"),
-                                          F.col("author_name").alias("author")), "book_id")
+    copies = copy_dim(lib, "title", author=True, copy_cols=("copy_number",))
+    return (active.join(copies, "copy_id")
             .join(lib.members.select("member_id", full_name().alias("member_name")), "member_id")
-            .select("book_title", "author", "copy_number", "member_name", "loan_date", "due_date",
+            .select(F.col("title").alias("book_title"), F.col("author_name").alias("author"), "copy_number",
+                    "member_name", "loan_date", "due_date",
                     days_between("due_date", F.lit(as_of)).alias("days_until_due"))
             .orderBy("due_date"))
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.config import AS_OF_EVENTS
+from folio.plans.common import copy_dim
 from folio.sources.library import Library
 
 
@@ -23,8 +24,7 @@ def member_report(lib: Library, member_ids: DataFrame,
         "member_id", "first_name", "last_name", "email", "membership_type", "status")
     current = (lib.loans.filter(F.col("status") == "active").join(ids, "member_id", "left_semi")
                .select("member_id", "copy_id", "loan_date", "due_date")
-               .join(lib.book_copies.select("copy_id", "book_id"), "copy_id")
-               .join(lib.books.select("book_id", "title"), "book_id")
+               .join(copy_dim(lib, "title"), "copy_id")
                .select("member_id", "title", "loan_date", "due_date"))
     unpaid = (lib.fines.filter(F.col("paid") == F.lit(False)).groupBy("loan_id")
               .agg(F.sum("fine_amount").alias("s"))

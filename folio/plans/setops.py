@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from folio.config import AS_OF
 from folio.functions.scalar import full_name
 from folio.operators.topk import keep_top_k_with_ties
-from folio.plans.common import (active_loans_per_copy, book_author, loan_counts_per_book_with_copies,
-                                unpaid_fines_per_loan)
+from folio.plans.common import (active_loans_per_copy, book_author, copy_dim,
+                                loan_counts_per_book_with_copies, unpaid_fines_per_loan)
 from folio.sources.library import Library
 
 
@@ -31,9 +31,9 @@ def q7_2_activity_log(lib: Library, k: int = 50) -> DataFrame:
     """
     names = lib.members.select("member_id", full_name().alias("person"))
     loans = keep_top_k_with_ties(lib.loans.select("loan_id", "member_id", "copy_id", "loan_date"), "loan_date", k)
-    loan_arm = (loans.join(names, "member_id")
-                .join(lib.book_copies.select("copy_id", "book_id"), "copy_id")
-                .join(lib.books.select("book_id", F.col("title").alias("description")), "book_id")
+    loan_arm = (loans.join(copy_dim(lib, "title"), "copy_id")
+                .join(names, "member_id")
+                .withColumnRenamed("title", "description")
                 .select(F.lit("Loan").alias("activity_type"), F.col("loan_date").alias("activity_date"),
                         "person", "description"))
     events = keep_top_k_with_ties(lib.lib_events, "event_date", k)

@@ -9,7 +9,7 @@ from folio.config import MEMBERSHIP_FEE
 from folio.functions.scalar import full_name, ratio_round, year_month
 from folio.operators.ranking import sequence_within
 from folio.operators.topk import enrich_top_k
-from folio.plans.common import book_author, loans_per_book, unpaid_fines_per_loan
+from folio.plans.common import book_author, copy_dim, loans_per_book, unpaid_fines_per_loan
 from folio.sources.library import Library
 
 
@@ -139,8 +139,7 @@ def q6_8_recommendations(lib: Library, k: int = 5) -> DataFrame:
     That is at most k * (1 + books read) candidates per member, exact.
     """
     read = (lib.loans.select("member_id", "copy_id")
-            .join(lib.book_copies.select("copy_id", "book_id"), "copy_id")
-            .join(lib.books.select("book_id", "genre"), "book_id")
+            .join(copy_dim(lib, "genre"), "copy_id")
             .select("member_id", "book_id", "genre"))
     per_genre = read.groupBy("member_id", "genre").agg(F.count(F.lit(1)).alias("c"))
     fav = (per_genre.groupBy("member_id")
