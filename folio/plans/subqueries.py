@@ -111,14 +111,19 @@ def q6_6_monthly_revenue(lib: Library, k: int = 12) -> DataFrame:
 
 def q6_7_last_loan(lib: Library) -> DataFrame:
     """Per lent book: latest loan date and that loan's borrower (latest loan_id
-    on a tie), in one aggregate instead of two correlated subqueries."""
-    lc = lib.loans.select("loan_id", "member_id", "copy_id", "loan_date").join(
-        lib.book_copies.select("copy_id", "book_id"), "copy_id")
-    per_book = lc.groupBy("book_id").agg(
-        F.max("loan_date").alias("most_recent_loan"),
-        F.max_by("member_id", F.struct("loan_date", "loan_id")).alias("last_member"))
+    on a tie), in aggregates instead of two correlated subqueries.
+
+    The arg-max decomposes: the latest (date, loan) per copy is found on the
+    loans alone (map-side combined), so only one row per copy is joined to
+    the copies; the books then take the latest of their copies."""
+    latest = F.struct("loan_date", "loan_id", "member_id")
+    per_copy = lib.loans.groupBy("copy_id").agg(F.max(latest).alias("last"))
+    per_book = (per_copy.join(lib.book_copies.select("copy_id", "book_id"), "copy_id")
+                .groupBy("book_id").agg(F.max("last").alias("last")))
     names = lib.members.select(F.col("member_id").alias("last_member"), full_name().alias("last_borrower"))
     return (per_book.join(book_author(lib), "book_id")
+            .select("book_id", "title", "author_name", F.col("last.loan_date").alias("most_recent_loan"),
+                    F.col("last.member_id").alias("last_member"))
             .join(names, "last_member", "left")
             .select(F.col("title").alias("book_title"), F.col("author_name").alias("author"),
                     "most_recent_loan", "last_borrower")
