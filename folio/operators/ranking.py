@@ -73,7 +73,8 @@ def sequence_within(df: DataFrame, partition_cols: Sequence[str], order_cols: Se
 def value_ranks(df: DataFrame, value_col: str, descending: bool, block_width: float) -> DataFrame:
     """For every distinct value of ``value_col`` (numeric): ``_v``, the number of
     rows ordered before it (``_rows_before``), the number of distinct values
-    ordered before it (``_vals_before``) and its own row count (``_c``).
+    ordered before it (``_vals_before``), its own row count (``_c``) and the
+    number of rows in all (``_total``, summed over the block table).
 
     The distinct values are cut into blocks of ``block_width`` along the value
     range (NULL in its own block: first ascending, last descending, as in SQL);
@@ -88,10 +89,11 @@ def value_ranks(df: DataFrame, value_col: str, descending: bool, block_width: fl
                           f"ELSE CAST(floor(({key}) / {block_width!r}) AS BIGINT) END AS _blk"))
     offsets = (tagged.groupBy("_blk").agg(F.expr("sum(_c) AS _bc"), F.expr("count(1) AS _bv"))
                .selectExpr("_blk", f"coalesce(sum(_bc) OVER (ORDER BY _blk {before}), 0) AS _off_rows",
-                           f"coalesce(sum(_bv) OVER (ORDER BY _blk {before}), 0) AS _off_vals"))
+                           f"coalesce(sum(_bv) OVER (ORDER BY _blk {before}), 0) AS _off_vals",
+                           "sum(_bc) OVER () AS _total"))
     inside = f"PARTITION BY _blk ORDER BY _key {before}"
     return tagged.join(offsets, "_blk").selectExpr(
-        "_v", "_c",
+        "_v", "_c", "CAST(_total AS BIGINT) AS _total",
         f"CAST(_off_rows + coalesce(sum(_c) OVER ({inside}), 0) AS BIGINT) AS _rows_before",
         f"CAST(_off_vals + coalesce(count(1) OVER ({inside}), 0) AS BIGINT) AS _vals_before")
 
@@ -114,10 +116,9 @@ def percent_rank_by_value(df: DataFrame, value_col: str, out_rank: str = "_rank"
                           out_n: str = "_n_rows", block_width: float = DEFAULT_BLOCK_WIDTH) -> DataFrame:
     """Adds RANK() OVER (ORDER BY value_col ASC) and the row count, so that
     PERCENT_RANK = (rank - 1) / (n - 1) (0 when n = 1) can be formed exactly."""
-    ranks = value_ranks(df, value_col, False, block_width).selectExpr("_v", f"_rows_before + 1 AS {q(out_rank)}")
-    n_rows = df.select(F.count(F.lit(1))).scalar()
-    return (df.join(ranks, F.col(value_col).eqNullSafe(F.col("_v")))
-            .drop("_v").withColumn(out_n, n_rows))
+    ranks = value_ranks(df, value_col, False, block_width).selectExpr(
+        "_v", f"_rows_before + 1 AS {q(out_rank)}", f"_total AS {q(out_n)}")
+    return df.join(ranks, F.col(value_col).eqNullSafe(F.col("_v"))).drop("_v")
 
 
 def running_total_by_key(df: DataFrame, key_col: str, value_col: str, out_col: str,
