@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.config import AS_OF_EVENTS
@@ -14,10 +14,12 @@ from folio.sources.library import Library
 
 
 def q4_1_membership_share(lib: Library) -> DataFrame:
-    total = lib.members.select(F.count(F.lit(1))).scalar()
-    return (lib.members.groupBy("membership_type").agg(F.count(F.lit(1)).alias("member_count"))
-            .select("membership_type", "member_count",
-                    ratio_round(F.col("member_count"), total, 2, mult=100).alias("percentage"))
+    """Members per type and their share of all members. The total is summed
+    over the grouped rows (one per membership type), not by a second scan."""
+    grouped = lib.members.groupBy("membership_type").agg(F.count(F.lit(1)).alias("member_count"))
+    total = F.sum("member_count").over(Window.partitionBy())
+    return (grouped.select("membership_type", "member_count",
+                           ratio_round(F.col("member_count"), total, 2, mult=100).alias("percentage"))
             .orderBy(F.col("member_count").desc()))
 
 
