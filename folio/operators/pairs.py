@@ -30,7 +30,10 @@ def pairs_within_key(df: DataFrame, key_col: str, id_col: str, carry: Sequence[s
     rows = df.filter(F.col(key_col).isNotNull()).select(key_col, id_col, *carry)
     hot = (hot_keys(rows, [key_col], hot_rows)
            .select(key_col, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_s")))
-    bucketed = (rows.join(F.broadcast(hot), key_col, "left")
+    # The hot-key list holds at most rows / hot_rows keys; with the small
+    # hot_rows needed for small cells that bound can be large, so the join
+    # strategy is left to AQE's measured sizes (skew-join splitting included).
+    bucketed = (rows.join(hot, key_col, "left")
                 .withColumn("_s", F.coalesce(F.col("_s"), F.lit(1)))
                 .withColumn("_b", F.pmod(F.xxhash64(id_col), F.col("_s")).cast("int")))
     other = F.explode(F.sequence(F.lit(0), F.col("_s") - 1))
