@@ -4,7 +4,6 @@ same declared rules (the SQL evaluates them independently in DuckDB)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from folio.jobs.checkout import default_due_date, reject_inactive_loans
 from folio.oracle.jobs_sql import REQUEST_CTES, W10
