@@ -98,9 +98,20 @@ def _w14(spark, sf_dir):
     return guard_book_delete(lib.books.select("book_id"), lib)
 
 
+_outputs: dict = {}
+
+
 def _part(job: Callable[[SparkSession, str], dict], name: str) -> Query:
+    """One output of a job. The job's output DataFrames (immutable plans) are
+    built once per session and data folder and shared by its keys; each key
+    still runs its own output."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return job(spark, sf_dir)[name]
+        key = (job.__name__, sf_dir)
+        hit = _outputs.get(key)
+        if hit is None or hit[0] is not spark:
+            hit = (spark, job(spark, sf_dir))
+            _outputs[key] = hit
+        return hit[1][name]
     run.__name__ = f"{job.__name__}_{name}"
     return run
 
