@@ -14,18 +14,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def keep_top_k_with_ties(df: DataFrame, col: str, k: int, descending: bool = True) -> DataFrame:
-    """Rows whose ``col`` is among the k best values counting ties (NULLs last).
+def top_k_cut(df: DataFrame, col: str, k: int, descending: bool = True):
+    """Scalar struct ``(v, n)``: the k-th best non-NULL value of ``col`` and the
+    number of non-NULL values taken (n < k: fewer than k values exist).
+
+    It is a scalar subquery over a TakeOrderedAndProject, so the cut is found
+    without sorting the table."""
+    c = F.col(col)
+    best = df.filter(c.isNotNull()).select(c).orderBy(c.desc() if descending else c.asc()).limit(k)
+    return best.select(F.struct((F.min(col) if descending else F.max(col)).alias("v"),
+                                F.count(F.lit(1)).alias("n"))).scalar()
 
-    The k-th best value is a scalar subquery over a TakeOrderedAndProject, so
-    the cut is found without sorting the table.
-    """
+
+def keep_top_k_with_ties(df: DataFrame, col: str, k: int, descending: bool = True) -> DataFrame:
+    """Rows whose ``col`` is among the k best values counting ties (NULLs last)."""
     c = F.col(col)
-    non_null = df.filter(c.isNotNull()).select(c)
-    best = non_null.orderBy(c.desc() if descending else c.asc()).limit(k)
-    cut = best.select(F.struct(
-        (F.min(col) if descending else F.max(col)).alias("v"),
-        F.count(F.lit(1)).alias("n")).alias("cut")).scalar()
+    cut = top_k_cut(df, col, k, descending)
     reaches = (c >= cut.getField("v")) if descending else (c <= cut.getField("v"))
     return df.filter(F.coalesce(reaches, F.lit(False)) | (cut.getField("n") < k))
 

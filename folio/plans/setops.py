@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from folio.config import AS_OF
 from folio.functions.scalar import full_name
-from folio.operators.topk import keep_top_k_with_ties
+from folio.operators.topk import keep_top_k_with_ties, top_k_cut
 from folio.plans.common import (active_loans_per_copy, book_author, copy_dim,
                                 loan_counts_per_book_with_copies, unpaid_fines_per_loan)
 from folio.sources.library import Library
@@ -26,12 +26,24 @@ def q7_2_activity_log(lib: Library, k: int = 50) -> DataFrame:
     """Newest k of loans ∪ events ∪ registrations.
 
     Each arm is first cut to the rows whose date reaches that arm's k-th
-    newest date (ties kept), so only those rows are joined to members and
-    books; the final order adds type, person and description as tie-breaks.
+    newest date, so only those rows are joined to members and books; the
+    final order adds type, person and description as tie-breaks.
+
+    Loans are cut further, as one date may hold very many loans. Loans newer
+    than the cut date are fewer than k. Among the loans on the cut date, the
+    ones that can still be in the top k belong to members whose name is among
+    the k smallest names of members with a loan that day (ties kept): every
+    such member has at least one of those rows. Only those loans are joined.
     """
     names = lib.members.select("member_id", full_name().alias("person"))
-    loans = keep_top_k_with_ties(lib.loans.select("loan_id", "member_id", "copy_id", "loan_date"), "loan_date", k)
-    loan_arm = (loans.join(copy_dim(lib, "title"), "copy_id")
+    loans = lib.loans.select("loan_id", "member_id", "copy_id", "loan_date")
+    cut = top_k_cut(loans, "loan_date", k)
+    newer = loans.filter(F.col("loan_date") > cut.getField("v"))
+    on_cut = loans.filter(F.col("loan_date") == cut.getField("v"))
+    first_names = keep_top_k_with_ties(on_cut.select("member_id").distinct().join(names, "member_id"),
+                                       "person", k, descending=False)
+    candidates = newer.unionByName(on_cut.join(first_names.select("member_id"), "member_id", "left_semi"))
+    loan_arm = (candidates.join(copy_dim(lib, "title"), "copy_id")
                 .join(names, "member_id")
                 .withColumnRenamed("title", "description")
                 .select(F.lit("Loan").alias("activity_type"), F.col("loan_date").alias("activity_date"),

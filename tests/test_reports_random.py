@@ -27,7 +27,7 @@ AS_OF = D(2001, 6, 30)
 EV = D(2024, 1, 17)
 
 
-def random_library(spark, seed):
+def random_library(spark, seed, tied_dates=False):
     rnd = random.Random(seed)
     authors = [(a, f"Author {a % 5}", 1900 + a, None if a % 4 == 0 else "C") for a in range(1, 9)]
     firsts, lasts = ["Ann", "Bo", "Cy"], ["Ng", "Li", "Ode", "Park"]
@@ -50,7 +50,7 @@ def random_library(spark, seed):
     loans, fines, fid = [], [], 1
     for lid in range(1, 301):
         member = 1 if lid % 3 == 0 else rnd.randint(1, 60)
-        ld = AS_OF - dt.timedelta(days=rnd.randint(0, 150))
+        ld = AS_OF - dt.timedelta(days=0 if tied_dates and lid % 4 else rnd.randint(0, 150))
         status = rnd.choice(["active", "active", "returned", "lost"])
         ret = min(AS_OF, ld + dt.timedelta(days=rnd.randint(1, 30))) if status == "returned" else None
         loans.append((lid, member, rnd.choice(copies)[0], ld, ld + dt.timedelta(days=14), ret, status))
@@ -94,3 +94,18 @@ def test_report_matches_sql_on_random_library(stored, key):
     sql = ("WITH _unused AS (SELECT 1) " + body) if body.startswith(",") else body
     result = compare(key, REPORTS[key](lib), con, sql)
     assert result.ok, result.detail
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_activity_log_with_most_loans_on_one_date(spark, seed):
+    """7.2 when three quarters of all loans share the newest date."""
+    lib = random_library(spark, seed, tied_dates=True)
+    path = tempfile.mkdtemp(prefix="folio-tied-lib-")
+    lib.write_parquet(path)
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{os.path.join(path, name)}/*.parquet')")
+    stored = Library.from_parquet(spark, path)
+    for key in ("q7_2_activity_log", "q5_1_loan_history"):
+        result = compare(key, REPORTS[key](stored), con, reports_sql._SQL[key].strip())
+        assert result.ok, result.detail
