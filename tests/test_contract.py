@@ -1,13 +1,19 @@
+import re
+
 import __spark_entry__ as entry_mod
 
 from conftest import SF0001
 
 
+def _training(key):
+    return key == "pipeline" or re.match(r"op\d+_", key)
+
+
 def test_queries_and_oracle_keys_line_up():
     qs, sql = entry_mod.queries(), entry_mod.oracle_sql()
     assert set(sql) <= set(qs)
-    # every query has an oracle
-    assert set(qs) == set(sql)
+    # every library query has an oracle; some training-data ones have no SQL form
+    assert {k for k in qs if not _training(k)} == {k for k in sql if not _training(k)}
 
 
 def test_entry_runs(spark):
@@ -18,5 +24,7 @@ def test_entry_runs(spark):
 
 def test_every_query_builds_lazily(spark):
     for key, fn in entry_mod.queries().items():
+        if _training(key):  # these write intermediate tables; tests/llm runs them
+            continue
         df = fn(spark, SF0001)
         assert df.columns, key
