@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from folio.llm.bpe import op9_byte_bpe
 from folio.llm.chat import OP3_SQL, op3_chat_formatting
+from folio.llm.quality import op7_quality_rules
 from folio.llm.shards import op2_sharding
 
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_chat_formatting": op3_chat_formatting,
+    "op7_quality_rules": op7_quality_rules,
+    "op9_byte_bpe": op9_byte_bpe,
 }
 
 SQL = {
