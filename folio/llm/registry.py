@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from folio.llm.bpe import op9_byte_bpe
 from folio.llm.chat import OP3_SQL, op3_chat_formatting
+from folio.llm.hmm import op4_hmm_scoring
 from folio.llm.langid import op1_language_id
 from folio.llm.planes import op5_token_planes
 from folio.llm.quality import op7_quality_rules
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_sharding": op2_sharding,
     "op3_chat_formatting": op3_chat_formatting,
+    "op4_hmm_scoring": op4_hmm_scoring,
     "op5_token_planes": op5_token_planes,
     "op7_quality_rules": op7_quality_rules,
     "op9_byte_bpe": op9_byte_bpe,
