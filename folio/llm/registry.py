@@ -6,6 +6,7 @@ from folio.llm.bpe import op9_byte_bpe
 from folio.llm.chat import OP3_SQL, op3_chat_formatting
 from folio.llm.hmm import op4_hmm_scoring
 from folio.llm.langid import op1_language_id
+from folio.llm.ngram_join import OP10_SQL, op10_ngram_join
 from folio.llm.planes import op5_token_planes
 from folio.llm.quality import op7_quality_rules
 from folio.llm.shards import op2_sharding
@@ -18,8 +19,10 @@ QUERIES = {
     "op5_token_planes": op5_token_planes,
     "op7_quality_rules": op7_quality_rules,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 SQL = {
     "op3_chat_formatting": OP3_SQL,
+    "op10_ngram_join": OP10_SQL,
 }
