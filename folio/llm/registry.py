@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from folio.llm.bpe import op9_byte_bpe
 from folio.llm.chat import OP3_SQL, op3_chat_formatting
+from folio.llm.decontam import OP8_SQL, op8_decontamination
 from folio.llm.hmm import op4_hmm_scoring
 from folio.llm.langid import op1_language_id
 from folio.llm.ngram_join import OP10_SQL, op10_ngram_join
@@ -18,11 +19,13 @@ QUERIES = {
     "op4_hmm_scoring": op4_hmm_scoring,
     "op5_token_planes": op5_token_planes,
     "op7_quality_rules": op7_quality_rules,
+    "op8_decontamination": op8_decontamination,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_ngram_join": op10_ngram_join,
 }
 
 SQL = {
     "op3_chat_formatting": OP3_SQL,
+    "op8_decontamination": OP8_SQL,
     "op10_ngram_join": OP10_SQL,
 }
