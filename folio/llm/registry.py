@@ -11,6 +11,7 @@ from folio.llm.ngram_join import OP10_SQL, op10_ngram_join
 from folio.llm.planes import op5_token_planes
 from folio.llm.quality import op7_quality_rules
 from folio.llm.shards import op2_sharding
+from folio.llm.tagpath import op6_tag_paths
 
 QUERIES = {
     "op1_language_id": op1_language_id,
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_chat_formatting": op3_chat_formatting,
     "op4_hmm_scoring": op4_hmm_scoring,
     "op5_token_planes": op5_token_planes,
+    "op6_tag_paths": op6_tag_paths,
     "op7_quality_rules": op7_quality_rules,
     "op8_decontamination": op8_decontamination,
     "op9_byte_bpe": op9_byte_bpe,
