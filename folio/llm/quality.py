@@ -44,9 +44,6 @@ RULES = [
     ("letters", "n_letters * 100 >= 75 * word_chars", "n_letters * 100 < 50 * word_chars"),
 ]
 GOOD, BAD, ABSTAIN = 1, 2, 0
-#: A rule's bad votes are taken to hit at most this share of the good documents it votes on. Kinds of
-#: bad text are many and each sets off few rules; without the bound one kind joins the good class.
-MAX_WRONG_VETO = 0.005
 
 #: Bytes of ASCII capitals, letters, and all of ASCII.
 _UPPER = bytes(range(65, 91))
@@ -112,8 +109,6 @@ def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, tol:
         weight = np.stack([good, 1 - good]) * counts
         chance = np.einsum("cp,vpr->cvr", weight, cast) + 1
         chance /= chance.sum(axis=1, keepdims=True)
-        veto = np.minimum(chance[0, 1], MAX_WRONG_VETO)
-        chance[0] = 1 - veto, veto
         prior = (weight[0].sum() + 1) / (counts.sum() + 2)
         log = np.einsum("cvr,vpr->cp", np.log(chance), cast) + np.log([[prior], [1 - prior]])
         new = 1 / (1 + np.exp(np.clip(log[1] - log[0], -500, 500)))
