@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from folio.config import AS_OF_EVENTS
 from folio.functions.scalar import full_name, ratio_round
+from folio.operators.topk import enrich_top_k, top_k_cut
 from folio.plans.common import book_author
 from folio.sources.library import Library
 
@@ -60,8 +61,8 @@ def q4_5_never_borrowed_copies(lib: Library) -> DataFrame:
     lent_copies = lib.loans.select("copy_id").distinct()
     never = lib.book_copies.select("copy_id", "book_id", "acquisition_date").join(lent_copies, "copy_id", "left_anti")
     return (never.join(book_author(lib), "book_id")
-            .select("title", "author_name", "genre", "acquisition_date")
-            .orderBy("acquisition_date"))
+            .orderBy("acquisition_date", "copy_id")
+            .select("title", "author_name", "genre", "acquisition_date"))
 
 
 def q4_6_member_activity(lib: Library, k: int = 10) -> DataFrame:
@@ -83,15 +84,21 @@ def q4_6_member_activity(lib: Library, k: int = 10) -> DataFrame:
         F.sum("w").cast("long").alias("total_loans"),
         F.sum(F.when(F.col("status") == "active", F.col("w")).otherwise(F.lit(0))).cast("long").alias("active_loans"),
         F.sum("unpaid").cast("decimal(20,2)").alias("unpaid_fines"))
-    return (per_member.filter(F.col("total_loans") > 0)
-            .join(lib.members.select("member_id", full_name().alias("member_name")), "member_id")
-            .orderBy(F.col("total_loans").desc(), F.col("member_id")).limit(k)
+    order = [F.col("total_loans").desc(), F.col("member_id")]
+    top = per_member.filter(F.col("total_loans") > 0).orderBy(*order).limit(k)
+    return (enrich_top_k(top, (lib.members.select("member_id", full_name().alias("member_name")), "member_id", "inner"))
+            .orderBy(*order)
             .select("member_name", "total_loans", "active_loans", "unpaid_fines"))
 
 
 def q4_7_monthly_loans(lib: Library, k: int = 6) -> DataFrame:
-    joined = lib.loans.select("loan_id", "member_id", "copy_id", "loan_date").join(
-        lib.book_copies.select("copy_id", "book_id"), "copy_id")
+    """The newest k months. They are found first (a small aggregate of months), so the distinct counts
+    expand only their loans and not the whole history."""
+    months = lib.loans.select(F.trunc("loan_date", "month").alias("m")).distinct()
+    cut = top_k_cut(months, "m", k)
+    newest = F.coalesce(F.col("loan_date") >= cut.getField("v"), F.lit(False)) | (cut.getField("n") < k)
+    joined = (lib.loans.select("loan_id", "member_id", "copy_id", "loan_date").filter(newest)
+              .join(lib.book_copies.select("copy_id", "book_id"), "copy_id"))
     return (joined.groupBy(F.year("loan_date").cast("long").alias("loan_year"),
                            F.month("loan_date").cast("long").alias("loan_month"))
             .agg(F.count("loan_id").alias("total_loans"),

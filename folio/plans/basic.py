@@ -1,4 +1,8 @@
-"""Basic reports: filters, projections, sorts, small joins (group 3)."""
+"""Basic reports: filters, projections, sorts, small joins (group 3).
+
+Here and in the other groups, a sort on a column of few values (a year, a date, a count) ends with the
+row's unique id: a range exchange never splits equal sort keys, so without it one task would get
+all rows of a value."""
 
 from __future__ import annotations
 
@@ -23,8 +27,8 @@ def q3_1_active_members(lib: Library) -> DataFrame:
 def q3_2_books_since_2001(lib: Library, min_year: int = 2001) -> DataFrame:
     books = lib.books.filter(F.col("publication_year") >= min_year)
     return (books.join(lib.authors.select("author_id", "author_name"), "author_id", "left")
-            .select("title", "author_name", F.col("publication_year").alias("pub_year"), "genre")
-            .orderBy(F.col("pub_year").desc()))
+            .orderBy(F.col("publication_year").desc(), "book_id")
+            .select("title", "author_name", F.col("publication_year").alias("pub_year"), "genre"))
 
 
 def q3_3_genre_search(lib: Library, genre: str = "PROMO") -> DataFrame:
@@ -41,25 +45,25 @@ def q3_3_genre_search(lib: Library, genre: str = "PROMO") -> DataFrame:
 
 def q3_4_overdue_loans(lib: Library, as_of: _dt.date = AS_OF) -> DataFrame:
     loans = lib.loans.filter((F.col("status") == "active") & (F.col("due_date") < F.lit(as_of)))
-    return (loans.select("member_id", "copy_id", "loan_date", "due_date")
+    return (loans.select("loan_id", "member_id", "copy_id", "loan_date", "due_date")
             .join(copy_dim(lib, "title"), "copy_id")
             .join(lib.members.select("member_id", full_name().alias("member_name")), "member_id")
+            .orderBy("due_date", "loan_id")  # the most days overdue first
             .select("member_name", F.col("title").alias("book_title"), "loan_date", "due_date",
-                    days_between(F.lit(as_of), "due_date").alias("days_overdue"))
-            .orderBy(F.col("days_overdue").desc()))
+                    days_between(F.lit(as_of), "due_date").alias("days_overdue")))
 
 
 def q3_5_recent_joiners(lib: Library, as_of: _dt.date = AS_OF, days: int = RECENT_JOIN_DAYS) -> DataFrame:
     return (lib.members.filter(F.col("join_date") >= F.date_sub(F.lit(as_of), days))
-            .select("first_name", "last_name", "join_date", "membership_type")
-            .orderBy(F.col("join_date").desc()))
+            .orderBy(F.col("join_date").desc(), "member_id")
+            .select("first_name", "last_name", "join_date", "membership_type"))
 
 
 def q3_6_poor_condition(lib: Library) -> DataFrame:
     copies = lib.book_copies.filter(F.col("condition_status").isin("poor", "fair"))
     severity = F.when(F.col("condition_status") == "poor", 1).when(F.col("condition_status") == "fair", 2).otherwise(3)
     return (copies.join(lib.books.select("book_id", F.col("title").alias("book_title")), "book_id")
-            .orderBy(severity, "acquisition_date")
+            .orderBy(severity, "acquisition_date", "copy_id")
             .select("book_title", "copy_number", "condition_status", "acquisition_date"))
 
 
@@ -79,5 +83,5 @@ def q3_8_upcoming_events(lib: Library, as_of: _dt.date = AS_OF_EVENTS,
                          days: int = UPCOMING_EVENT_DAYS) -> DataFrame:
     d = F.col("event_date")
     return (lib.lib_events.filter((d > F.lit(as_of)) & (d <= F.date_add(F.lit(as_of), days)))
-            .select("event_name", "event_date", "event_type", "max_attendees")
-            .orderBy("event_date"))
+            .orderBy("event_date", "event_id")
+            .select("event_name", "event_date", "event_type", "max_attendees"))

@@ -21,26 +21,27 @@ def q5_1_loan_history(lib: Library, k: int = 20) -> DataFrame:
     loan_id) is taken on loans alone; the joins follow foreign keys."""
     order = [F.col("loan_date").desc(), F.col("loan_id").desc()]
     top = lib.loans.orderBy(*order).limit(k)
-    books = book_author(lib).select("book_id", F.col("title").alias("book_title"), F.col("author_name").alias("author"))
+    books = lib.books.select("book_id", F.col("title").alias("book_title"), "author_id")
+    authors = lib.authors.select("author_id", F.col("author_name").alias("author"))
     return (enrich_top_k(top,
                          (lib.members.select("member_id", full_name().alias("member_name"), "email"), "member_id",
                           "inner"),
                          (lib.book_copies.select("copy_id", "book_id"), "copy_id", "inner"),
-                         (books, "book_id", "inner"))
+                         (books, "book_id", "inner"), (authors, "author_id", "inner"))
             .orderBy(*order)
             .select("member_name", "email", "book_title", "author", "loan_date", "due_date",
                     "return_date", "status"))
 
 
 def q5_2_on_loan(lib: Library, as_of: _dt.date = AS_OF) -> DataFrame:
-    active = lib.loans.filter(F.col("status") == "active").select("member_id", "copy_id", "loan_date", "due_date")
+    active = lib.loans.filter(F.col("status") == "active").select("loan_id", "member_id", "copy_id", "loan_date", "due_date")
     copies = copy_dim(lib, "title", author=True, copy_cols=("copy_number",))
     return (active.join(copies, "copy_id")
             .join(lib.members.select("member_id", full_name().alias("member_name")), "member_id")
+            .orderBy("due_date", "loan_id")
             .select(F.col("title").alias("book_title"), F.col("author_name").alias("author"), "copy_number",
                     "member_name", "loan_date", "due_date",
-                    days_between("due_date", F.lit(as_of)).alias("days_until_due"))
-            .orderBy("due_date"))
+                    days_between("due_date", F.lit(as_of)).alias("days_until_due")))
 
 
 def q5_3_members_unpaid(lib: Library) -> DataFrame:
@@ -69,11 +70,11 @@ def q5_4_availability(lib: Library) -> DataFrame:
         F.sum("k").cast("long").alias("copies_on_loan"))
     books = book_author(lib).select("book_id", F.col("title").alias("book_title"), F.col("author_name").alias("author"))
     out = (books.join(per_book, "book_id", "left")
-           .select("book_title", "author",
+           .select("book_id", "book_title", "author",
                    F.coalesce(F.col("total_copies"), F.lit(0)).cast("long").alias("total_copies"),
                    F.coalesce(F.col("copies_on_loan"), F.lit(0)).cast("long").alias("copies_on_loan")))
     return (out.withColumn("available_copies", F.col("total_copies") - F.col("copies_on_loan"))
-            .orderBy("available_copies"))
+            .orderBy("available_copies", "book_id").drop("book_id"))
 
 
 def q5_5_attendance(lib: Library, as_of: _dt.date = AS_OF_EVENTS) -> DataFrame:
@@ -81,7 +82,7 @@ def q5_5_attendance(lib: Library, as_of: _dt.date = AS_OF_EVENTS) -> DataFrame:
     return (lib.event_registrations.select("event_id", "member_id", "registration_date")
             .join(events, "event_id")
             .join(lib.members.select("member_id", full_name().alias("member_name"), "email", "last_name"), "member_id")
-            .orderBy("event_date", "last_name")
+            .orderBy("event_date", "last_name", "member_id", "event_id")
             .select("event_name", "event_date", "member_name", "email", "registration_date"))
 
 
@@ -91,9 +92,10 @@ def q5_6_author_popularity(lib: Library, k: int = 10) -> DataFrame:
     per_author = (loans_per_book(lib).join(lib.books.select("book_id", "author_id"), "book_id")
                   .groupBy("author_id").agg(F.countDistinct("book_id").alias("book_count"),
                                             F.sum("n_loans").cast("long").alias("total_loans")))
-    return (per_author.filter(F.col("total_loans") > 0)
-            .join(lib.authors.select("author_id", F.col("author_name").alias("author")), "author_id")
-            .orderBy(F.col("total_loans").desc(), F.col("author_id")).limit(k)
+    order = [F.col("total_loans").desc(), F.col("author_id")]
+    top = per_author.filter(F.col("total_loans") > 0).orderBy(*order).limit(k)
+    return (enrich_top_k(top, (lib.authors.select("author_id", F.col("author_name").alias("author")), "author_id", "inner"))
+            .orderBy(*order)
             .select("author", "book_count", "total_loans",
                     ratio_round(F.col("total_loans"), F.col("book_count"), 2).alias("avg_loans_per_book")))
 
@@ -101,13 +103,13 @@ def q5_6_author_popularity(lib: Library, k: int = 10) -> DataFrame:
 def q5_7_members_never_borrowed(lib: Library) -> DataFrame:
     borrowers = lib.loans.select("member_id").distinct()
     return (lib.members.join(borrowers, "member_id", "left_anti")
-            .select(full_name().alias("member_name"), "email", "join_date", "membership_type")
-            .orderBy("join_date"))
+            .orderBy("join_date", "member_id")
+            .select(full_name().alias("member_name"), "email", "join_date", "membership_type"))
 
 
 def q5_8_same_address_pairs(lib: Library) -> DataFrame:
     people = lib.members.select("member_id", "address", full_name().alias("name"))
     pairs = pairs_within_key(people, "address", "member_id", ["name"])
-    return (pairs.select(F.col("a_name").alias("member_1"), F.col("b_name").alias("member_2"),
-                         F.col("address").alias("shared_address"))
-            .orderBy("shared_address"))
+    return (pairs.orderBy("address", "a_member_id", "b_member_id")
+            .select(F.col("a_name").alias("member_1"), F.col("b_name").alias("member_2"),
+                    F.col("address").alias("shared_address")))

@@ -26,9 +26,10 @@ def member_report(lib: Library, member_ids: DataFrame,
                .select("member_id", "copy_id", "loan_date", "due_date")
                .join(copy_dim(lib, "title"), "copy_id")
                .select("member_id", "title", "loan_date", "due_date"))
-    unpaid = (lib.fines.filter(F.col("paid") == F.lit(False)).groupBy("loan_id")
-              .agg(F.sum("fine_amount").alias("s"))
-              .join(lib.loans.select("loan_id", "member_id"), "loan_id")
+    their_loans = lib.loans.select("loan_id", "member_id").join(ids, "member_id", "left_semi")
+    unpaid = (lib.fines.filter(F.col("paid") == F.lit(False)).select("loan_id", "fine_amount")
+              .join(their_loans, "loan_id")
+              .groupBy("member_id", "loan_id").agg(F.sum("fine_amount").alias("s"))
               .groupBy("member_id").agg(F.sum("s").alias("s")))
     unpaid_total = ids.join(unpaid, "member_id", "left").select(
         "member_id", F.coalesce(F.col("s"), F.lit(0)).cast("decimal(20,2)").alias("total_unpaid"))

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from folio.config import AS_OF
 from folio.functions.scalar import full_name
-from folio.operators.topk import keep_top_k_with_ties, top_k_cut
-from folio.plans.common import (active_loans_per_copy, book_author, copy_dim,
+from folio.operators.topk import enrich_top_k, keep_top_k_with_ties, top_k_cut
+from folio.plans.common import (active_loans_per_copy, copy_dim,
                                 loan_counts_per_book_with_copies, unpaid_fines_per_loan)
 from folio.sources.library import Library
 
@@ -29,21 +29,23 @@ def q7_2_activity_log(lib: Library, k: int = 50) -> DataFrame:
     newest date, so only those rows are joined to members and books; the
     final order adds type, person and description as tie-breaks.
 
-    Loans are cut further, as one date may hold very many loans. Loans newer
-    than the cut date are fewer than k. Among the loans on the cut date, the
+    Loans and registrations are cut further, as one date may hold very many. Rows
+    newer than the cut date are fewer than k. Among the rows on the cut date, the
     ones that can still be in the top k belong to members whose name is among
-    the k smallest names of members with a loan that day (ties kept): every
-    such member has at least one of those rows. Only those loans are joined.
+    the k smallest names of members with a row that day (ties kept): every
+    such member has at least one of those rows. Only those rows are joined.
     """
     names = lib.members.select("member_id", full_name().alias("person"))
-    loans = lib.loans.select("loan_id", "member_id", "copy_id", "loan_date")
-    cut = top_k_cut(loans, "loan_date", k)
-    newer = loans.filter(F.col("loan_date") > cut.getField("v"))
-    on_cut = loans.filter(F.col("loan_date") == cut.getField("v"))
-    first_names = keep_top_k_with_ties(on_cut.select("member_id").distinct().join(names, "member_id"),
-                                       "person", k, descending=False)
-    candidates = newer.unionByName(on_cut.join(first_names.select("member_id"), "member_id", "left_semi"))
-    loan_arm = (candidates.join(copy_dim(lib, "title"), "copy_id")
+
+    def newest(rows: DataFrame, day: str) -> DataFrame:
+        cut = top_k_cut(rows, day, k)
+        newer = rows.filter(F.col(day) > cut.getField("v"))
+        on_cut = rows.filter(F.col(day) == cut.getField("v"))
+        first_names = keep_top_k_with_ties(on_cut.select("member_id").distinct().join(names, "member_id"),
+                                           "person", k, descending=False)
+        return newer.unionByName(on_cut.join(first_names.select("member_id"), "member_id", "left_semi"))
+
+    loan_arm = (newest(lib.loans.select("loan_id", "member_id", "copy_id", "loan_date"), "loan_date").join(copy_dim(lib, "title"), "copy_id")
                 .join(names, "member_id")
                 .withColumnRenamed("title", "description")
                 .select(F.lit("Loan").alias("activity_type"), F.col("loan_date").alias("activity_date"),
@@ -51,9 +53,8 @@ def q7_2_activity_log(lib: Library, k: int = 50) -> DataFrame:
     events = keep_top_k_with_ties(lib.lib_events, "event_date", k)
     event_arm = events.select(F.lit("Event").alias("activity_type"), F.col("event_date").alias("activity_date"),
                               F.lit(None).cast("string").alias("person"), F.col("event_name").alias("description"))
-    regs = keep_top_k_with_ties(lib.event_registrations, "registration_date", k)
-    reg_arm = (regs.select("event_id", "member_id", "registration_date")
-               .join(names, "member_id")
+    regs = newest(lib.event_registrations.select("event_id", "member_id", "registration_date"), "registration_date")
+    reg_arm = (regs.join(names, "member_id")
                .join(lib.lib_events.select("event_id", F.col("event_name").alias("description")), "event_id")
                .select(F.lit("Registration").alias("activity_type"),
                        F.col("registration_date").alias("activity_date"), "person", "description"))
@@ -102,12 +103,14 @@ def q7_4_members_with_issues(lib: Library, as_of: _dt.date = AS_OF) -> DataFrame
 
 
 def q7_5_popular_unpopular(lib: Library, k: int = 10) -> DataFrame:
-    per_book = (loan_counts_per_book_with_copies(lib)
-                .join(book_author(lib).select("book_id", "title", F.col("author_name").alias("author")), "book_id"))
+    """The two top k are taken on the counts alone; only their rows are joined (along foreign keys)."""
+    per_book = loan_counts_per_book_with_copies(lib)
     popular = (per_book.filter(F.col("n_loans") > 0).orderBy(F.col("n_loans").desc(), F.col("book_id")).limit(k)
                .withColumn("category", F.lit("Popular")))
     unpopular = (per_book.orderBy(F.col("n_loans").asc(), F.col("book_id")).limit(k)
                  .withColumn("category", F.lit("Unpopular")))
-    return (popular.unionByName(unpopular)
-            .select("title", "author", "category", F.col("n_loans").alias("loan_count"))
-            .orderBy("category", "loan_count"))
+    books = lib.books.select("book_id", "title", "author_id")
+    authors = lib.authors.select("author_id", F.col("author_name").alias("author"))
+    return (enrich_top_k(popular.unionByName(unpopular), (books, "book_id", "inner"), (authors, "author_id", "inner"))
+            .orderBy("category", "n_loans", "book_id")
+            .select("title", "author", "category", F.col("n_loans").alias("loan_count")))

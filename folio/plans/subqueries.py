@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from folio.config import MEMBERSHIP_FEE
 from folio.functions.scalar import full_name, ratio_round, year_month
-from folio.operators.ranking import sequence_within
 from folio.operators.topk import enrich_top_k
 from folio.plans.common import book_author, copy_dim, loans_per_book, unpaid_fines_per_loan
 from folio.sources.library import Library
@@ -36,10 +35,10 @@ def q6_2_popular_books(lib: Library) -> DataFrame:
     stats = per_book.select(F.struct(F.sum("n_loans").alias("s"), F.count(F.lit(1)).alias("n"))).scalar()
     return (per_book.filter(F.col("n_loans") * stats.getField("n") > stats.getField("s"))
             .join(book_author(lib), "book_id")
+            .orderBy(F.col("n_loans").desc(), "book_id")
             .select(F.col("title").alias("book_title"), F.col("author_name").alias("author"),
                     F.col("n_loans").cast("long").alias("total_loans"),
-                    ratio_round(stats.getField("s"), stats.getField("n"), 4).alias("avg_loans"))
-            .orderBy(F.col("total_loans").desc()))
+                    ratio_round(stats.getField("s"), stats.getField("n"), 4).alias("avg_loans")))
 
 
 def q6_3_borrowing_summary(lib: Library) -> DataFrame:
@@ -52,12 +51,12 @@ def q6_3_borrowing_summary(lib: Library) -> DataFrame:
     return (lib.members.select("member_id", full_name().alias("member_name"))
             .join(loan_counts, "member_id", "left")
             .join(fine_totals, "member_id", "left")
+            .orderBy(F.coalesce(F.col("lc"), F.lit(0)).desc(), "member_id")
             .select("member_name",
                     F.coalesce(F.col("lc"), F.lit(0)).cast("long").alias("total_loans"),
                     active.alias("active_loans"),
                     F.coalesce(F.col("ft"), F.lit(0)).cast("decimal(20,2)").alias("total_fines"),
-                    F.when(active > 0, "Active Borrower").otherwise("Inactive").alias("member_status"))
-            .orderBy(F.col("total_loans").desc()))
+                    F.when(active > 0, "Active Borrower").otherwise("Inactive").alias("member_status")))
 
 
 def q6_4_books_never_loaned(lib: Library) -> DataFrame:
@@ -69,10 +68,10 @@ def q6_4_books_never_loaned(lib: Library) -> DataFrame:
     return (never.select("book_id", "title", "genre", "publication_year", "author_id")
             .join(lib.authors.select("author_id", F.col("author_name").alias("author")), "author_id")
             .join(copies, "book_id", "left")
+            .orderBy("publication_year", "book_id")
             .select("title", "author", "genre",
                     F.coalesce(F.col("n_copies"), F.lit(0)).cast("long").alias("total_copies"),
-                    "publication_year")
-            .orderBy("publication_year"))
+                    "publication_year"))
 
 
 def q6_5_attended_all(lib: Library, event_type: str = "book_club") -> DataFrame:
@@ -125,46 +124,37 @@ def q6_7_last_loan(lib: Library) -> DataFrame:
             .select("book_id", "title", "author_name", F.col("last.loan_date").alias("most_recent_loan"),
                     F.col("last.member_id").alias("last_member"))
             .join(names, "last_member", "left")
+            .orderBy(F.col("most_recent_loan").desc(), "book_id")
             .select(F.col("title").alias("book_title"), F.col("author_name").alias("author"),
-                    "most_recent_loan", "last_borrower")
-            .orderBy(F.col("most_recent_loan").desc()))
+                    "most_recent_loan", "last_borrower"))
 
 
 def q6_8_recommendations(lib: Library, k: int = 5) -> DataFrame:
     """Unread books of each member's favourite genre; the first k rows in
     (member_id, book_id) order.
 
-    Joining members to all books of their genre would pair every member with
-    a large share of the catalogue. Instead, books are numbered inside their
-    genre by book_id (``rk``), and only ranks that can be among a member's
-    first k unread ones are generated: 1..k, and r+1..r+k after every rank r
-    the member has read. (If u is a member's j-th unread rank, j <= k, and r is
-    the largest read rank below u, the ranks between r and u are all unread
-    and fewer than j, so u <= r + k; with no read rank below u, u = j <= k.)
-    That is at most k * (1 + books read) candidates per member, exact.
+    A member has something unread if the genre has more books than the member
+    read of it. The k smallest such members hold the first k rows (each has at
+    least one), so only their genres' books and their own loans are looked at.
     """
-    read = (lib.loans.select("member_id", "copy_id")
-            .join(copy_dim(lib, "genre"), "copy_id")
-            .select("member_id", "book_id", "genre"))
-    per_genre = read.groupBy("member_id", "genre").agg(F.count(F.lit(1)).alias("c"))
-    fav = (per_genre.groupBy("member_id")
-           .agg(F.min_by("genre", F.struct(-F.col("c"), F.col("genre"))).alias("genre"))
-           .join(lib.members.select("member_id"), "member_id", "left_semi"))
-    ranked = sequence_within(book_author(lib).select("book_id", "title", "genre"), ["genre"], ["book_id"],
-                             out_col="rk")
-    read_fav = (read.select("member_id", "book_id", "genre").distinct()
-                .join(fav, ["member_id", "genre"])
-                .join(ranked.select("book_id", "genre", "rk"), ["book_id", "genre"])
-                .select("member_id", "genre", "rk"))
-    first = fav.select("member_id", "genre",
-                       F.explode(F.sequence(F.lit(1).cast("long"), F.lit(k).cast("long"))).alias("rk"))
-    after_read = read_fav.select("member_id", "genre",
-                                 F.explode(F.sequence(F.col("rk") + 1, F.col("rk") + k)).alias("rk"))
-    unread = (first.unionByName(after_read).distinct()
-              .join(read_fav, ["member_id", "genre", "rk"], "left_anti"))
-    recs = unread.join(ranked, ["genre", "rk"])
-    top = recs.orderBy("member_id", "book_id").limit(k)
-    return (enrich_top_k(top, (lib.members.select("member_id", full_name().alias("member_name")), "member_id", "inner"))
+    read = (lib.loans.select("member_id", "copy_id").join(copy_dim(lib, "genre"), "copy_id")
+            .groupBy("member_id", "genre", "book_id").agg(F.count(F.lit(1)).alias("c"))
+            .groupBy("member_id", "genre").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("books_read")))
+    favourite = (read.groupBy("member_id")
+                 .agg(F.min_by(F.struct("genre", "books_read"), F.struct(-F.col("c"), F.col("genre"))).alias("f"))
+                 .select("member_id", "f.*"))
+    books = book_author(lib).select("book_id", "title", "genre")
+    in_genre = books.groupBy("genre").agg(F.count(F.lit(1)).alias("books"))
+    names = lib.members.select("member_id", full_name().alias("member_name"))
+    first = (favourite.join(in_genre, "genre").filter(F.col("books") > F.col("books_read"))
+             .join(lib.members.select("member_id"), "member_id", "left_semi")
+             .orderBy("member_id").limit(k).select("member_id", "genre"))
+    # k rows: a proven bound for the broadcasts below.
+    own = (F.broadcast(first.select("member_id")).join(lib.loans.select("member_id", "copy_id"), "member_id")
+           .join(lib.book_copies.select("copy_id", "book_id"), "copy_id").select("member_id", "book_id").distinct())
+    unread = F.broadcast(first).join(books, "genre").join(own, ["member_id", "book_id"], "left_anti")
+    top = unread.orderBy("member_id", "book_id").limit(k)
+    return (enrich_top_k(top, (names, "member_id", "inner"))
             .orderBy("member_id", "book_id")
             .select("member_name", F.col("genre").alias("favorite_genre"),
                     F.col("title").alias("recommended_book")))

@@ -17,8 +17,8 @@ from folio.sources.library import Library
 
 def q11_1_loans_per_book(lib: Library) -> DataFrame:
     return (loans_per_book(lib).join(book_author(lib), "book_id")
-            .select("title", "author_name", F.col("n_loans").cast("long").alias("loan_count"))
-            .orderBy(F.col("loan_count").desc()))
+            .orderBy(F.col("n_loans").desc(), "book_id")
+            .select("title", "author_name", F.col("n_loans").cast("long").alias("loan_count")))
 
 
 def q11_3_active_per_member(lib: Library) -> DataFrame:

@@ -29,23 +29,23 @@ def q8_1_member_ranks(lib: Library) -> DataFrame:
     rank and dense_rank come from the table of distinct counts; row_number =
     rank + position among members with the same count - 1, numbered per block.
     """
-    per_member = (lib.loans.groupBy("member_id").agg(F.count("loan_id").alias("total_loans"))
-                  .join(lib.members.select("member_id", full_name().alias("member_name")), "member_id"))
+    per_member = lib.loans.groupBy("member_id").agg(F.count("loan_id").alias("total_loans"))
     ranked = rank_by_value(per_member, "total_loans", descending=True, rank_col="rank_no",
                            dense_col="dense_rank_no")
     numbered = sequence_within(ranked, ["total_loans"], ["member_id"], out_col="pos")
-    return (numbered.select((F.col("rank_no") + F.col("pos") - 1).alias("row_num"), "rank_no", "dense_rank_no",
+    return (numbered.join(lib.members.select("member_id", full_name().alias("member_name")), "member_id")
+            .select((F.col("rank_no") + F.col("pos") - 1).alias("row_num"), "rank_no", "dense_rank_no",
                             "member_name", "total_loans", "member_id")
             .orderBy(F.col("total_loans").desc(), F.col("member_id"))
             .drop("member_id"))
 
 
 def q8_2_running_fines(lib: Library) -> DataFrame:
-    paid = lib.fines.filter(F.col("paid") == F.lit(True)).select("payment_date", "fine_amount")
+    paid = lib.fines.filter(F.col("paid") == F.lit(True)).select("payment_date", "fine_amount", "fine_id")
     return (running_total_by_key(paid, "payment_date", "fine_amount", "running_total", nulls_first=True,
                                  result_type="decimal(20,2)")
-            .select("payment_date", "fine_amount", "running_total")
-            .orderBy(F.col("payment_date").asc_nulls_first()))
+            .orderBy(F.col("payment_date").asc_nulls_first(), "fine_id")
+            .select("payment_date", "fine_amount", "running_total"))
 
 
 def q8_3_top3_per_genre(lib: Library, k: int = 3) -> DataFrame:
@@ -74,8 +74,8 @@ def q8_4_monthly_change(lib: Library) -> DataFrame:
     lagged = chunked_lag(monthly, ["member_name"], ["loan_month", "member_id"], "monthly_loans", "_chunk",
                          "prev_month_loans")
     return (lagged.withColumn("difference", F.col("monthly_loans") - F.col("prev_month_loans"))
-            .select("member_name", "loan_month", "monthly_loans", "prev_month_loans", "difference")
-            .orderBy("member_name", "loan_month"))
+            .orderBy("member_name", "loan_month", "member_id")
+            .select("member_name", "loan_month", "monthly_loans", "prev_month_loans", "difference"))
 
 
 def q8_5_next_event(lib: Library, as_of: _dt.date = AS_OF_EVENTS) -> DataFrame:
@@ -86,8 +86,8 @@ def q8_5_next_event(lib: Library, as_of: _dt.date = AS_OF_EVENTS) -> DataFrame:
                   .groupBy("member_id").agg(F.min_by(F.struct("event_name", "event_date"),
                                                      F.struct("event_date", "event_id")).alias("nxt")))
     return (per_member.join(lib.members.select("member_id", full_name().alias("member_name")), "member_id")
-            .select("member_name", F.col("nxt.event_name").alias("next_event"), F.col("nxt.event_date").alias("event_date"))
-            .orderBy("event_date"))
+            .orderBy("nxt.event_date", "member_id")
+            .select("member_name", F.col("nxt.event_name").alias("next_event"), F.col("nxt.event_date").alias("event_date")))
 
 
 def q8_6_moving_avg(lib: Library, k: int = 30) -> DataFrame:
@@ -99,25 +99,27 @@ def q8_6_moving_avg(lib: Library, k: int = 30) -> DataFrame:
 
 
 def q8_7_fine_percentile(lib: Library) -> DataFrame:
-    rows = (lib.fines.filter(F.col("paid") == F.lit(False)).select("loan_id", "fine_amount")
-            .join(lib.loans.select("loan_id", "member_id"), "loan_id")
-            .join(lib.members.select("member_id", full_name().alias("member_name")), "member_id")
-            .select("member_name", "fine_amount"))
+    """PERCENT_RANK of the unpaid fines, ranked on the fines alone; names are joined to the ranked rows
+    (along foreign keys, so the population is the same)."""
+    rows = lib.fines.filter(F.col("paid") == F.lit(False)).select("fine_id", "loan_id", "fine_amount")
     # blocks of 100 currency units: at most 10,000 distinct cent amounts each
     ranked = percent_rank_by_value(rows, "fine_amount", out_rank="_r", out_n="_n", block_width=100)
     pct = F.when(F.col("_n") == 1, F.lit(0.0)).otherwise(
         ratio_round(F.col("_r") - 1, F.col("_n") - 1, 2, mult=100))
-    return (ranked.select("member_name", "fine_amount", pct.alias("percentile_rank"))
-            .orderBy(F.col("percentile_rank").desc()))
+    return (ranked.select("fine_id", "loan_id", "fine_amount", pct.alias("percentile_rank"))
+            .join(lib.loans.select("loan_id", "member_id"), "loan_id")
+            .join(lib.members.select("member_id", full_name().alias("member_name")), "member_id")
+            .orderBy(F.col("percentile_rank").desc(), "fine_id")
+            .select("member_name", "fine_amount", "percentile_rank"))
 
 
 def q8_8_loan_gaps(lib: Library) -> DataFrame:
     """Days between a member's consecutive loans (ties on a day by loan_id).
     LAG per member is computed month by month (see operators.lag)."""
     rows = (lib.loans.select("member_id", "loan_id", "loan_date")
-            .join(lib.members.select("member_id", full_name().alias("member_name")), "member_id")
             .withColumn("_month", F.year("loan_date") * 12 + F.month("loan_date")))
     lagged = chunked_lag(rows, ["member_id"], ["loan_date", "loan_id"], "loan_date", "_month", "prev_loan_date")
-    return (lagged.select("member_name", "loan_date", "prev_loan_date",
-                          days_between("loan_date", "prev_loan_date").alias("days_gap"))
-            .orderBy("member_name", "loan_date"))
+    return (lagged.join(lib.members.select("member_id", full_name().alias("member_name")), "member_id")
+            .orderBy("member_name", "loan_date", "loan_id")
+            .select("member_name", "loan_date", "prev_loan_date",
+                    days_between("loan_date", "prev_loan_date").alias("days_gap")))
