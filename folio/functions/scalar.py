@@ -44,14 +44,14 @@ def year_month(d) -> Column:
 def ratio_round(num, den, scale: int, mult: int = 1) -> Column:
     """``ROUND(num * mult / den, scale)`` computed exactly, rounding half up.
 
-    ``num`` and ``den`` are non-negative integers (counts, sums of day counts).
-    The quotient is formed with integer arithmetic and only the final value is
-    a DOUBLE, so the result does not depend on floating-point rounding of the
-    intermediate ratio. NULL when ``den`` is NULL or 0.
+    ``num`` is an integer (a count or a sum of day counts, which may be
+    negative), ``den`` a count. Halves round away from zero. The quotient is
+    an integer division, and only the final value is a DOUBLE, so the result
+    does not depend on floating-point rounding of the ratio. NULL when ``den``
+    is NULL or 0.
     """
     factor = 10 ** scale
     den_nz = F.when(col_(den) != 0, col_(den).cast("long"))
-    n2 = col_(num).cast("long") * (2 * mult * factor) + den_nz
-    d2 = den_nz * 2
-    quotient = (n2 - n2 % d2) / d2          # exact integer, as DOUBLE
-    return quotient / F.lit(float(factor))
+    n = col_(num).cast("long")
+    quotient = F.call_function("div", F.abs(n) * (2 * mult * factor) + den_nz, den_nz * 2)
+    return F.signum(n) * quotient / F.lit(float(factor))

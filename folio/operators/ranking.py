@@ -26,6 +26,9 @@ from pyspark.sql import functions as F
 from folio.operators.skew import DEFAULT_HOT_ROWS, q, q_list, tag_hot
 
 DEFAULT_BLOCK_WIDTH = 1 << 16
+# Blocks in one step of a prefix sum, and steps: blocks, blocks of blocks, and so on.
+LEVEL_WIDTH = 1 << 16
+LEVELS = 2
 
 
 def _order(c: str, descending: bool, nulls_first: bool | None = None) -> Column:
@@ -35,6 +38,36 @@ def _order(c: str, descending: bool, nulls_first: bool | None = None) -> Column:
     return col.asc_nulls_last() if nulls_first is False else col.asc_nulls_first()
 
 
+def offsets_before(counts: DataFrame, part: Sequence[str], block: str, sums: dict[str, str],
+                   levels: int = LEVELS, level_width: int | None = None) -> DataFrame:
+    """For every row of a block table ``part, block, <values>``: the sums of
+    each value (``{value: output}``) over the blocks before it in its part.
+
+    Blocks are added up inside blocks of blocks, whose own offsets come from the
+    same step one level up. Sparse block numbers give many blocks; a level holds
+    at most ``level_width`` of them in one window, and 64-bit numbers cut by
+    2^16 three times leave no more than that at the top.
+    """
+    width = level_width or LEVEL_WIDTH
+    before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+
+    def running(rows: DataFrame, keys: list[str], order: str, named: dict[str, str]) -> DataFrame:
+        by = f"PARTITION BY {q_list(keys)} " if keys else ""
+        return rows.selectExpr(*[q(c) for c in [*part, *keys[len(part):], order]],
+                               *[f"coalesce(sum({q(v)}) OVER ({by}ORDER BY {q(order)} {before}), 0) AS {q(o)}" for v, o in named.items()])
+
+    if levels == 0:
+        return running(counts, list(part), block, sums)
+    upper = f"{block}_{levels}"
+    tagged = counts.selectExpr("*", f"floor({q(block)} / {width}) AS {q(upper)}")
+    totals = tagged.groupBy(*part, upper).agg(*[F.sum(v).alias(v) for v in sums])
+    above = offsets_before(totals, part, upper, {v: f"_above_{o}" for v, o in sums.items()}, levels - 1, width)
+    inside = running(tagged, [*part, upper], block, sums)
+    joined = inside.join(above, [*part, upper])
+    return joined.selectExpr(*[q(c) for c in [*part, block]],
+                             *[f"{q(o)} + {q('_above_' + o)} AS {q(o)}" for o in sums.values()])
+
+
 def sequence_within(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
                     out_col: str = "seq", block_width: int = DEFAULT_BLOCK_WIDTH,
                     hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
@@ -45,8 +78,8 @@ def sequence_within(df: DataFrame, partition_cols: Sequence[str], order_cols: Se
     whole table when there are no partition columns are cut into blocks of
     ``block_width`` consecutive values of ``order_cols[0]`` (an integer
     column), so a block holds at most ``block_width`` rows when that column is
-    unique in its group; blocks are offset by a prefix sum over the small
-    block table. Remaining order columns break ties inside a block.
+    unique in its group; blocks are offset by a prefix sum over the
+    block table, in levels (``offsets_before``). Remaining order columns break ties inside a block.
     """
     part = list(partition_cols)
     block = f"floor({q(order_cols[0])} / {int(block_width)})"
@@ -57,11 +90,8 @@ def sequence_within(df: DataFrame, partition_cols: Sequence[str], order_cols: Se
     else:
         tagged = df.selectExpr("*", f"{block} AS _seq_blk")
         counts = tagged
-    by_part = f"PARTITION BY {q_list(part)} " if part else ""
-    offsets = (counts.groupBy(*part, "_seq_blk").agg(F.expr("count(1) AS _seq_n"))
-               .selectExpr(*[q(c) for c in part], "_seq_blk",
-                           f"coalesce(sum(_seq_n) OVER ({by_part}ORDER BY _seq_blk "
-                           f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _seq_off"))
+    offsets = offsets_before(counts.groupBy(*part, "_seq_blk").agg(F.expr("count(1) AS _seq_n")),
+                             part, "_seq_blk", {"_seq_n": "_seq_off"})
     # Shuffle on (group, block) explicitly, before the offsets join: rows
     # already partitioned by the group alone would keep a hot group in one task.
     joined = tagged.repartition(*part, "_seq_blk").join(offsets, [*part, "_seq_blk"], "left")
@@ -78,8 +108,7 @@ def value_ranks(df: DataFrame, value_col: str, descending: bool, block_width: fl
 
     The distinct values are cut into blocks of ``block_width`` along the value
     range (NULL in its own block: first ascending, last descending, as in SQL);
-    only the per-block table is ordered as a whole, values are ordered inside
-    their block. No step holds more than one block of distinct values."""
+    the blocks are summed in levels, values are ordered inside their block. No step holds more than one block of distinct values."""
     key = "-_v" if descending else "_v"
     edge = 2 ** 62 if descending else -(2 ** 62)
     before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
@@ -87,13 +116,12 @@ def value_ranks(df: DataFrame, value_col: str, descending: bool, block_width: fl
               .selectExpr("_v", "_c", f"{key} AS _key",
                           f"CASE WHEN _v IS NULL THEN CAST({edge} AS BIGINT) "
                           f"ELSE CAST(floor(({key}) / {block_width!r}) AS BIGINT) END AS _blk"))
-    offsets = (tagged.groupBy("_blk").agg(F.expr("sum(_c) AS _bc"), F.expr("count(1) AS _bv"))
-               .selectExpr("_blk", f"coalesce(sum(_bc) OVER (ORDER BY _blk {before}), 0) AS _off_rows",
-                           f"coalesce(sum(_bv) OVER (ORDER BY _blk {before}), 0) AS _off_vals",
-                           "sum(_bc) OVER () AS _total"))
+    blocks = tagged.groupBy("_blk").agg(F.expr("sum(_c) AS _bc"), F.expr("count(1) AS _bv"))
+    offsets = offsets_before(blocks, [], "_blk", {"_bc": "_off_rows", "_bv": "_off_vals"})
+    total = blocks.select(F.coalesce(F.sum("_bc"), F.lit(0))).scalar()
     inside = f"PARTITION BY _blk ORDER BY _key {before}"
-    return tagged.join(offsets, "_blk").selectExpr(
-        "_v", "_c", "CAST(_total AS BIGINT) AS _total",
+    return tagged.join(offsets, "_blk").withColumn("_total", total.cast("bigint")).selectExpr(
+        "_v", "_c", "_total",
         f"CAST(_off_rows + coalesce(sum(_c) OVER ({inside}), 0) AS BIGINT) AS _rows_before",
         f"CAST(_off_vals + coalesce(count(1) OVER ({inside}), 0) AS BIGINT) AS _vals_before")
 
@@ -125,6 +153,9 @@ def running_total_by_key(df: DataFrame, key_col: str, value_col: str, out_col: s
                          nulls_first: bool = True, result_type: str | None = None) -> DataFrame:
     """SUM(value) OVER (ORDER BY key) with the default RANGE frame.
 
+    For keys of few values only, such as dates: the table of distinct keys is
+    ordered in one task.
+
     Rows with equal keys (peers) all get the total up to and including their
     key, exactly as the SQL default frame does. NULL keys sort first when
     ``nulls_first`` (MySQL / Spark ascending order).

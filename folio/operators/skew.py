@@ -3,8 +3,7 @@
 The scalable operators split only the groups that are too large for one
 task. ``hot_keys`` counts rows per key (a map-side combined aggregate) and
 keeps keys with more than ``threshold`` rows. There are at most
-rows / threshold such keys, so the result is a bounded table that is safe to
-broadcast; every other key takes the plain path.
+rows / threshold such keys; every other key takes the plain path.
 
 The operators write their expressions as SQL text (``selectExpr``): the
 plan is the same as with Column objects, but it is built with a handful of
@@ -37,8 +36,9 @@ def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int) -> DataFrame:
 
 
 def tag_hot(df: DataFrame, keys: Sequence[str], threshold: int) -> DataFrame:
-    """``df`` with a boolean ``_hot`` column (true for rows of hot keys),
-    through a broadcast join with the bounded hot-key table."""
+    """``df`` with a boolean ``_hot`` column (true for rows of hot keys). The
+    hot-key table grows with the data (rows / threshold keys), so how it is
+    joined is left to its measured size."""
     hot = hot_keys(df, keys, threshold).selectExpr(*[q(k) for k in keys], "true AS _hot_key")
-    return (df.join(F.broadcast(hot), list(keys), "left")
+    return (df.join(hot, list(keys), "left")
             .selectExpr("*", "coalesce(_hot_key, false) AS _hot").drop("_hot_key"))
