@@ -47,10 +47,11 @@ _lent AS (
   SELECT o.*, CASE WHEN ((o_orderkey * 31) % (SELECT n FROM _n_parts)) % 10 = 9
                    THEN (o_orderkey * 31) % (SELECT n FROM _n_parts) - 1
                    ELSE (o_orderkey * 31) % (SELECT n FROM _n_parts) END AS lent_book
-  FROM orders o WHERE o_custkey % 17 <> 0
+  FROM orders o
 ),
 loans AS (
-  SELECT o_orderkey AS loan_id, o_custkey AS member_id,
+  SELECT o_orderkey AS loan_id,
+         o_custkey + CASE WHEN o_custkey = 0 THEN 1 WHEN o_custkey % 17 = 0 THEN -1 ELSE 0 END AS member_id,
          lent_book * 10 + 1 + o_orderkey % b.total_copies AS copy_id,
          CAST(o_orderdate AS DATE) AS loan_date,
          CAST(o_orderdate AS DATE) + 14 AS due_date,
@@ -76,7 +77,7 @@ fines AS (
 ),
 _clicks AS (
   SELECT CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'purchase' THEN 3
-                         WHEN 'signup' THEN 4 WHEN 'error' THEN 5 END AS ti,
+                         WHEN 'signup' THEN 4 WHEN 'error' THEN 5 ELSE 0 END AS ti,
          event_type AS click_type,
          CAST(date_trunc('week', ts) AS DATE) AS wk,
          CAST(date_diff('day', DATE '2024-01-01', CAST(date_trunc('week', ts) AS DATE)) AS BIGINT) AS wd,
@@ -84,18 +85,18 @@ _clicks AS (
   FROM events
 ),
 lib_events AS (
-  SELECT DISTINCT wd * 10 + ti AS event_id,
+  SELECT wd * 10 + ti AS event_id,
          click_type || ' ' || CAST(wk AS VARCHAR) AS event_name,
          wk + ti AS event_date,
          CASE ti WHEN 1 THEN 'book_club' WHEN 2 THEN 'workshop' WHEN 3 THEN 'reading_program'
-                 WHEN 4 THEN 'author_visit' WHEN 5 THEN 'workshop' END AS event_type,
+                 WHEN 4 THEN 'author_visit' WHEN 5 THEN 'workshop' WHEN 6 THEN 'workshop' ELSE click_type END AS event_type,
          CASE WHEN ti = 4 THEN NULL ELSE 50 + ti * 20 END AS max_attendees
-  FROM _clicks WHERE ti IS NOT NULL
+  FROM (SELECT ti, click_type, wk, wd FROM _clicks UNION SELECT 6, 'open day', wk, wd FROM _clicks)
 ),
 event_registrations AS (
   SELECT (wd * 10 + ti) * 1000000 + user_id AS registration_id, wd * 10 + ti AS event_id,
          user_id AS member_id, CAST(min(ts) AS DATE) AS registration_date
-  FROM _clicks WHERE ti IS NOT NULL AND ti <> 5
+  FROM _clicks
   GROUP BY wd, ti, user_id
 )
 """

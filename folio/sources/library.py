@@ -108,7 +108,7 @@ TABLES = ("authors", "members", "lib_events", "audit_log", "books", "book_copies
 ORDER_STATUS_TO_LOAN_STATUS = {"O": "active", "F": "returned", "P": "lost"}
 CLICK_TYPE_INDEX = {"click": 1, "view": 2, "purchase": 3, "signup": 4, "error": 5}
 EVENT_TYPE_BY_INDEX = {1: "book_club", 2: "workshop", 3: "reading_program",
-                       4: "author_visit", 5: "workshop"}
+                       4: "author_visit", 5: "workshop", 6: "workshop"}
 CONDITION_BY_INDEX = {0: "excellent", 1: "good", 2: "fair", 3: "poor"}
 FINE_REASON_BY_REMAINDER = {0: "overdue", 3: "damage"}   # loan_id % 9; others 'lost'
 EVENT_WEEK_ORIGIN = _dt.date(2024, 1, 1)
@@ -129,7 +129,7 @@ LAYOUT = {
     "event_registrations": ["event_id", "member_id"],
     "members": ["member_id"],
 }
-LAYOUT_VERSION = "layout-1"
+LAYOUT_VERSION = "layout-2"
 
 
 def _case(col: Column, mapping: dict, default=None) -> Column:
@@ -305,10 +305,12 @@ class Library:
         )
 
         ok = F.col("o_orderkey")
+        # Each 17th customer's orders go to the one before, so that some members have no loan.
+        ck = F.col("o_custkey")
+        lender = F.when(ck % 17 != 0, ck).when(ck == 0, ck + 1).otherwise(ck - 1)
         pick = (ok * 31) % n_parts
         lent = (
-            orders.filter(F.col("o_custkey") % 17 != 0)
-            .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
+            orders.select("o_orderkey", lender.alias("o_custkey"), "o_orderstatus", "o_orderdate",
                     F.when(pick % 10 == 9, pick - 1).otherwise(pick).alias("lent_book"))
         )
         loan_date = F.to_date("o_orderdate")
@@ -341,30 +343,32 @@ class Library:
         fines = fine_rows(lid % 3 == 0, lid * 2, lid % 2 == 0).unionByName(
             fine_rows((lid % 12 == 0) | (lid % 12 == 3), lid * 2 + 1, lid % 2 == 1))
 
-        ti = _case(F.col("event_type"), CLICK_TYPE_INDEX)
+        # A click type outside the known ones keeps its rows; its event type then fails the domain rule.
+        ti = F.coalesce(_case(F.col("event_type"), CLICK_TYPE_INDEX), F.lit(0))
         week = F.trunc(F.to_date("ts"), "week")
         clicks_w = clicks.select(
             ti.alias("ti"), F.col("event_type").alias("click_type"), week.alias("wk"),
             F.datediff(week, F.lit(EVENT_WEEK_ORIGIN)).cast("long").alias("wd"),
             "user_id", "ts",
-        ).filter(F.col("ti").isNotNull())
+        )
+        # Besides, each week has an open day that needs no registration.
+        open_days = clicks_w.select(F.lit(6).alias("ti"), F.lit("open day").alias("click_type"), "wk", "wd")
 
         ev_id = F.col("wd") * 10 + F.col("ti")
         lib_events = (
-            clicks_w.select("ti", "click_type", "wk", "wd").distinct()
+            clicks_w.select("ti", "click_type", "wk", "wd").unionByName(open_days).distinct()
             .select(
                 ev_id.alias("event_id"),
                 F.concat(F.col("click_type"), F.lit(" "), F.col("wk").cast("string")).alias("event_name"),
                 F.date_add("wk", F.col("ti")).alias("event_date"),
-                _case(F.col("ti"), EVENT_TYPE_BY_INDEX).alias("event_type"),
+                F.coalesce(_case(F.col("ti"), EVENT_TYPE_BY_INDEX), F.col("click_type")).alias("event_type"),
                 F.when(F.col("ti") == 4, F.lit(None).cast("int"))
                  .otherwise(F.lit(50) + F.col("ti") * 20).alias("max_attendees"),
             )
         )
 
         event_registrations = (
-            clicks_w.filter(F.col("ti") != 5)
-            .groupBy("wd", "ti", "user_id").agg(F.min("ts").alias("first_ts"))
+            clicks_w.groupBy("wd", "ti", "user_id").agg(F.min("ts").alias("first_ts"))
             .select(
                 (ev_id * 1000000 + F.col("user_id")).alias("registration_id"),
                 ev_id.alias("event_id"),

@@ -4,10 +4,10 @@ import pytest
 from folio.plans.registry import REPORTS
 
 EXPECTED = {
-    "q3_4_overdue_loans": 479,
+    "q3_4_overdue_loans": 510,
     "q3_5_recent_joiners": 10,
     "q3_6_poor_condition": 243,
-    "q3_8_upcoming_events": 13,
+    "q3_8_upcoming_events": 16,
     "q4_5_never_borrowed_copies": 226,
     "q5_7_members_never_borrowed": 9,
     "q5_8_same_address_pairs": 122,

@@ -4,8 +4,8 @@ import pytest
 from conftest import rows
 from folio.quality.rules import foreign_keys, row_rules, unique_keys
 
-EXPECTED_ROWS = {"authors": 10, "members": 150, "lib_events": 25, "books": 200, "book_copies": 488,
-                 "loans": 1401, "fines": 699, "event_registrations": 264}
+EXPECTED_ROWS = {"authors": 10, "members": 150, "lib_events": 30, "books": 200, "book_copies": 488,
+                 "loans": 1500, "fines": 750, "event_registrations": 328}
 
 
 @pytest.mark.parametrize("table,n", sorted(EXPECTED_ROWS.items()))
