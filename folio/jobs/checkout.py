@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from folio.config import AS_OF, LOAN_DAYS, MAX_ACTIVE_LOANS
 from folio.jobs import messages as msg
 from folio.jobs.keys import assign_keys
+from folio.jobs.sink import settle
 from folio.operators.ranking import sequence_within
 from folio.sources.library import Library
 
@@ -48,18 +49,23 @@ def checkout_batch(requests: DataFrame, lib: Library, as_of: _dt.date = AS_OF) -
     the lowest request_id; the others find it taken.
     """
     req = requests.select("request_id", "member_id", "copy_id")
-    staged = (req.join(lib.members.select("member_id", "status"), "member_id", "left")
-              .join(lib.book_copies.select("copy_id", F.lit(True).alias("_copy_known")), "copy_id", "left")
+    # One row a requested copy, joined once: free or on loan; a copy wanted by many is one row here.
+    asked = req.select("copy_id").distinct()
+    copies = (lib.book_copies.select("copy_id").join(asked, "copy_id", "left_semi")
               .join(_active_copies(lib).withColumn("_on_loan", F.lit(True)), "copy_id", "left")
+              .select("copy_id", F.coalesce("_on_loan", F.lit(False)).alias("_on_loan")))
+    staged = (req.join(lib.members.select("member_id", "status"), "member_id", "left")
+              .join(copies, "copy_id", "left")
               .withColumn("_early",
                           F.when(F.col("status").isNull(), msg.MEMBER_NOT_FOUND)
                           .when(F.col("status") != "active", msg.MEMBER_NOT_ACTIVE)
-                          .when(F.col("_copy_known").isNull(), msg.COPY_NOT_FOUND)
-                          .when(F.col("_on_loan").isNotNull(), msg.COPY_NOT_AVAILABLE)))
-    first = (staged.filter(F.col("_early").isNull())
-             .groupBy("copy_id").agg(F.min("request_id").alias("_first")))
-    decided = staged.join(first, "copy_id", "left").withColumn(
-        "_won", F.col("_early").isNull() & (F.col("request_id") == F.col("_first")))
+                          .when(F.col("_on_loan").isNull(), msg.COPY_NOT_FOUND)
+                          .when(F.col("_on_loan"), msg.COPY_NOT_AVAILABLE)))
+    staged = settle(staged, "w2-staged")
+    # A copy's winner is one request, so the join back is on the request and spreads evenly.
+    winners = (staged.filter(F.col("_early").isNull()).groupBy("copy_id").agg(F.min("request_id").alias("request_id"))
+               .select("request_id", F.lit(True).alias("_wins")))
+    decided = staged.join(winners, "request_id", "left").withColumn("_won", F.coalesce("_wins", F.lit(False)))
     due = F.date_add(F.lit(as_of), LOAN_DAYS)
     results = decided.select(
         "request_id",
@@ -82,12 +88,16 @@ def safe_checkout_batch(requests: DataFrame, lib: Library, as_of: _dt.date = AS_
     their insert).
     """
     req = requests.select("request_id", "member_id", "book_id")
-    checked = req.join(lib.members.select("member_id", "status"), "member_id", "left")
+    checked = settle(req.join(lib.members.select("member_id", "status"), "member_id", "left"), "w5-checked")
     valid = checked.filter(F.col("status") == "active").select("request_id", "member_id", "book_id")
-    free = lib.book_copies.select("copy_id", "book_id").join(_active_copies(lib), "copy_id", "left_anti")
+    # Only the copies of requested books are looked at and numbered.
+    asked = (lib.book_copies.select("copy_id", "book_id")
+             .join(valid.select("book_id").distinct(), "book_id", "left_semi"))
+    free = asked.join(_active_copies(lib), "copy_id", "left_anti")
     slots_free = sequence_within(free, ["book_id"], ["copy_id"], out_col="_slot")
     slots_req = sequence_within(valid, ["book_id"], ["request_id"], out_col="_slot")
-    served = slots_req.join(slots_free, ["book_id", "_slot"]).select("request_id", "member_id", "book_id", "copy_id")
+    served = settle(slots_req.join(slots_free, ["book_id", "_slot"]).select("request_id", "member_id", "book_id", "copy_id"),
+                    "w5-served")
     results = (checked.join(served.select("request_id", "copy_id"), "request_id", "left")
                .select("request_id", "copy_id",
                        F.when(F.col("status").isNull(), msg.UNKNOWN_MEMBER)
@@ -113,13 +123,17 @@ def checkout_with_limit_batch(requests: DataFrame, lib: Library, as_of: _dt.date
     req = requests.select("request_id", "member_id", "copy_id")
     checked = (req.join(lib.members.select("member_id", "status"), "member_id", "left")
                .join(lib.book_copies.select("copy_id", F.lit(True).alias("_copy_known")), "copy_id", "left"))
+    checked = settle(checked, "w7-checked")
     eligible = checked.filter((F.col("status") == "active") & F.col("_copy_known").isNotNull())
-    active = (lib.loans.filter(F.col("status") == "active").groupBy("member_id")
-              .agg(F.count(F.lit(1)).alias("_active")))
+    # Only the loans of members who ask are counted.
+    active = (lib.loans.filter(F.col("status") == "active").select("member_id")
+              .join(eligible.select("member_id").distinct(), "member_id", "left_semi")
+              .groupBy("member_id").agg(F.count(F.lit(1)).alias("_active")))
     numbered = sequence_within(eligible.select("request_id", "member_id", "copy_id"), ["member_id"],
                                ["request_id"], out_col="_n")
     decided = (numbered.join(active, "member_id", "left")
                .withColumn("_commit", F.coalesce(F.col("_active"), F.lit(0)) + F.col("_n") <= cap))
+    decided = settle(decided, "w7-decided")
     results = (checked.join(decided.select("request_id", "_commit"), "request_id", "left")
                .select("request_id",
                        F.when(F.col("status").isNull(), msg.UNKNOWN_MEMBER)

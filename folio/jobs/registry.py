@@ -21,7 +21,7 @@ from folio.jobs.returns import batch_return, overdue_fines_from_changes, return_
 from folio.oracle.jobs_sql import JOB_SQL
 from folio.quality.registry import QUALITY_QUERIES, QUALITY_SQL
 from folio.sources import requests as rq
-from folio.sources.catalog import library_for
+from folio.sources.catalog import fingerprint, library_for
 from folio.sources.library import Library
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,7 +60,7 @@ def _w7(spark, sf_dir):
 
 def _w8(spark, sf_dir):
     lib = _lib(spark, sf_dir)
-    return batch_return(rq.batch_return_members(lib), lib)
+    return batch_return(rq.batch_return_requests(lib), lib)
 
 
 def w9_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,11 +102,12 @@ _outputs: dict = {}
 
 
 def _part(job: Callable[[SparkSession, str], dict], name: str) -> Query:
-    """One output of a job. The job's output DataFrames (immutable plans) are
-    built once per session and data folder and shared by its keys; each key
-    still runs its own output."""
+    """One output of a job. A job decides its requests once per session and
+    input (its decided tables are written; see ``jobs.sink.settle``), and its
+    keys derive their outputs from them. Changed inputs have another
+    fingerprint and are decided anew."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (job.__name__, sf_dir)
+        key = (job.__name__, fingerprint(sf_dir, spark))
         hit = _outputs.get(key)
         if hit is None or hit[0] is not spark:
             hit = (spark, job(spark, sf_dir))

@@ -17,17 +17,18 @@ from folio.config import AS_OF
 from folio.functions.scalar import fine_days, fine_for_days
 from folio.jobs import messages as msg
 from folio.jobs.keys import assign_keys
+from folio.jobs.sink import settle
 from folio.sources.library import Library
 
 LOAN_COLUMNS = ("loan_id", "member_id", "copy_id", "loan_date", "due_date", "return_date", "status")
 FINE_COLUMNS = ("fine_id", "loan_id", "fine_amount", "fine_reason", "paid", "payment_date")
 
 
-def _overdue_fine_rows(rows: DataFrame, amount_col: str, order_col: str, lib: Library) -> DataFrame:
-    fines = rows.select(order_col, "loan_id", F.col(amount_col).alias("fine_amount"),
+def _overdue_fine_rows(rows: DataFrame, amount_col: str, order_col: str, lib: Library, within: str | None = None) -> DataFrame:
+    fines = rows.select(*dict.fromkeys([order_col, "loan_id"]), F.col(amount_col).alias("fine_amount"),
                         F.lit("overdue").alias("fine_reason"), F.lit(False).alias("paid"),
                         F.lit(None).cast("date").alias("payment_date"))
-    return assign_keys(fines, lib.fines, "fine_id", order_col).select(*FINE_COLUMNS)
+    return assign_keys(fines, lib.fines, "fine_id", order_col, within).select(*FINE_COLUMNS)
 
 
 def return_batch(requests: DataFrame, lib: Library, as_of: _dt.date = AS_OF) -> dict[str, DataFrame]:
@@ -44,8 +45,8 @@ def return_batch(requests: DataFrame, lib: Library, as_of: _dt.date = AS_OF) ->
          .join(lib.loans.filter(F.col("status") == "active").select(*LOAN_COLUMNS), "loan_id", "left"))
     ok = F.coalesce(F.col("status").isNotNull() & (F.col("request_id") == F.col("_first")), F.lit(False))
     days_late = fine_days("due_date", F.lit(as_of))
-    staged = (j.withColumn("_ok", ok).withColumn("_days", days_late)
-              .withColumn("_late", F.col("_ok") & (F.col("_days") > 0)))
+    staged = settle(j.withColumn("_ok", ok).withColumn("_days", days_late)
+                    .withColumn("_late", F.col("_ok") & (F.col("_days") > 0)), "w3-decided")
     amount = F.when(F.col("_late"), fine_for_days(F.col("_days"))).otherwise(F.lit(0).cast("decimal(10,2)"))
     results = staged.select(
         "request_id", "loan_id", amount.alias("fine_amount"),
@@ -61,34 +62,37 @@ def return_batch(requests: DataFrame, lib: Library, as_of: _dt.date = AS_OF) ->
     return {"results": results, "updated_loans": updated_loans, "new_fines": new_fines}
 
 
-def batch_return(member_ids: DataFrame, lib: Library, as_of: _dt.date = AS_OF) -> dict[str, DataFrame]:
-    """W8: member_ids(member_id) → updated_loans, new_fines, audit.
+def batch_return(requests: DataFrame, lib: Library, as_of: _dt.date = AS_OF) -> dict[str, DataFrame]:
+    """W8: requests(request_id, member_id) → updated_loans, new_fines, audit.
+
+    Equals one call a request, in the order of request_id: a member's first
+    request does all below, a later one finds nothing and reports 0.
 
     1. every active loan of the members is returned on ``as_of``;
     2. every loan of the members that is now returned, came back after its due
        date, and has no fine yet is fined (as_of - due_date) * 0.25 — this also
        covers loans returned late earlier, counted up to as_of as in the
        reference;
-    3. one audit row per requested member; its count is the number of fines
+    3. one audit row per request; its count is the number of fines
        inserted in step 2 (the reference's ROW_COUNT() follows that insert).
     """
-    ids = member_ids.select("member_id").distinct()
-    theirs = lib.loans.join(ids, "member_id", "left_semi").select(*LOAN_COLUMNS)
+    first = requests.groupBy("member_id").agg(F.min("request_id").alias("request_id"))
+    theirs = lib.loans.join(first, "member_id").select("request_id", *LOAN_COLUMNS)
     is_active = F.col("status") == "active"
     updated_loans = theirs.filter(is_active).select(
         "loan_id", "member_id", "copy_id", "loan_date", "due_date",
         F.lit(as_of).alias("return_date"), F.lit("returned").alias("status"))
     after = theirs.select(
-        "loan_id", "member_id", "due_date",
+        "request_id", "loan_id", "due_date",
         F.when(is_active, F.lit(as_of)).otherwise(F.col("return_date")).alias("return_date"),
         F.when(is_active, F.lit("returned")).otherwise(F.col("status")).alias("status"))
     fined = lib.fines.select("loan_id").distinct()
-    late = (after.filter((F.col("status") == "returned") & (F.col("return_date") > F.col("due_date")))
-            .join(fined, "loan_id", "left_anti")
-            .withColumn("_amount", fine_for_days(fine_days("due_date", F.lit(as_of)))))
-    new_fines = _overdue_fine_rows(late, "_amount", "loan_id", lib)
-    per_member = late.groupBy("member_id").agg(F.count(F.lit(1)).alias("_n"))
-    audit = (member_ids.select("member_id").join(per_member, "member_id", "left")
+    late = settle(after.filter((F.col("status") == "returned") & (F.col("return_date") > F.col("due_date")))
+                  .join(fined, "loan_id", "left_anti")
+                  .withColumn("_amount", fine_for_days(fine_days("due_date", F.lit(as_of)))), "w8-late")
+    new_fines = _overdue_fine_rows(late, "_amount", "request_id", lib, within="loan_id")
+    per_request = late.groupBy("request_id").agg(F.count(F.lit(1)).alias("_n"))
+    audit = (requests.select("request_id", "member_id").join(per_request, "request_id", "left")
              .select(F.lit("loans").alias("table_name"), F.lit("UPDATE").alias("action"),
                      F.col("member_id").alias("record_id"), F.lit("SYSTEM").alias("changed_by"),
                      F.concat(F.lit(msg.BATCH_RETURN_PREFIX), F.col("member_id").cast("string"), F.lit(": "),

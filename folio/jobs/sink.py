@@ -11,8 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import uuid
+
 from pyspark.sql import DataFrame
 
+from folio.session import scratch_dir
+
 
 def apply_changes(base: DataFrame, updates: DataFrame | None = None, inserts: DataFrame | None = None,
                   keys: Sequence[str] = ()) -> DataFrame:
@@ -26,6 +30,14 @@ def apply_changes(base: DataFrame, updates: DataFrame | None = None, inserts: Da
     return out
 
 
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Write a job's decided requests to the shared folder and read them back, so that
+    its output tables derive from one decision and a lost executor changes nothing."""
+    path = f"{scratch_dir(df.sparkSession, 'jobs')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_version(df: DataFrame, path: str) -> None:
     """Write a table version to its own folder (never over the one being read)."""
     df.write.mode("errorifexists").parquet(path)

@@ -20,7 +20,10 @@ REQUEST_CTES = f"""
   FROM orders),
 return_requests AS (SELECT o_orderkey AS request_id, o_orderkey AS loan_id FROM orders),
 pay_requests AS (SELECT fine_id AS request_id, fine_id FROM fines WHERE fine_reason <> 'lost'),
-batch_return_members AS (SELECT member_id FROM members WHERE status <> 'active'),
+_last_member AS (SELECT MAX(member_id) AS b FROM members),
+batch_return_requests AS (
+  SELECT (SELECT b FROM _last_member) - member_id AS request_id, member_id FROM members WHERE status <> 'active'
+  UNION ALL SELECT (SELECT b FROM _last_member) + 1 + member_id, member_id FROM members WHERE status = 'suspended'),
 _loan_base AS (SELECT COALESCE(MAX(loan_id), 0) AS b FROM loans),
 _fine_base AS (SELECT COALESCE(MAX(fine_id), 0) AS b FROM fines),
 active_copies AS (SELECT DISTINCT copy_id FROM loans WHERE status = 'active')
@@ -103,9 +106,10 @@ w7_dec AS (
 """
 
 W8 = f"""
-, w8_theirs AS (SELECT * FROM loans WHERE member_id IN (SELECT member_id FROM batch_return_members)),
+, w8_first AS (SELECT member_id, MIN(request_id) AS request_id FROM batch_return_requests GROUP BY member_id),
+w8_theirs AS (SELECT * FROM loans JOIN w8_first USING (member_id)),
 w8_after AS (
-  SELECT loan_id, member_id, due_date,
+  SELECT request_id, loan_id, member_id, due_date,
          CASE WHEN status = 'active' THEN {AS_OF} ELSE return_date END AS return_date,
          CASE WHEN status = 'active' THEN 'returned' ELSE status END AS status
   FROM w8_theirs),
@@ -200,13 +204,13 @@ FROM w7_checked k LEFT JOIN w7_dec d ON k.request_id = d.request_id"""),
 SELECT loan_id, member_id, copy_id, loan_date, due_date, {AS_OF} AS return_date, 'returned' AS status
 FROM w8_theirs WHERE status = 'active'"""),
     "w8_new_fines": _q(W8 + _fines_from("w8_late l", fine_for_days(f"GREATEST(0, {days(AS_OF, 'l.due_date')})"),
-                                        "loan_id")),
+                                        "request_id, loan_id")),
     "w8_audit": _q(W8 + """
 SELECT 'loans' AS table_name, 'UPDATE' AS action, b.member_id AS record_id, 'SYSTEM' AS changed_by,
        'Batch return for member ' || CAST(b.member_id AS VARCHAR) || ': ' || CAST(COALESCE(n.c, 0) AS VARCHAR)
          || ' books' AS description
-FROM batch_return_members b
-LEFT JOIN (SELECT member_id, COUNT(*) AS c FROM w8_late GROUP BY member_id) n ON b.member_id = n.member_id"""),
+FROM batch_return_requests b
+LEFT JOIN (SELECT request_id, COUNT(*) AS c FROM w8_late GROUP BY request_id) n ON b.request_id = n.request_id"""),
     "w9_audit": _q(W9 + """
 SELECT 'members' AS table_name, 'UPDATE' AS action, member_id AS record_id, 'SYSTEM' AS changed_by,
        'Member ' || first_name || ' ' || last_name || ' updated. Status: ' || status || ' -> ' || 'suspended'

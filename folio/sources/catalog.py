@@ -46,32 +46,32 @@ def fresh_root(spark: SparkSession) -> str:
     return path
 
 
-def fingerprint(sf_dir: str, spark: SparkSession | None = None) -> str:
-    """Identity of the driver inputs: sizes and modification times of local
-    files; for other file systems, the list of input files Spark reads."""
+def fingerprint(sf_dir: str, spark: SparkSession) -> str:
+    """Identity of the driver inputs: path, length and modification time of
+    every input file, asked of the file system that Spark reads. One pair of
+    sums a table, so the driver holds no list of files."""
     h = hashlib.sha1(LAYOUT_VERSION.encode())
     h.update(os.path.abspath(sf_dir).encode() if "://" not in sf_dir else sf_dir.encode())
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for name in DRIVER_INPUTS:
-        path = os.path.join(sf_dir, f"{name}.parquet")
-        try:
-            st = os.stat(path)
-            h.update(f"{name}:{st.st_size}:{st.st_mtime_ns}".encode())
-        except OSError:
-            h.update(name.encode())
-            if spark is not None:
-                try:
-                    h.update("|".join(sorted(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-                                             .inputFiles())).encode())
-                except Exception:
-                    pass
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        files = path.getFileSystem(conf).listFiles(path, True)
+        n, seen = 0, 0
+        while files.hasNext():
+            f = files.next()
+            one = f"{f.getPath().toString()}:{f.getLen()}:{f.getModificationTime()}"
+            seen ^= int.from_bytes(hashlib.sha1(one.encode()).digest(), "big")
+            n += 1
+        h.update(f"{name}:{n}:{seen}".encode())
     return h.hexdigest()[:16]
 
 
 def _complete(spark: SparkSession, path: str, fp: str) -> bool:
-    try:
-        rows = spark.read.parquet(f"{path}/{MARKER}").collect()
-    except Exception:
+    """Whether the marker, written last, is there and names this input."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MARKER}/_SUCCESS")
+    if not marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker):
         return False
+    rows = spark.read.parquet(f"{path}/{MARKER}").collect()
     return len(rows) == 1 and rows[0][0] == fp
 
 
@@ -98,16 +98,14 @@ def _materialize_locked(spark: SparkSession, sf_dir: str, path: str, fp: str) ->
 
 
 def library_for(spark: SparkSession, sf_dir: str) -> Library:
-    """The library tables for a driver data folder (stored copy when possible)."""
-    if _state["enabled"]:
-        try:
-            path = materialize(spark, sf_dir)
-        except Exception:
-            path = None
-        if path:
-            cached = _state["libs"].get(path)
-            if cached is None or cached[0] is not spark:
-                cached = (spark, Library.from_parquet(spark, path))
-                _state["libs"][path] = cached
-            return cached[1]
-    return Library.from_driver(spark, sf_dir)
+    """The library tables for a driver data folder: the stored copy, or with
+    ``set_enabled(False)`` the lazily derived tables. Failing to store them is
+    an error, never a silent change of plan."""
+    if not _state["enabled"]:
+        return Library.from_driver(spark, sf_dir)
+    path = materialize(spark, sf_dir)
+    cached = _state["libs"].get(path)
+    if cached is None or cached[0] is not spark:
+        cached = (spark, Library.from_parquet(spark, path))
+        _state["libs"][path] = cached
+    return cached[1]

@@ -10,7 +10,8 @@ and library tables (no id subsets), so the work grows with the data:
 * return requests — one per order key, read as a loan id (most are not active
   loans, as at a real returns desk);
 * fine payments — every fine that is not for a lost item;
-* batch returns — every member whose membership is not active;
+* batch returns — every member whose membership is not active; suspended
+  members are asked for twice;
 * member changes — the suspension run: active members with an unpaid fine
   become suspended;
 * loan changes — every active loan returned on the as-of date.
@@ -32,24 +33,8 @@ UNKNOWN_ID = -1
 CHECKOUT_DUE_DATE = _dt.date(2001, 7, 10)
 
 
-_built: dict = {}
-
-
-def _once(spark: SparkSession, key: tuple, build) -> DataFrame:
-    """Build a request DataFrame once per session (DataFrames are immutable plans)."""
-    hit = _built.get(key)
-    if hit is None or hit[0] is not spark:
-        hit = (spark, build())
-        _built[key] = hit
-    return hit[1]
-
-
 def checkout_requests(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF) -> DataFrame:
     """request_id, member_id, book_id, copy_id, loan_date, due_date."""
-    return _once(spark, ("checkout", sf_dir, as_of), lambda: _checkout_requests(spark, sf_dir, as_of))
-
-
-def _checkout_requests(spark: SparkSession, sf_dir: str, as_of: _dt.date) -> DataFrame:
     orders = read_driver(spark, sf_dir, "orders")
     n_parts = read_driver(spark, sf_dir, "part").select(F.count(F.lit(1))).scalar()
     ok = F.col("o_orderkey")
@@ -66,8 +51,8 @@ def _checkout_requests(spark: SparkSession, sf_dir: str, as_of: _dt.date) -> Dat
 
 def return_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """request_id, loan_id."""
-    return _once(spark, ("return", sf_dir), lambda: read_driver(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("request_id"), F.col("o_orderkey").alias("loan_id")))
+    return read_driver(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("request_id"), F.col("o_orderkey").alias("loan_id"))
 
 
 def pay_requests(lib: Library) -> DataFrame:
@@ -76,9 +61,14 @@ def pay_requests(lib: Library) -> DataFrame:
         F.col("fine_id").alias("request_id"), "fine_id")
 
 
-def batch_return_members(lib: Library) -> DataFrame:
-    """member_id of every member whose status is not 'active'."""
-    return lib.members.filter(F.col("status") != "active").select("member_id")
+def batch_return_requests(lib: Library) -> DataFrame:
+    """request_id, member_id: every member whose status is not 'active', newest
+    first, and every suspended one a second time."""
+    who = lib.members.filter(F.col("status") != "active")
+    again = who.filter(F.col("status") == "suspended")
+    last = lib.members.select(F.max("member_id")).scalar()
+    return (who.select((last - F.col("member_id")).alias("request_id"), "member_id")
+            .unionByName(again.select((last + 1 + F.col("member_id")).alias("request_id"), "member_id")))
 
 
 def member_changes(lib: Library) -> tuple[DataFrame, DataFrame]:

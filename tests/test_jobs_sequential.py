@@ -206,7 +206,9 @@ def test_batch_return_equals_sequential(spark, seed):
     rnd, members, copies, loans, fines = make_state(seed)
     lib = to_library(spark, members, copies, loans, fines)
     who = rnd.sample(list(members), 12)
+    who += rnd.sample(who, 5)  # some are asked for twice: the second call finds nothing
     want_fines, want_audit = [], []
+    first_id = max(fines) + 1
     for m in who:
         for l in loans.values():
             if l["member"] == m and l["status"] == "active":
@@ -219,8 +221,9 @@ def test_batch_return_equals_sequential(spark, seed):
             fines[max(fines) + 1] = dict(loan=lid, amount=amount, reason="overdue", paid=False, pdate=None)
         want_fines += new
         want_audit.append((m, f"{msg.BATCH_RETURN_PREFIX}{m}: {len(new)}{msg.BATCH_RETURN_SUFFIX}"))
-    out = batch_return(spark.createDataFrame([(m,) for m in who], "member_id long"), lib, AS_OF)
-    assert sorted(rows(out["new_fines"], "loan_id", "fine_amount")) == sorted(want_fines)
+    out = batch_return(spark.createDataFrame(list(enumerate(who, 100)), "request_id long, member_id long"), lib, AS_OF)
+    assert sorted(rows(out["new_fines"], "fine_id", "loan_id", "fine_amount")) == [
+        (i, *f) for i, f in enumerate(want_fines, first_id)]
     assert sorted(rows(out["audit"], "record_id", "description")) == sorted(want_audit)
 
 
