@@ -1,33 +1,34 @@
-"""Driver keys of the data-quality jobs, with oracle SQL generated from the
-same declared rules (the SQL evaluates them independently in DuckDB)."""
+"""Driver keys of the data-quality jobs. Each rule job runs on the clean library
+and on one where every rule is broken (``quality.dirty``). The oracle states
+the rules by hand, predicate by predicate, apart from the lists that the jobs use."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from folio.jobs.checkout import default_due_date, reject_inactive_loans
 from folio.oracle.jobs_sql import REQUEST_CTES, W10
 from folio.oracle.prefix import with_library
-from folio.quality.rules import (CHECKS, DOMAINS, FOREIGN_KEYS, LENGTHS, NOT_NULL, UNIQUE, apply_defaults,
-                                 delete_books_plan, foreign_keys, row_rules, unique_keys)
+from folio.oracle.rules_sql import DEFAULTS_SQL, DELETES_SQL, FOREIGN_KEY_SQL, ROW_RULE_SQL, UNIQUE_SQL
+from folio.quality.dirty import AUDIT, BREAKS, broken_columns, dirty_library
+from folio.quality.rules import (DEFAULTS, apply_defaults, delete_books_plan, delete_plan, foreign_keys, primary_key,
+                                 row_rules, unique_keys)
 from folio.sources import requests as rq
-from folio.sources.catalog import library_for
+from folio.sources.catalog import fingerprint, library_for
 from folio.sources.library import Library
 
-# The derived fixture has no audit_log rows to check; the rules cover it.
-CHECKED_TABLES = [t for t in NOT_NULL]
-
 
 def _lib(spark: SparkSession, sf_dir: str) -> Library:
     return library_for(spark, sf_dir)
 
 
 def v_row_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return row_rules(_lib(spark, sf_dir), CHECKED_TABLES)
+    return row_rules(_lib(spark, sf_dir))
 
 
 def v2_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unique_keys(_lib(spark, sf_dir), CHECKED_TABLES)
+    return unique_keys(_lib(spark, sf_dir))
 
 
 def v3_foreign_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +43,28 @@ def v6_loans_with_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_defaults(default_due_date(reject_inactive_loans(new, lib)["accepted"]), "loans")
 
 
+def _dirty(rules):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return rules(dirty_library(spark, _lib(spark, sf_dir)))
+    run.__name__ = f"{rules.__name__}_dirty"
+    return run
+
+
+def _defaults(table: str):
+    """Every row of a table as a new row that leaves out the columns with a default where its key is
+    even, filled in again."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lib = _lib(spark, sf_dir)
+        rows = (lib.members.selectExpr(*[f"{x} AS {c}" for c, x in AUDIT.items()]) if table == "audit_log"
+                else lib.table(table))
+        left_out = F.col(primary_key(table)) % 2 == 0
+        for c in DEFAULTS[table]:
+            rows = rows.withColumn(c, F.when(~left_out, F.col(c)))
+        return apply_defaults(rows, table).select(primary_key(table), *DEFAULTS[table])
+    run.__name__ = f"v6_defaults_{table}"
+    return run
+
+
 def _v7(spark: SparkSession, sf_dir: str):
     lib = _lib(spark, sf_dir)
     return delete_books_plan(lib.books.select("book_id"), lib)
@@ -52,65 +75,66 @@ _plans: dict = {}
 
 def _v7_part(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        hit = _plans.get(sf_dir)
+        key = fingerprint(sf_dir, spark)
+        hit = _plans.get(key)
         if hit is None or hit[0] is not spark:
             hit = (spark, _v7(spark, sf_dir))
-            _plans[sf_dir] = hit
+            _plans[key] = hit
         return hit[1][name]
     run.__name__ = f"v7_{name}"
     return run
 
 
+def _delete(table: str, name: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return delete_plan(table, _lib(spark, sf_dir))[name]
+    run.__name__ = f"v7_{table}_{name}"
+    return run
+
+
 QUALITY_QUERIES = {
     "v_row_rules": v_row_rules,
     "v2_unique": v2_unique,
     "v3_foreign_keys": v3_foreign_keys,
+    "v_row_rules_dirty": _dirty(row_rules),
+    "v2_unique_dirty": _dirty(unique_keys),
+    "v3_foreign_keys_dirty": _dirty(foreign_keys),
     "v6_loans_with_defaults": v6_loans_with_defaults,
+    **{f"v6_defaults_{t}": _defaults(t) for t in DEFAULTS},
     "v7_deleted_books": _v7_part("deleted_books"),
     "v7_deleted_copies": _v7_part("deleted_copies"),
     "v7_blocked": _v7_part("blocked"),
+    "v7_authors_blocked": _delete("authors", "blocked"),
+    "v7_authors_deleted": _delete("authors", "deleted"),
+    "v7_members_blocked": _delete("members", "blocked"),
+    "v7_members_deleted": _delete("members", "deleted"),
+    "v7_members_registrations": _delete("members", "cascade_event_registrations"),
+    "v7_loans_fines": _delete("loans", "cascade_fines"),
+    "v7_events_registrations": _delete("lib_events", "cascade_event_registrations"),
 }
 
 
-def _lit(v) -> str:
-    return f"'{v}'" if isinstance(v, str) else str(v)
+def _dirty_ctes() -> str:
+    """The broken library over the clean one, under the same table names."""
+    audit = ", ".join(f"{x} AS {c}" for c, x in AUDIT.items())
+    out = f", clean_audit_log AS (SELECT {audit} FROM members)"
+    for t in BREAKS:
+        source = "clean_audit_log" if t == "audit_log" else t
+        replaced = ", ".join(f"{x} AS {c}" for c, x in broken_columns(t).items())
+        out += f", dirty_{t} AS (SELECT * FROM {source} UNION ALL SELECT * REPLACE ({replaced}) FROM {source})"
+    return out
 
 
-def _row_rules_sql() -> str:
-    arms = []
-    for table in CHECKED_TABLES:
-        checks = [("not_null", c, f"{c} IS NULL") for c in NOT_NULL.get(table, [])]
-        checks += [("domain", c, f"{c} IS NOT NULL AND {c} NOT IN ({', '.join(_lit(v) for v in vals)})")
-                   for (t, c), vals in DOMAINS.items() if t == table]
-        checks += [("check", name, f"NOT ({col} {op} {_lit(v)})")
-                   for (t, name), (col, op, v) in CHECKS.items() if t == table]
-        checks += [("length", c, f"length({c}) > {n}") for (t, c), n in LENGTHS.items() if t == table]
-        for rule, name, pred in checks:
-            arms.append(f"SELECT '{rule}' AS rule, '{table}' AS table_name, '{name}' AS check_name, "
-                        f"COUNT(*) FILTER (WHERE {pred}) AS violations FROM {table}")
-    return " UNION ALL ".join(arms)
+_NO_AUDIT = """, audit_log AS (
+  SELECT CAST(NULL AS BIGINT) AS log_id, '' AS table_name, '' AS action, '' AS changed_by WHERE false)"""
 
 
-def _unique_sql() -> str:
-    arms = []
-    for table, keys in UNIQUE:
-        if table not in CHECKED_TABLES:
-            continue
-        cols = ", ".join(keys)
-        not_null = " AND ".join(f"{k} IS NOT NULL" for k in keys)
-        arms.append(f"SELECT 'unique' AS rule, '{table}' AS table_name, '{','.join(keys)}' AS check_name, "
-                    f"(SELECT COUNT(*) FROM (SELECT {cols} FROM {table} WHERE {not_null} GROUP BY {cols} "
-                    f"HAVING COUNT(*) > 1) d) AS violations")
-    return " UNION ALL ".join(arms)
+def _clean(sql: str) -> str:
+    return with_library(_NO_AUDIT + "\n" + sql.format(p=""))
 
 
-def _fk_sql() -> str:
-    arms = []
-    for child, ck, parent, pk, _ in FOREIGN_KEYS:
-        arms.append(f"SELECT 'foreign_key' AS rule, '{child}' AS table_name, '{ck}->{parent}.{pk}' AS check_name, "
-                    f"(SELECT COUNT(*) FROM {child} c WHERE c.{ck} IS NOT NULL AND NOT EXISTS "
-                    f"(SELECT 1 FROM {parent} p WHERE p.{pk} = c.{ck})) AS violations")
-    return " UNION ALL ".join(arms)
+def _broken(sql: str) -> str:
+    return with_library(_dirty_ctes() + "\n" + sql.format(p="dirty_"))
 
 
 _V7 = """
@@ -120,9 +144,14 @@ _V7 = """
 """
 
 QUALITY_SQL = {
-    "v_row_rules": with_library(_row_rules_sql()),
-    "v2_unique": with_library(_unique_sql()),
-    "v3_foreign_keys": with_library(_fk_sql()),
+    "v_row_rules": _clean(ROW_RULE_SQL),
+    "v2_unique": _clean(UNIQUE_SQL),
+    "v3_foreign_keys": _clean(FOREIGN_KEY_SQL),
+    "v_row_rules_dirty": _broken(ROW_RULE_SQL),
+    "v2_unique_dirty": _broken(UNIQUE_SQL),
+    "v3_foreign_keys_dirty": _broken(FOREIGN_KEY_SQL),
+    **{f"v6_defaults_{t}": with_library(sql) for t, sql in DEFAULTS_SQL.items()},
+    **{key: with_library(sql) for key, sql in DELETES_SQL.items()},
     "v6_loans_with_defaults": with_library(REQUEST_CTES + W10 + "SELECT *, 'active' AS status FROM w11"),
     "v7_deleted_books": with_library(_V7 + "SELECT book_id FROM books WHERE book_id NOT IN (SELECT book_id FROM v7_lent)"),
     "v7_deleted_copies": with_library(_V7 + """

@@ -9,7 +9,8 @@ into DataFrame checks that return one row per check:
 * V2 unique keys: key values occurring more than once (NULL keys exempt);
 * V3 foreign keys: child rows whose key is missing from the parent (anti join);
 * V6 column defaults are applied to new rows;
-* V7 delete plans: ON DELETE CASCADE collects dependants, RESTRICT blocks.
+* V7 delete plans: ON DELETE CASCADE collects dependants, RESTRICT blocks
+  (``delete_plan`` follows ``FOREIGN_KEYS`` for any table).
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ NOT_NULL = {
     "loans": ["loan_id", "member_id", "copy_id", "loan_date", "due_date"],
     "fines": ["fine_id", "loan_id", "fine_amount", "fine_reason"],
     "event_registrations": ["registration_id", "event_id", "member_id"],
+    "audit_log": ["log_id"],
 }
 DOMAINS = {
     ("members", "membership_type"): ["standard", "premium", "student"],
@@ -75,7 +77,7 @@ FOREIGN_KEYS = [
 ]
 DEFAULTS = {
     "members": {"membership_type": "standard", "status": "active", "join_date": "AS_OF"},
-    "audit_log": {"changed_by": "SYSTEM"},
+    "audit_log": {"changed_at": "AS_OF", "changed_by": "SYSTEM"},
     "books": {"total_copies": 1},
     "book_copies": {"condition_status": "good"},
     "loans": {"status": "active"},
@@ -137,7 +139,7 @@ def foreign_keys(lib: Library) -> DataFrame:
     """V3: child rows whose (non-NULL) key has no parent row."""
     parts = []
     for child, ck, parent, pk, _ in FOREIGN_KEYS:
-        parents = lib.table(parent).selectExpr(f"{q(pk)} AS {q(ck)}").distinct()
+        parents = lib.table(parent).selectExpr(f"{q(pk)} AS {q(ck)}")
         orphans = (lib.table(child).select(ck).where(f"{q(ck)} IS NOT NULL").join(parents, ck, "left_anti")
                    .agg(F.expr("count(1) AS violations")))
         parts.append(_report_row(orphans, "foreign_key", child, f"{ck}->{parent}.{pk}"))
@@ -149,10 +151,53 @@ def apply_defaults(df: DataFrame, table: str, as_of: _dt.date = AS_OF) -> DataFr
     out = df
     for col, value in DEFAULTS.get(table, {}).items():
         default = F.lit(as_of) if value == "AS_OF" else F.lit(value)
+        if col == "changed_at":
+            default = default.cast("timestamp")
         out = out.withColumn(col, F.coalesce(F.col(col), default) if col in out.columns else default)
     return out
 
 
+PRIMARY_KEYS = {keys[0]: t for t, keys in reversed(UNIQUE) if len(keys) == 1 and keys[0].endswith("_id")}
+
+
+def primary_key(table: str) -> str:
+    return next(k for k, t in PRIMARY_KEYS.items() if t == table)
+
+
+def delete_plan(table: str, lib: Library) -> dict[str, DataFrame]:
+    """V7 for deleting rows of any table (here: every row is asked to go).
+
+    A row that a RESTRICT child refers to, directly or through rows that
+    CASCADE would delete with it, is blocked. Returns ``blocked`` (id),
+    ``deleted`` (id) and, per dependent table that CASCADE reaches, the rows
+    that go with the deleted ones (``cascade_<table>``: root id, row id)."""
+    root = primary_key(table)
+    ids = lib.table(table).select(F.col(root).alias("root"))
+    blocked, cascades = [], {}
+
+    def follow(parent: str, reached: DataFrame) -> None:
+        for child, ck, to, _, action in FOREIGN_KEYS:
+            if to != parent:
+                continue
+            if action == "RESTRICT":
+                used = lib.table(child).select(F.col(ck).alias("key")).distinct()
+                blocked.append(reached.join(used, "key", "left_semi").select("root"))
+            else:
+                rows = (lib.table(child).select(F.col(ck).alias("key"), F.col(primary_key(child)).alias("row"))
+                        .join(reached, "key").select("root", "row"))
+                cascades[child] = rows
+                follow(child, rows.withColumnRenamed("row", "key"))
+
+    follow(table, ids.withColumn("key", F.col("root")))
+    stuck = reduce(DataFrame.unionByName, blocked).distinct() if blocked else ids.limit(0)
+    out = {"blocked": stuck.select(F.col("root").alias(root)),
+           "deleted": ids.join(stuck, "root", "left_anti").select(F.col("root").alias(root))}
+    for child, rows in cascades.items():
+        out[f"cascade_{child}"] = (rows.join(stuck, "root", "left_anti")
+                                   .select(F.col("root").alias(root), F.col("row").alias(primary_key(child))))
+    return out
+
+
 def delete_books_plan(book_ids: DataFrame, lib: Library) -> dict[str, DataFrame]:
     """V7 for deleting books: the W14 trigger blocks books with an active loan;
     ON DELETE CASCADE would remove their copies, but loans reference copies
