@@ -7,7 +7,6 @@ Layout:
   plans/      the report catalogue (one function per report)
   jobs/       set-based batch jobs for the write-side routines and triggers
   quality/    declared constraints as data-quality jobs
-  streaming/  the change-batch jobs driven by a Structured Streaming source
   oracle/     DuckDB SQL used as an independent oracle in tests
 
 Typical use::
