@@ -74,7 +74,7 @@ def sequence_within(df: DataFrame, partition_cols: Sequence[str], order_cols: Se
     """ROW_NUMBER() OVER (PARTITION BY partition_cols ORDER BY order_cols).
 
     Groups with at most ``hot_rows`` rows are numbered by the plain window.
-    Hot groups (a bounded, broadcast list; see ``operators.skew``) and the
+    Hot groups (see ``operators.skew``) and the
     whole table when there are no partition columns are cut into blocks of
     ``block_width`` consecutive values of ``order_cols[0]`` (an integer
     column), so a block holds at most ``block_width`` rows when that column is

@@ -1,3 +1,5 @@
+import re
+
 import folio
 from folio.__main__ import main
 
@@ -5,7 +7,8 @@ from folio.__main__ import main
 def test_cli_lists_every_key(capsys):
     assert main(["list"]) == 0
     keys = capsys.readouterr().out.split()
-    assert len(keys) == 85 and "q8_3_top3_per_genre" in keys
+    library = [k for k in keys if k != "pipeline" and not re.match(r"op\d+_", k)]
+    assert len(library) == 102 and "q8_3_top3_per_genre" in keys
 
 
 def test_package_exports():
