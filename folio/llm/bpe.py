@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable, Iterator
+from struct import pack
 
 import pandas as pd
 import public_tokenizers
@@ -27,7 +28,7 @@ OVERLAP = 1 << 9
 #: by less (the longest fixed alternative has three characters, the lookahead one).
 MARGIN = 8
 #: Distinct pre-tokens a task remembers before it starts anew.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -37,61 +38,27 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one pre-token: join the neighbouring pair of lowest rank (leftmost first) until none has a rank."""
-    if piece in ranks:
-        return [ranks[piece]]
-    parts = [piece[i:i + 1] for i in range(len(piece))]
-    if len(parts) > 64:
-        return _merge_long(parts, ranks)
-    while len(parts) > 1:
-        best, at = min((ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-        if best == 1 << 60:
-            break
-        parts[at:at + 2] = [parts[at] + parts[at + 1]]
-    return [ranks[p] for p in parts]
-
-
-def _merge_long(parts: list[bytes], ranks: dict[bytes, int]) -> list[int]:
-    """The same for long pre-tokens, with a heap of pairs: n log n instead of n * n."""
-    from heapq import heapify, heappop, heappush
-
-    n = len(parts)
-    left, right = list(range(-1, n - 1)), list(range(1, n + 1))
-    heap = [(r, i, parts[i] + parts[i + 1]) for i in range(n - 1) if (r := ranks.get(parts[i] + parts[i + 1])) is not None]
-    heapify(heap)
-    alive = [True] * n
-    while heap:
-        _, i, joined = heappop(heap)
-        j = right[i]
-        if not alive[i] or j >= n or parts[i] + parts[j] != joined:
-            continue
-        parts[i], alive[j] = joined, False
-        right[i] = k = right[j]
-        if k < n:
-            left[k] = i
-        for a, b in ((left[i], i), (i, k)):
-            if a >= 0 and b < n and (r := ranks.get(parts[a] + parts[b])) is not None:
-                heappush(heap, (r, a, parts[a] + parts[b]))
-    return [ranks[p] for p, a in zip(parts, alive) if a]
-
-
 class Coder:
-    """Cuts, encodes and decodes by one rank file. Ids are kept as little-endian unsigned 32-bit bytes."""
+    """Cuts, encodes and decodes by one rank file. Ids are kept as little-endian unsigned 32-bit bytes.
+
+    Each distinct pre-token is encoded once (by the library, which finds it to be one match again).
+    """
 
     def __init__(self, ranks_path: str, pattern: str):
         import regex
+        import tiktoken
 
-        self.ranks = load_ranks(ranks_path)
-        self.bytes_of = {i: b for b, i in self.ranks.items()}
+        ranks = load_ranks(ranks_path)
+        self.bytes_of = {i: b for b, i in ranks.items()}
+        self.merge = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.cut = regex.compile(pattern)
         self.known: dict[str, bytes] = {}
 
     def _encode_piece(self, piece: str) -> bytes:
         if len(self.known) >= REMEMBERED:
             self.known.clear()
-        ids = merge(piece.encode("utf-8", "surrogatepass"), self.ranks)
-        out = self.known[piece] = b"".join(i.to_bytes(4, "little") for i in ids)
+        ids = self.merge(piece)
+        out = self.known[piece] = pack(f"<{len(ids)}I", *ids)
         return out
 
     def encode(self, text: str) -> bytes:

@@ -130,14 +130,6 @@ def test_bpe_matches_the_library(spark, size, overlap):
     assert bpe.bpe_digests(no_documents(spark), P.path(bpe.RANKS)).count() == 0
 
 
-def test_long_merges_match_short_ones():
-    ranks = bpe.load_ranks(P.path(bpe.RANKS))
-    rng = np.random.default_rng(1)
-    for _ in range(200):
-        piece = bytes(rng.choice(list(b"etaoinshr "), 60))
-        assert bpe._merge_long([piece[i:i + 1] for i in range(len(piece))], ranks) == bpe.merge(piece, ranks)
-
-
 # Quality rules --------------------------------------------------------------------------------------
 
 def brute_figures(text):
@@ -214,7 +206,6 @@ def test_components_match_brute_force_on_odd_rows(spark):
 @pytest.mark.parametrize("seed, rounds", [(0, 2), (1, 0), (2, 1)])
 def test_components_match_brute_force_on_copies(spark, seed, rounds, monkeypatch):
     """Chains of ever more edited copies, a common passage, many short texts of few words."""
-    monkeypatch.setattr(ngram_join, "STAR_ROUNDS", rounds)
     monkeypatch.setattr(ngram_join.linked_sets, "__defaults__", (rounds,))
     monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 500)
     rng = np.random.default_rng(seed)
