@@ -37,6 +37,7 @@ SUFFIX = 4  # bytes
 BLOCK_TOKENS = 1 << 17
 #: The bounded start: tokens of the sample, its rounds, then rounds over all training texts.
 SAMPLE_TOKENS = 1 << 18
+SAMPLE_BLOCKS = 4
 SAMPLE_ROUNDS = 25
 ROUNDS = 2
 #: Added to every expected count.
@@ -223,8 +224,12 @@ def score(docs: DataFrame, train, states: int = STATES, rounds: int = ROUNDS, he
         tail_counts[r["tail"]], tail_words[r["tail"]] = r["c"], r["n"]
 
     sample, left = [], sample_tokens
-    drawn = blocks.where(F.expr("exists(train, x -> x)")).orderBy(F.xxhash64(F.col("keys").getItem(0), F.col("words"))).limit(4).collect()
-    for r in drawn:  # a few blocks, each BLOCK_TOKENS and one text long
+    # The blocks of the smallest hashes: found by their hashes alone, then fetched.
+    place = F.xxhash64(F.col("keys").getItem(0), F.col("rows").getItem(0), F.col("lengths"))
+    usable = blocks.where(F.expr("exists(train, x -> x)")).withColumn("place", place)
+    chosen = [r["place"] for r in usable.select("place").orderBy("place").limit(SAMPLE_BLOCKS).collect()]
+    drawn = usable.where(F.col("place").isin(chosen)).limit(SAMPLE_BLOCKS).collect() if chosen else []
+    for r in sorted(drawn, key=lambda r: r["place"]):  # a few blocks, each BLOCK_TOKENS and one text long
         if left > 0:
             sample.append(Block(r))
             left -= len(sample[-1].ids)
