@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folio.llm.common import broadcast_if_small, documents, stored
+from folio.llm.common import broadcast_if_small, documents, settled, stored
 
 WINDOW = 10
 #: Rows up to which a counted table is broadcast.
@@ -132,6 +132,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> Dat
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
     """The documents without a benchmark window, with all their columns."""
+    docs = settled(docs)
     gone = stored(contamination(docs, items, width).where("contaminated").select("row"), "contaminated")
     carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("carried"), F.monotonically_increasing_id().alias("row"))
     return carried.join(broadcast_if_small(gone, 1 << 21), "row", "left_anti").select("carried.*")

@@ -5,15 +5,15 @@ adds up, per document, how many of its n-grams occur in another document; who ha
 threshold's share can link to nobody and leaves. That takes out nearly all rows of a corpus at the price of
 one packed shuffle.
 
-Of the rest, each distinct set of n-grams is one row. Columns are ordered from the rarest, and a
-row enters the product with its first ``n - ceil(t n) + 1`` columns only: two rows that link share
-one of these. Overlap counts accumulate over shared columns, for pairs of admissible sizes, and
-pairs below the least count that their sizes allow are discarded; what remains is checked on the
-whole sets.
+Of the rest, each distinct set of n-grams is one row. Columns are ordered from the rarest. Sizes na
+and nb ask for an overlap of at least ``o``, so two rows that link share at least ``min(L, o)`` of the
+first ``na - o + L`` columns of the one and ``nb - o + L`` of the other. Only these columns enter the
+product, for pairs of admissible sizes; overlap counts accumulate over them and pairs below the bound
+are discarded. What remains is checked on the whole sets.
 
 Only links between different components matter for components. So the columns first link each row to
-one other row (a star, not all pairs), and full counts follow only where a column still
-holds rows of different components.
+one other row (stars, not all pairs), in a few rounds with other centres; the counts follow only where a
+column still holds rows of different components.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import broadcast_if_small, documents, ship, stored
+from folio.llm.common import broadcast_if_small, documents, settled, ship, stored
 
 N = 4
 #: Link when DEN * intersection >= NUM * union.
@@ -34,8 +34,11 @@ NUM, DEN = 85, 100
 #: Shingles of a column block, and of a packed piece.
 BLOCK_SHINGLES = 1 << 21
 PIECE = 1 << 19
-REMEMBERED = 1 << 20
-STAR_ROUNDS = 2
+REMEMBERED = 1 << 18
+STAR_ROUNDS = 5
+#: Centres that a round has for each column's rows to meet, and columns that a pair must share at least (L).
+CENTRES = 64
+SHARED = 1
 #: Rows up to which a counted table is broadcast.
 SMALL = 1 << 21
 
@@ -184,7 +187,8 @@ _SIZES = f"({DEN} * least(na, nb) >= {NUM} * greatest(na, nb))"
 
 
 def _prefix(n: str) -> str:
-    return f"({n} - cast(ceil({NUM} * {n} / {DEN}) as long) + 1)"
+    """The longest prefix that a row of size n needs with any partner."""
+    return f"least({n}, {n} - cast(ceil({NUM} * {n} / {DEN}) as long) + {SHARED})"
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -204,32 +208,49 @@ def linked_sets(sets: DataFrame, rounds: int = STAR_ROUNDS) -> DataFrame:
     room = f"{_prefix('n')} - (n - size(own))"
     size_class = f"cast(floor(ln(n) / ln({DEN / NUM})) as int)"
     prefix = (shared.where(f"{room} > 0")
-              .select("sig", "n", F.expr(size_class).alias("own_class"), F.expr(f"explode(slice(own, 1, cast(least({room}, size(own)) as int)))").alias("c"))
-              .select("sig", "n", "own_class", F.col("c.h").alias("h"), F.explode(F.array(F.col("own_class"), F.col("own_class") - 1)).alias("k")))
+              .select("sig", "n", F.expr(size_class).alias("own_class"), F.expr("n - size(own)").alias("alone"),
+                      F.expr(f"posexplode(slice(own, 1, cast(least({room}, size(own)) as int)))").alias("i", "c"))
+              .select("sig", "n", "own_class", F.col("c.h").alias("h"), (F.col("alone") + F.col("i")).alias("at"), F.explode(F.array(F.col("own_class"), F.col("own_class") - 1)).alias("k")))
     # A column's rows by neighbouring size classes: rows of admissible sizes meet in (h, the smaller class).
     prefix = stored(prefix, "prefixes")
 
-    links = sets.sparkSession.createDataFrame([], "a long, b long")
     labels = sets.sparkSession.createDataFrame([], "node long, comp long")
     for r in range(rounds):
         now = prefix.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
-        centre = (now.groupBy("h", "k").agg(F.min(F.struct(F.xxhash64("sig", F.lit(r)).alias("x"), "sig", "n", "comp")).alias("m"),
+        centre = (now.groupBy("h", "k").agg(F.min(F.struct(F.xxhash64("sig", F.lit(r), F.expr(f"pmod(h, {CENTRES})")).alias("x"), "sig", "n", "comp")).alias("m"),
                                             F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi"))
         pairs = (now.join(centre.select("h", "k", "m"), ["h", "k"]).where("comp <> m.comp")
                  .select(F.least("sig", "m.sig").alias("a"), F.greatest("sig", "m.sig").alias("b"), F.col("n").alias("na"), F.col("m.n").alias("nb"))
                  .where(_SIZES).dropDuplicates(["a", "b"]))
         # na + nb is symmetric, so which of the two belongs to a does not matter below.
-        links = stored(links.union(verified(pairs, sets)), "links")
-        labels = components(links)
+        new = stored(verified(pairs, sets), "links")
+        if not new.limit(1).count():
+            break
+        labels = merged(labels, new)
 
     now = prefix.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
     mixed = now.groupBy("h", "k").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h", "k")
     now = stored(now.join(mixed, ["h", "k"]), "open-columns")
-    side = lambda x: now.select("h", "k", F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col("comp").alias(f"c{x}"), F.col("own_class").alias(f"k{x}"))
-    bound = f"greatest(1, least({_prefix('na')} - na, {_prefix('nb')} - nb) + {_LEAST})"
-    pairs = (side("a").join(side("b"), ["h", "k"]).where(f"a < b and ca <> cb and k = least(ka, kb) and {_SIZES}")
-             .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("overlap")).where(f"overlap >= {bound}"))
-    return components(links.union(verified(pairs, sets)))
+    side = lambda x: now.select("h", "k", F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col("comp").alias(f"c{x}"), F.col("own_class").alias(f"k{x}"), F.col("at").alias(f"at{x}"))
+    early = f"ata < na - {_LEAST} + {SHARED} and atb < nb - {_LEAST} + {SHARED}"
+    pairs = (side("a").join(side("b"), ["h", "k"]).where(f"a < b and ca <> cb and k = least(ka, kb) and {_SIZES} and {early}")
+             .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("overlap")).where(f"overlap >= least({SHARED}, {_LEAST})"))
+    return merged(labels, verified(pairs, sets))
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, comp`` of old labels and new links (a, b): the links join whole components, so only their
+    labels are walked."""
+    def label(x: str) -> DataFrame:
+        return labels.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))
+
+    between = (links.join(label("a"), "a", "left").join(label("b"), "b", "left")
+               .select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")))
+    between = stored(between, "links")
+    joined = components(between.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+    nodes = labels.union(between.select("a", "ca")).union(between.select("b", "cb")).distinct()
+    return stored(nodes.join(joined.select(F.col("node").alias("old"), F.col("comp").alias("least")), F.col("comp") == F.col("old"), "left")
+                  .select("node", F.coalesce("least", "comp").alias("comp")), "labels")
 
 
 def classes(docs: DataFrame, n: int = N) -> DataFrame:
@@ -261,7 +282,7 @@ def jaccard_components(docs: DataFrame, n: int = N) -> DataFrame:
     counted for the smallest id unless a component has no other; an empty table gives no rows; other
     columns are ignored. Sets are compared by 64-bit hashes.
     """
-    kind = docs.schema["doc_id"].dataType
+    docs, kind = settled(docs), docs.schema["doc_id"].dataType
     rows = stored(classes(docs, n).withColumn("doc_id", F.col("key").cast(kind)), "classes")
     least = rows.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
     return rows.join(least, "comp", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"),
@@ -271,7 +292,7 @@ def jaccard_components(docs: DataFrame, n: int = N) -> DataFrame:
 def keep_one(docs: DataFrame, n: int = N) -> DataFrame:
     """One document of each component, that of the smallest id (then the first row); documents without
     n-grams all stay. All columns stay."""
-    kind = docs.schema["doc_id"].dataType
+    docs, kind = settled(docs), docs.schema["doc_id"].dataType
     rows = stored(classes(docs, n).withColumn("doc_id", F.col("key").cast(kind)), "classes")
     first = rows.where("comp is not null").groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("m"))
     gone = stored(rows.join(first, "comp").where("row <> m.row").select("row"), "copies")
