@@ -13,6 +13,8 @@ part is written again, and any file system that Spark reaches will do.
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -28,7 +30,7 @@ BLOCK = 1 << 14  # ids in a block
 SEGMENT = 1 << 20  # ids after which a segment is closed
 LEVEL = 3
 END_ID = 0
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 20
 VOCABULARY = "byte_bpe_50k.json"
 
 SEGMENT_COLUMNS = ("part int, segment int, n_ids long, bits boolean, keys array<string>, lengths array<long>, "
@@ -78,37 +80,53 @@ def unpack(sizes, ends, payload: bytes, bits: bool) -> np.ndarray:
     return np.concatenate(out) if out else np.empty(0, "<u4")
 
 
+#: The library's pattern over U+0000-024F without the separators 1C-1F: letters, numbers, white space there.
+_L = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+_N = "0-9\xb2\xb3\xb9\xbc-\xbe"
+_S = "\\t-\\r \x85\xa0"
+LATIN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
+BEYOND = "[^\x00-\x1b\x20-\u024f]"
+
+
 class LibraryCoder:
     """The tokenizers library, asked once for each distinct pre-token.
 
-    Texts are cut by the library's own pattern. Where its Unicode tables might differ from the
-    pattern engine's (beyond Latin letters, and the separators 1C-1F), the whole text goes to the library.
+    Texts are cut by the library's own pattern, written out for Latin letters; a text with other
+    characters goes to the library whole.
     """
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.cut = regex.compile(public_tokenizers.PATTERN).findall
-        self.odd = regex.compile("[^\\x00-\\x1b\\x20-\\u024f]").search
+        self.model = self.library.model
+        self.cut = re.compile(LATIN).findall
+        self.odd = re.compile(BEYOND).search
         self.known: dict[str, bytes] = {}
+        # The library's model reads bytes as characters: those that print as themselves, the others from 256 on.
+        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        hidden = [b for b in range(256) if b not in shown]
+        self.shown = {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
+
+    def _whole(self, text: str) -> bytes:
+        ids = self.library.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _ask(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
+    def _piece(self, piece: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.shown))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         if self.odd(text):
-            return self._ask([text])[0]
+            return self._whole(text)
         pieces = self.cut(text)
         if new := set(pieces).difference(self.known):
             if len(self.known) + len(new) > REMEMBERED:
                 self.known.clear()
                 new = set(pieces)
-            new = list(new)
-            self.known.update(zip(new, self._ask(new)))
+            self.known.update((p, self._piece(p)) for p in new)
         return b"".join(map(self.known.__getitem__, pieces))
 
 
