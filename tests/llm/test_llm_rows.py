@@ -307,6 +307,17 @@ def test_pages_with_odd_rows(spark):
     assert tagpath.main_texts(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize("open_, close", [("article", "article"), ("div", "div")])
+@pytest.mark.parametrize("middle", [
+    "<ul>" + "<li>an item of thirty characters</li>" * 40 + "</ul>", "<table>" + "<tr><td>cell</td><td>7</td></tr>" * 25 + "</table>",
+    "<pre>" + "one long line, of code. " * 210 + "</pre>", "<blockquote>" + "a word, a word. " * 630 + "</blockquote>"])
+def test_lists_tables_and_paragraphs_stay_beside_long_blocks(open_, close, middle):
+    before = "".join(f"<p>{i} " + "Some plain words, and more of them. " * n + "</p>" for i, n in enumerate([14] * 10 + [8] * 20))
+    menu = "<section><ul>" + "<li><a href=/x>Some menu item</a></li>" * 9 + "</ul></section>"
+    want = re.sub(r"(\s*<[^>]*>\s*)+", "\n\n", before + middle + before).strip()
+    assert tagpath.main_text(f"<body>{menu}<{open_}>{before}{middle}{before}</{close}></body>") == want
+
+
 # SQL ------------------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("name", sorted(registry.SQL))
