@@ -318,6 +318,25 @@ def test_lists_tables_and_paragraphs_stay_beside_long_blocks(open_, close, middl
     assert tagpath.main_text(f"<body>{menu}<{open_}>{before}{middle}{before}</{close}></body>") == want
 
 
+BODY = "<p>First para, with some text.</p><p>Second, as well.</p>"
+
+
+@pytest.mark.parametrize("page, want", [
+    *((f'<div class="{c}"><{e}>{BODY}</{e}></div>', BODY) for e in ("article", "main", 'div class="post"', "section")
+      for c in ("content has-sidebar", "layout no-sidebar", "with-banner", "page-search-off", "post share-enabled")),
+    *((f'<div class="{c}"><{e}>{BODY}</{e}></div>', BODY) for e in ("article", "main") for c in ("sidebar-right", "page search", "paywall")),
+    *((f'<{e} class="{c}"><h1>A title</h1></{e}><div class="entry">{BODY}</div>', "<h1>A title</h1>" + BODY) for e in ("div", "header")
+      for c in ("entry-header", "post-header")),
+    (f'<article><div class="entry-header"><h1>A title</h1></div>{BODY}</article>', "<h1>A title</h1>" + BODY),
+    # What is other stays out: teasers, comments, menus, banners.
+    (f'<article>{BODY}<div class="comments"><article><p>Nice.</p></article></div></article>', BODY),
+    (f'<main>{BODY}<div class="related"><article><p>Teaser.</p></article></div></main>', BODY),
+    (f'<div class="sidebar"><div class="post">Old, post.</div></div><article>{BODY}</article>', BODY),
+    (f'<div class="cookie-banner">We, use.</div><header class="site-header">Site.</header><nav><article>x</article></nav><div>{BODY}</div>', BODY)])
+def test_names_of_layout_do_not_empty_a_page(page, want):
+    assert tagpath.main_text(f"<html><body>{page}</body></html>") == re.sub(r"(<[^>]*>)+", "\n\n", want).strip()
+
+
 # SQL ------------------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("name", sorted(registry.SQL))
