@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import sys
 import uuid
 
@@ -36,15 +35,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Plan nodes that give the same rows in the same places whenever they run, whichever columns are read.
-_STEADY = {"Relation", "RelationV2", "LocalRelation", "Project", "Filter", "SubqueryAlias", "View"}
-
-
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` if it is read straight from files, else a stored copy. Operators that number rows by
-    their place and read the table again rely on it."""
-    nodes = re.findall(r"^[\s:+\-]*(\w+)", df._jdf.queryExecution().analyzed().toString(), re.M)
-    return df if set(nodes) <= _STEADY else stored(df, "settled")
+def numbered(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """A stored copy of ``df``, each row with a number of its own: ``row, carried``, the latter a struct of its ``columns``
+    (or all). A number made while reading depends on how the files were split for that read; here it is
+    written, so whoever reads rows and numbers from this table finds the same number at a row."""
+    return stored(df.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in columns or df.columns]).alias("carried")), "numbered")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

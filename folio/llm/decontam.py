@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folio.llm.common import broadcast_if_small, documents, settled, stored
+from folio.llm.common import broadcast_if_small, documents, numbered, stored
 
 WINDOW = 10
 #: Rows up to which a counted table is broadcast.
@@ -38,11 +38,12 @@ def item_terms(items: DataFrame, width: int = WINDOW) -> DataFrame:
             .select("iid", "item_id", F.size("w").alias("n"), F.posexplode("w").alias("off", "term")))
 
 
-def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
+def build_index(docs: DataFrame, terms: DataFrame, row: Column | None = None) -> DataFrame:
     """Stored postings ``term, row, pos, doc_id`` of the ``terms`` (a column term) in ``docs``. A text's last
-    posting has the empty term: its pos is the number of words and it alone carries doc_id."""
+    posting has the empty term: its pos is the number of words and it alone carries doc_id. Rows are numbered by
+    the column ``row``, or here, then the numbers mean nothing outside the postings."""
     wanted = stored(terms.select("term").union(terms.sparkSession.createDataFrame([("",)], "term string")).distinct(), "terms")
-    tokens = (docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.concat(words("text"), F.array(F.lit(""))).alias("w"))
+    tokens = (docs.select((F.monotonically_increasing_id() if row is None else row).alias("row"), "doc_id", F.concat(words("text"), F.array(F.lit(""))).alias("w"))
               .select("row", "doc_id", F.posexplode("w").alias("pos", "term")))
     found = tokens.join(broadcast_if_small(wanted, SMALL), "term", "left_semi")
     return stored(found.select("term", "row", "pos", F.expr("if(term = '', doc_id, null)").alias("doc_id")), "postings")
@@ -110,7 +111,7 @@ def nearby(index: DataFrame, terms: DataFrame, slop: int) -> DataFrame:
             .groupBy("row", "item_id").agg(F.min("distance").alias("distance")))
 
 
-def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, row: Column | None = None) -> DataFrame:
     """``row, doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` of every row of ``docs``.
 
     Defined cases: a null or empty text has no words and no hit; items without words are ignored; items with
@@ -118,7 +119,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> Dat
     text; repeated rows each get a row; empty tables give no rows, or no hits; other columns are ignored.
     """
     terms = stored(item_terms(items, width), "item-terms")
-    index = build_index(docs, terms)
+    index = build_index(docs, terms, row)
     runs = stored(occurrences(index, terms, width), "runs")
     hit = (runs.select("row", F.explode(F.sequence("first", "last")).alias("pos")).distinct().groupBy("row").agg(F.count("*").alias("n_hit")))
     named = (runs.select("row", F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item")).distinct()
@@ -132,10 +133,10 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> Dat
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
     """The documents without a benchmark window, with all their columns."""
-    docs = settled(docs)
-    gone = stored(contamination(docs, items, width).where("contaminated").select("row"), "contaminated")
-    carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("carried"), F.monotonically_increasing_id().alias("row"))
-    return carried.join(broadcast_if_small(gone, 1 << 21), "row", "left_anti").select("carried.*")
+    table = numbered(docs)
+    found = contamination(table.select("row", "carried.doc_id", "carried.text"), items, width, F.col("row"))
+    gone = stored(found.where("contaminated").select("row"), "contaminated")
+    return table.join(broadcast_if_small(gone, 1 << 21), "row", "left_anti").select("carried.*")
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

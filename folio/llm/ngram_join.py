@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import broadcast_if_small, documents, settled, ship, stored
+from folio.llm.common import broadcast_if_small, documents, numbered, ship, stored
 
 N = 4
 #: Link when DEN * intersection >= NUM * union.
@@ -75,19 +75,14 @@ class Shingler:
 
 
 def signatures(docs: DataFrame, n: int) -> DataFrame:
-    """``row, key, n, sig`` of every row: its number, its doc_id as text, size and name of its set."""
+    """``row, key, n, sig`` of every row of ``docs`` (row, key, text): size and name of its set."""
     def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle = Shingler(n)
         for rows in frames:
             sets = [shingle(t) for t in rows["text"]]
             yield pd.DataFrame({"row": rows["row"], "key": rows["key"], "n": [len(s) for s in sets], "sig": [shingle.signature(s) for s in sets]})
 
-    return numbered(docs).select("row", "key", "text").mapInPandas(sign, "row long, key string, n int, sig long")
-
-
-def numbered(docs: DataFrame) -> DataFrame:
-    """Rows by their place in the input files, the same in each read of them."""
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("string").alias("key"), "text")
+    return docs.select("row", "key", "text").mapInPandas(sign, "row long, key string, n int, sig long")
 
 
 def sharers(docs: DataFrame, n: int, blocks: int) -> DataFrame:
@@ -254,8 +249,8 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, n: int = N) -> DataFrame:
-    """``row, key, n, comp`` of every row: its number, doc_id as text, set size, and the name of its component
-    (null for an empty set)."""
+    """``row, key, n, comp`` of every row of ``docs`` (row, key, text; stored, as it is read again by row): set size, and the
+    name of its component (null for an empty set)."""
     signed = stored(signatures(docs, n), "signatures")
     total = signed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(total / BLOCK_SHINGLES))
@@ -268,12 +263,17 @@ def classes(docs: DataFrame, n: int = N) -> DataFrame:
             sets = [shingle(t) for t in rows["text"]]
             yield pd.DataFrame({"sig": rows["sig"], "n": [len(s) for s in sets], "hashes": [s.view(np.int64) for s in sets]})
 
-    sets = stored(numbered(docs).join(broadcast_if_small(chosen, SMALL), "row").select("sig", "text")
+    sets = stored(docs.join(broadcast_if_small(chosen, SMALL), "row").select("sig", "text")
                   .mapInPandas(hashes, "sig long, n int, hashes array<long>"), "sets")
     found = linked_sets(sets).select(F.col("node").alias("sig"), "comp")
     return signed.join(found, "sig", "left").select("row", "key", "n", F.when(F.col("n") > 0, F.coalesce("comp", "sig")).alias("comp"))
 
 
+def texts(table: DataFrame) -> DataFrame:
+    """``row, key, text`` of a numbered table: doc_id as text."""
+    return table.select("row", F.col("carried.doc_id").cast("string").alias("key"), "carried.text")
+
+
 def jaccard_components(docs: DataFrame, n: int = N) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``.
 
@@ -282,8 +282,8 @@ def jaccard_components(docs: DataFrame, n: int = N) -> DataFrame:
     counted for the smallest id unless a component has no other; an empty table gives no rows; other
     columns are ignored. Sets are compared by 64-bit hashes.
     """
-    docs, kind = settled(docs), docs.schema["doc_id"].dataType
-    rows = stored(classes(docs, n).withColumn("doc_id", F.col("key").cast(kind)), "classes")
+    table, kind = numbered(docs, ["doc_id", "text"]), docs.schema["doc_id"].dataType
+    rows = stored(classes(texts(table), n).withColumn("doc_id", F.col("key").cast(kind)), "classes")
     least = rows.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
     return rows.join(least, "comp", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"),
                                                    F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
@@ -292,12 +292,11 @@ def jaccard_components(docs: DataFrame, n: int = N) -> DataFrame:
 def keep_one(docs: DataFrame, n: int = N) -> DataFrame:
     """One document of each component, that of the smallest id (then the first row); documents without
     n-grams all stay. All columns stay."""
-    docs, kind = settled(docs), docs.schema["doc_id"].dataType
-    rows = stored(classes(docs, n).withColumn("doc_id", F.col("key").cast(kind)), "classes")
+    table, kind = numbered(docs), docs.schema["doc_id"].dataType
+    rows = stored(classes(texts(table), n).withColumn("doc_id", F.col("key").cast(kind)), "classes")
     first = rows.where("comp is not null").groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("m"))
     gone = stored(rows.join(first, "comp").where("row <> m.row").select("row"), "copies")
-    carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("carried"), F.monotonically_increasing_id().alias("row"))
-    return carried.join(broadcast_if_small(gone, SMALL), "row", "left_anti").select("carried.*")
+    return table.join(broadcast_if_small(gone, SMALL), "row", "left_anti").select("carried.*")
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operators whose result is checked row by row against a brute-force version on odd rows."""
 
 import hashlib
+import itertools
 import re
 import struct
 import zlib
@@ -232,6 +233,33 @@ def test_one_of_each_group_stays(spark):
     assert ids.count(-5) == 1 and -4 not in ids
 
 
+@pytest.fixture
+def shifting(spark, monkeypatch, tmp_path):
+    """A file read whose splits, and with them the places of its rows, are others after each table that is stored."""
+    texts = [" ".join(f"t{i // 2}w{j}" for j in range(60)) for i in range(80)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/docs")
+    cores = itertools.cycle(["1", "5", "9"])
+    write = common.stored
+
+    def stored(df, name):
+        spark.conf.set("spark.sql.files.minPartitionNum", next(cores))
+        return write(df, name)
+
+    for module in (common, ngram_join, decontam):
+        monkeypatch.setattr(module, "stored", stored)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield spark.read.parquet(f"{tmp_path}/docs"), list(enumerate(texts))
+    for k in ("spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes"):
+        spark.conf.unset(k)
+
+
+def test_rows_keep_their_numbers_when_splits_change(spark, shifting):
+    docs, texts = shifting
+    assert rows(ngram_join.keep_one(docs), "doc_id") == [(i,) for i in range(0, 80, 2)]
+    items = spark.createDataFrame([(1, texts[5][1]), (2, texts[61][1])], "item_id long, text string")
+    assert rows(decontam.drop_contaminated(docs, items), "doc_id") == [(i,) for i in range(80) if i // 2 not in (2, 30)]
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, x) for x in range(101, 130)] + [(500, 400)]
     got = dict(rows(ngram_join.components(spark.createDataFrame(links, "a long, b long"))))
