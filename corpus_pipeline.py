@@ -18,6 +18,11 @@ from folio.llm.ngram_join import keep_one
 from folio.llm.quality import keep_good
 
 
+#: Near copies share 80 % of their five-word n-grams (op10 has bounds of its own).
+NEAR_WORDS = 5
+NEAR_SHARE = (80, 100)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the fitted quality rules keep."""
     return keep_good(docs)
@@ -29,8 +34,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return keep_one(docs)
+    """One document of each group of near copies, by n-grams of ``NEAR_WORDS`` words."""
+    return keep_one(docs, NEAR_WORDS, *NEAR_SHARE)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from folio.llm.common import broadcast_if_small, documents, numbered, ship, stored
 
+#: The query's n-grams and bound: link when DEN * intersection >= NUM * union. The pipeline gives its own.
 N = 4
-#: Link when DEN * intersection >= NUM * union.
 NUM, DEN = 85, 100
 #: Shingles of a column block, and of a packed piece.
 BLOCK_SHINGLES = 1 << 21
@@ -85,8 +85,8 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
     return docs.select("row", "key", "text").mapInPandas(sign, "row long, key string, n int, sig long")
 
 
-def sharers(docs: DataFrame, n: int, blocks: int) -> DataFrame:
-    """``sig`` of the rows of which at least NUM / DEN of the n-grams occur in another row too.
+def sharers(docs: DataFrame, n: int, blocks: int, num: int, den: int) -> DataFrame:
+    """``sig`` of the rows of which at least num / den of the n-grams occur in another row too.
 
     Each task packs its hashes by column block; a block's task sorts them and marks those that
     occur twice; the marks are summed per document. Hashes are cut to 32 bits inside a block: a
@@ -149,7 +149,7 @@ def sharers(docs: DataFrame, n: int, blocks: int) -> DataFrame:
         for x in rows["counts"][~names]:
             c = np.frombuffer(x, "<i4")
             shared[:len(c)] += c
-        return pd.DataFrame({"sig": sigs[DEN * shared >= NUM * sizes.astype(np.int64)]})
+        return pd.DataFrame({"sig": sigs[den * shared >= num * sizes.astype(np.int64)]})
 
     packed = docs.select("text").mapInPandas(pack, "block int, home long, hashes binary, docs binary")
     return (packed.groupBy("block").applyInPandas(mark, "home long, names binary, counts binary")
@@ -176,32 +176,30 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-#: SQL of the least overlap that two sizes allow, and of a row's prefix of columns.
-_LEAST = f"cast(ceil({NUM} * (na + nb) / {NUM + DEN}) as long)"
-_SIZES = f"({DEN} * least(na, nb) >= {NUM} * greatest(na, nb))"
+def _prefix(n: str, num: int, den: int) -> str:
+    """SQL of the longest prefix of columns that a row of size n needs with any partner."""
+    return f"least({n}, {n} - cast(ceil({num} * {n} / {den}) as long) + {SHARED})"
 
 
-def _prefix(n: str) -> str:
-    """The longest prefix that a row of size n needs with any partner."""
-    return f"least({n}, {n} - cast(ceil({NUM} * {n} / {DEN}) as long) + {SHARED})"
-
-
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b, na, nb) that link, by the whole sets."""
     left = sets.select(F.col("sig").alias("a"), F.col("hashes").alias("ha"))
     right = sets.select(F.col("sig").alias("b"), F.col("hashes").alias("hb"))
     both = pairs.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("ha", "hb")))
-    return both.where(f"{DEN} * i >= {NUM} * (na + nb - i)").select("a", "b")
+    return both.where(f"{den} * i >= {num} * (na + nb - i)").select("a", "b")
 
 
-def linked_sets(sets: DataFrame, rounds: int = STAR_ROUNDS) -> DataFrame:
+def linked_sets(sets: DataFrame, num: int, den: int, rounds: int = STAR_ROUNDS) -> DataFrame:
     """``node, comp`` over ``sets`` (sig, n, hashes), of all that link to another."""
+    # The least overlap that two sizes allow, and which sizes may link.
+    least = f"cast(ceil({num} * (na + nb) / {num + den}) as long)"
+    sizes = f"({den} * least(na, nb) >= {num} * greatest(na, nb))"
     entries = sets.select("sig", "n", F.explode("hashes").alias("h"))
     often = entries.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     shared = entries.join(often, "h").groupBy("sig", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("own"))
     # A row's columns that only it has come first in its order; they fill the prefix but match nobody.
-    room = f"{_prefix('n')} - (n - size(own))"
-    size_class = f"cast(floor(ln(n) / ln({DEN / NUM})) as int)"
+    room = f"{_prefix('n', num, den)} - (n - size(own))"
+    size_class = f"cast(floor(ln(n) / ln({den / num})) as int)"
     prefix = (shared.where(f"{room} > 0")
               .select("sig", "n", F.expr(size_class).alias("own_class"), F.expr("n - size(own)").alias("alone"),
                       F.expr(f"posexplode(slice(own, 1, cast(least({room}, size(own)) as int)))").alias("i", "c"))
@@ -216,9 +214,9 @@ def linked_sets(sets: DataFrame, rounds: int = STAR_ROUNDS) -> DataFrame:
                                             F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi"))
         pairs = (now.join(centre.select("h", "k", "m"), ["h", "k"]).where("comp <> m.comp")
                  .select(F.least("sig", "m.sig").alias("a"), F.greatest("sig", "m.sig").alias("b"), F.col("n").alias("na"), F.col("m.n").alias("nb"))
-                 .where(_SIZES).dropDuplicates(["a", "b"]))
+                 .where(sizes).dropDuplicates(["a", "b"]))
         # na + nb is symmetric, so which of the two belongs to a does not matter below.
-        new = stored(verified(pairs, sets), "links")
+        new = stored(verified(pairs, sets, num, den), "links")
         if not new.limit(1).count():
             break
         labels = merged(labels, new)
@@ -227,10 +225,10 @@ def linked_sets(sets: DataFrame, rounds: int = STAR_ROUNDS) -> DataFrame:
     mixed = now.groupBy("h", "k").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h", "k")
     now = stored(now.join(mixed, ["h", "k"]), "open-columns")
     side = lambda x: now.select("h", "k", F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col("comp").alias(f"c{x}"), F.col("own_class").alias(f"k{x}"), F.col("at").alias(f"at{x}"))
-    early = f"ata < na - {_LEAST} + {SHARED} and atb < nb - {_LEAST} + {SHARED}"
-    pairs = (side("a").join(side("b"), ["h", "k"]).where(f"a < b and ca <> cb and k = least(ka, kb) and {_SIZES} and {early}")
-             .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("overlap")).where(f"overlap >= least({SHARED}, {_LEAST})"))
-    return merged(labels, verified(pairs, sets))
+    early = f"ata < na - {least} + {SHARED} and atb < nb - {least} + {SHARED}"
+    pairs = (side("a").join(side("b"), ["h", "k"]).where(f"a < b and ca <> cb and k = least(ka, kb) and {sizes} and {early}")
+             .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("overlap")).where(f"overlap >= least({SHARED}, {least})"))
+    return merged(labels, verified(pairs, sets, num, den))
 
 
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -248,13 +246,13 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
                   .select("node", F.coalesce("least", "comp").alias("comp")), "labels")
 
 
-def classes(docs: DataFrame, n: int = N) -> DataFrame:
+def classes(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN) -> DataFrame:
     """``row, key, n, comp`` of every row of ``docs`` (row, key, text; stored, as it is read again by row): set size, and the
     name of its component (null for an empty set)."""
     signed = stored(signatures(docs, n), "signatures")
     total = signed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(total / BLOCK_SHINGLES))
-    stays = sharers(docs, n, blocks).distinct()
+    stays = sharers(docs, n, blocks, num, den).distinct()
     chosen = stored(signed.join(stays, "sig").groupBy("sig").agg(F.min("row").alias("row")), "sharers")
 
     def hashes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -265,7 +263,7 @@ def classes(docs: DataFrame, n: int = N) -> DataFrame:
 
     sets = stored(docs.join(broadcast_if_small(chosen, SMALL), "row").select("sig", "text")
                   .mapInPandas(hashes, "sig long, n int, hashes array<long>"), "sets")
-    found = linked_sets(sets).select(F.col("node").alias("sig"), "comp")
+    found = linked_sets(sets, num, den).select(F.col("node").alias("sig"), "comp")
     return signed.join(found, "sig", "left").select("row", "key", "n", F.when(F.col("n") > 0, F.coalesce("comp", "sig")).alias("comp"))
 
 
@@ -274,7 +272,7 @@ def texts(table: DataFrame) -> DataFrame:
     return table.select("row", F.col("carried.doc_id").cast("string").alias("key"), "carried.text")
 
 
-def jaccard_components(docs: DataFrame, n: int = N) -> DataFrame:
+def jaccard_components(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``.
 
     Defined cases: a null or empty text, or one of white space, has no n-grams and links with nothing;
@@ -283,17 +281,17 @@ def jaccard_components(docs: DataFrame, n: int = N) -> DataFrame:
     columns are ignored. Sets are compared by 64-bit hashes.
     """
     table, kind = numbered(docs, ["doc_id", "text"]), docs.schema["doc_id"].dataType
-    rows = stored(classes(texts(table), n).withColumn("doc_id", F.col("key").cast(kind)), "classes")
+    rows = stored(classes(texts(table), n, num, den).withColumn("doc_id", F.col("key").cast(kind)), "classes")
     least = rows.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
     return rows.join(least, "comp", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"),
                                                    F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, n: int = N) -> DataFrame:
+def keep_one(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN) -> DataFrame:
     """One document of each component, that of the smallest id (then the first row); documents without
     n-grams all stay. All columns stay."""
     table, kind = numbered(docs), docs.schema["doc_id"].dataType
-    rows = stored(classes(texts(table), n).withColumn("doc_id", F.col("key").cast(kind)), "classes")
+    rows = stored(classes(texts(table), n, num, den).withColumn("doc_id", F.col("key").cast(kind)), "classes")
     first = rows.where("comp is not null").groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("m"))
     gone = stored(rows.join(first, "comp").where("row <> m.row").select("row"), "copies")
     return table.join(broadcast_if_small(gone, SMALL), "row", "left_anti").select("carried.*")

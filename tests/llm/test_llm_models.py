@@ -177,6 +177,16 @@ def test_pipeline_equals_its_operators(spark):
     assert sorted(r["doc_id"] for r in out) == after and len({r["doc_id"] for r in out}) == len(out)
 
 
+def test_pipeline_drops_near_copies_by_five_words_and_80_percent(spark):
+    words = [f"w{i}" for i in range(200)]
+    changed = [f"x{i}" if i in (40, 80, 120, 160) else w for i, w in enumerate(words)]  # 0.815 by five words, 0.8498 by four
+    more = [f"x{i}" if i in (20, 40, 80, 120, 160) else w for i, w in enumerate(f"o{i}" for i in range(200))]  # 0.774 by five words
+    texts = [words, changed, [f"o{i}" for i in range(200)], more]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"]
+    assert sorted(r["doc_id"] for r in stage(spark, docs, SF0001).collect()) == [0, 2, 3]
+
+
 def test_pipeline_on_odd_rows(spark):
     for make in (odd_documents, no_documents):
         docs = make(spark)
