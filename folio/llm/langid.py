@@ -23,11 +23,13 @@ from pyspark.sql import functions as F
 from folio.llm.chain import Chain
 from folio.llm.common import documents, fold_of, ship
 
-#: The bounded training sample: labels, texts of each label, characters taken from a text.
-MAX_LABELS = 64
+#: The bounded training sample: texts of each label, fewer (but LEAST_TEXTS) if there are more labels than MANY, and
+#: characters taken from a text. All labels are learned.
 TEXTS_PER_LABEL = 800
+LEAST_TEXTS = 50
+MANY = 64
 SNIPPET = 400
-#: Hashed weights of each label; n-gram sizes in bytes, marks included.
+#: Hashed weights of each label, fewer beyond MANY labels, so that the model's size stays; n-gram sizes in bytes, marks included.
 BITS = 18
 ORDERS = (1, 2, 3, 4, 5)
 #: Words of one forward-backward call; a longer text is one call.
@@ -43,12 +45,17 @@ def words_of(text: str) -> list[bytes]:
     return text.lower().encode("utf-8", "surrogatepass").translate(None, _DROP).split()
 
 
-def _hash(x: np.ndarray, salt: int) -> np.ndarray:
-    return ((x + np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)
+def bits_of(labels: int) -> int:
+    """Bits of the hash for so many labels: each doubling beyond MANY takes one, but 10 stay."""
+    return max(min(10, BITS), BITS - max(0, (labels - 1) // MANY).bit_length())
 
 
-def features(words: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Hashed n-gram ids of each order at each byte of the marked words (2 ** BITS where the word
+def _hash(x: np.ndarray, salt: int, bits: int) -> np.ndarray:
+    return ((x + np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
+
+
+def features(words: list[bytes], bits: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Hashed n-gram ids of each order at each byte of the marked words (2 ** bits where the word
     ends before), the first byte of each word, and the ids of the words themselves."""
     raw = np.frombuffer(_BEGIN + (_END + _BEGIN).join(words) + _END, np.uint8).astype(np.uint64)
     sizes = np.array([len(w) + 2 for w in words])
@@ -60,9 +67,9 @@ def features(words: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, np.ndarr
         h = h * np.uint64(0x100000001B3) + np.uint64(1)
         h[:len(raw) - order + 1] += raw[order - 1:]
         if order in ORDERS:
-            ids.append(np.where(left >= order, _hash(h, order), np.uint64(1 << BITS)).astype(np.int64))
+            ids.append(np.where(left >= order, _hash(h, order, bits), np.uint64(1 << bits)).astype(np.int64))
     power = np.multiply.accumulate(np.full(sizes.max(), 0x100000001B3, np.uint64))
-    return ids, at, _hash(np.add.reduceat(raw * power[place], at), 99).astype(np.int64)
+    return ids, at, _hash(np.add.reduceat(raw * power[place], at), 99, bits).astype(np.int64)
 
 
 @dataclass
@@ -78,7 +85,7 @@ class Crf:
         out = np.empty((len(words), len(self.labels)))
         for i in range(0, len(words), 1 << 15):
             part = words[i:i + (1 << 15)]
-            ids, at, own = features(part)
+            ids, at, own = features(part, len(self.lexicon).bit_length() - 1)
             total = sum(self.weights[x] for x in ids)
             out[i:i + len(part)] = np.add.reduceat(total, at, axis=0) + self.lexicon[own]
         return out
@@ -113,9 +120,10 @@ def train(samples: list[tuple[str, list[bytes]]], sequences: int = 4000, segment
     """
     rng = np.random.default_rng(seed)
     labels = sorted({x for x, w in samples if w})
-    k = len(labels)
+    k, bits = len(labels), bits_of(len(labels))
+    sequences = max(sequences, sequences * k // MANY)
     by = [[w for x, w in samples if x == label and w] for label in labels]
-    crf = Crf(labels, np.zeros(((1 << BITS) + 1, k)), np.zeros((1 << BITS, k)), np.log(np.full((k, k), 1 / max(1, k))), np.log(np.full(k, 1 / max(1, k))))
+    crf = Crf(labels, np.zeros(((1 << bits) + 1, k)), np.zeros((1 << bits, k)), np.log(np.full((k, k), 1 / max(1, k))), np.log(np.full(k, 1 / max(1, k))))
     if k < 2:
         return crf
     made = []
@@ -139,7 +147,7 @@ def train(samples: list[tuple[str, list[bytes]]], sequences: int = 4000, segment
         truth = np.concatenate([made[i][1] for i in batch])
         starts = np.zeros(len(ids), bool)
         starts[np.cumsum([0] + [len(made[i][0]) for i in batch[:-1]])] = True
-        ready.append((list(number), ids, truth, starts, features(list(number))))
+        ready.append((list(number), ids, truth, starts, features(list(number), bits)))
     for r in range(rounds * len(ready)):
         words, ids, truth, starts, (grams, at, own) = ready[r % len(ready)]
         known = crf.scores(words)
@@ -151,8 +159,8 @@ def train(samples: list[tuple[str, list[bytes]]], sequences: int = 4000, segment
         gradient = [np.zeros_like(crf.weights), np.zeros_like(crf.lexicon)]
         for y in range(k):
             for x in grams:
-                gradient[0][:, y] += np.bincount(x, spread[:, y], (1 << BITS) + 1)
-            gradient[1][:, y] = np.bincount(own, word_miss[:, y], 1 << BITS)
+                gradient[0][:, y] += np.bincount(x, spread[:, y], (1 << bits) + 1)
+            gradient[1][:, y] = np.bincount(own, word_miss[:, y], 1 << bits)
         gradient[0][-1] = 0
         real = np.zeros((k, k))
         np.add.at(real, (truth[:-1][~starts[1:]], truth[1:][~starts[1:]]), 1)
@@ -169,12 +177,13 @@ def train(samples: list[tuple[str, list[bytes]]], sequences: int = 4000, segment
 
 def learn(docs: DataFrame, texts_per_label: int = TEXTS_PER_LABEL, fold: int = 3, held_out: int = 1) -> Crf:
     """Fit on a bounded sample of the labelled texts outside the held-out fold: at most
-    ``texts_per_label`` texts of each of the ``MAX_LABELS`` most frequent labels, chosen by hash, and
+    ``texts_per_label`` texts of each label (fewer beyond ``MANY`` labels), chosen by hash, and
     ``SNIPPET`` characters from a hashed place in each."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold_of("doc_id", fold) != held_out))
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LABELS).collect()
+    counts = usable.groupBy("lang").count().collect()
     if not counts:
         return train([])
+    texts_per_label = min(texts_per_label, max(LEAST_TEXTS, texts_per_label * MANY // len(counts)))
     share = usable.sparkSession.createDataFrame([(r["lang"], min(1.0, 2 * texts_per_label / r["count"])) for r in counts], "lang string, share double")
     drawn = (usable.select("lang", "text", F.xxhash64(F.col("doc_id").cast("string"), "text").alias("h"))
              .join(F.broadcast(share), "lang")
@@ -205,7 +214,7 @@ def _batches(texts: pd.Series) -> Iterator[list[list[bytes]]]:
 
 def predictor(spark: SparkSession, crf: Crf):
     """A column function: text -> struct(lang_pred, score)."""
-    model = spark.sparkContext.broadcast(crf)  # at most (2 ** 19 + 1) * MAX_LABELS weights
+    model = spark.sparkContext.broadcast(crf)  # (2 ** 19 + 1) * MANY weights at most, until bits_of ends
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

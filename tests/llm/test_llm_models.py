@@ -135,6 +135,18 @@ def test_languages_of_odd_rows(spark):
     assert {r["lang_pred"] for r in langid.identify(unlabelled).collect()} == {"und"}
 
 
+def test_every_label_is_learned(spark, monkeypatch):
+    """More labels than MANY, the last ones of fewest texts."""
+    monkeypatch.setattr(langid, "BITS", 12)
+    monkeypatch.setattr(langid.train, "__defaults__", (600, 12, 3, 0.3, 7))
+    rng = np.random.default_rng(3)
+    words = ["".join(map(chr, rng.integers(97, 123, 6))) for _ in range(70 * 12)]
+    rows = [(i * 100 + j, " ".join(rng.choice(words[12 * i:12 * i + 12], 20)), f"l{i:02}") for i in range(70) for j in range(9 if i < 64 else 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs).collect()}
+    assert {r[2] for r in rows} == set(got.values()) and sum(got[i] == lang for i, _, lang in rows) > 0.95 * len(rows)
+
+
 def test_spans_follow_a_language_switch(spark):
     docs = documents(spark, SF001)
     crf = langid.learn(docs)
