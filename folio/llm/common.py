@@ -52,6 +52,28 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def per_process(key, make):
+    """``make()`` once for each Python worker process, which runs many tasks. Functions sent by value have new
+    globals in every task; what all tasks of a worker share stands among its modules."""
+    made = sys.modules.setdefault("_folio_per_process", {})
+    if key not in made:
+        made[key] = make()
+    return made[key]
+
+
+def give_back() -> None:
+    """At a task's end in a reused Python worker: hand freed memory to the system, for the JVM and other workers."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def fold_of(column: str = "doc_id", folds: int = 3):
     """crc32 of the id written as text, modulo ``folds``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % folds

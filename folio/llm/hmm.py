@@ -125,6 +125,10 @@ class Hmm:
     steps: np.ndarray
     emit: np.ndarray  # class, state
 
+    def arrays(self) -> tuple:
+        """The model as plain arrays, which a worker without this package can unpickle."""
+        return self.heads, self.start, self.steps, self.emit
+
     def expect(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Expected (starts, steps, emissions by class and state) of a block's training texts."""
         use = block.train[block.text]
@@ -163,10 +167,10 @@ def start_model(heads: np.ndarray, class_counts: np.ndarray, sample: list[Block]
 def full_round(blocks: DataFrame, model: Hmm) -> Hmm:
     """One Baum-Welch round over all training texts. Each task sums its own counts and sends them
     in slices; a slice's sum is one task's work, of bounded size."""
-    shared = blocks.sparkSession.sparkContext.broadcast(model)  # (HEADS + TAILS) * STATES doubles at most
+    shared = blocks.sparkSession.sparkContext.broadcast(model.arrays())  # (HEADS + TAILS) * STATES doubles at most
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, total = shared.value, None
+        model, total = Hmm(*shared.value), None
         for block in read_blocks(frames):
             one = model.expect(block)
             total = one if total is None else tuple(a + b for a, b in zip(total, one))
@@ -237,12 +241,13 @@ def score(docs: DataFrame, train, states: int = STATES, rounds: int = ROUNDS, he
     for _ in range(rounds):
         model = full_round(blocks, model)
 
-    shared = spark.sparkContext.broadcast((model, head_counts, np.log10(tail_counts + tail_words + 1)))
+    shared = spark.sparkContext.broadcast((model.arrays(), head_counts, np.log10(tail_counts + tail_words + 1)))
 
     def texts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Per text the forward score of its classes, the log chance that its tail words' classes
         spread over their words, and what its head words add to the base."""
-        model, head_counts, log_mass = shared.value
+        arrays, head_counts, log_mass = shared.value
+        model = Hmm(*arrays)
         for block in read_blocks(frames):
             classes = block.classes(model.heads)
             log = Chain(model.steps, model.start).run(model.emit[classes][block.ids], block.starts, backward=False)[1]
@@ -259,7 +264,7 @@ def score(docs: DataFrame, train, states: int = STATES, rounds: int = ROUNDS, he
 
     def tails(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Per text and distinct tail word its count."""
-        model = shared.value[0]
+        model = Hmm(*shared.value[0])
         for block in read_blocks(frames):
             is_tail = (block.classes(model.heads) >= len(model.heads))[block.ids]
             pair, n = np.unique(block.text[is_tail] * len(block.words) + block.ids[is_tail], return_counts=True)

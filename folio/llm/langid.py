@@ -17,11 +17,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folio.llm.chain import Chain
-from folio.llm.common import documents, fold_of, ship
+from folio.llm.common import documents, fold_of, give_back, ship
 
 #: The bounded training sample: texts of each label, fewer (but LEAST_TEXTS) if there are more labels than MANY, and
 #: characters taken from a text. All labels are learned.
@@ -32,8 +32,8 @@ SNIPPET = 400
 #: Hashed weights of each label, fewer beyond MANY labels, so that the model's size stays; n-gram sizes in bytes, marks included.
 BITS = 18
 ORDERS = (1, 2, 3, 4, 5)
-#: Words of one forward-backward call; a longer text is one call.
-BATCH_WORDS = 1 << 18
+#: Words times labels of one forward-backward call, so that its arrays stay alike for any number of labels; a longer text is one call.
+BATCH_CELLS = 1 << 20
 UNKNOWN = "und"
 
 _BEGIN, _END = b"\x02", b"\x03"
@@ -90,6 +90,10 @@ class Crf:
             out[i:i + len(part)] = np.add.reduceat(total, at, axis=0) + self.lexicon[own]
         return out
 
+    def arrays(self) -> tuple:
+        """The model as plain lists and arrays, which a worker without this package can unpickle."""
+        return self.labels, self.weights, self.lexicon, self.log_steps, self.log_start
+
     def chain(self) -> Chain:
         return Chain(np.exp(self.log_steps), np.exp(self.log_start))
 
@@ -177,19 +181,22 @@ def train(samples: list[tuple[str, list[bytes]]], sequences: int = 4000, segment
 
 def learn(docs: DataFrame, texts_per_label: int = TEXTS_PER_LABEL, fold: int = 3, held_out: int = 1) -> Crf:
     """Fit on a bounded sample of the labelled texts outside the held-out fold: at most
-    ``texts_per_label`` texts of each label (fewer beyond ``MANY`` labels), chosen by hash, and
-    ``SNIPPET`` characters from a hashed place in each."""
+    ``texts_per_label`` texts of each label (fewer beyond ``MANY`` labels), those of the
+    smallest hashes, copies of a text taken once, and ``SNIPPET`` characters from a hashed place in each."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold_of("doc_id", fold) != held_out))
-    counts = usable.groupBy("lang").count().collect()
+    hashed = usable.select("lang", "text", F.xxhash64("text").alias("h"))
+    counts = hashed.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).collect()  # one row a label, as in the model
     if not counts:
         return train([])
     texts_per_label = min(texts_per_label, max(LEAST_TEXTS, texts_per_label * MANY // len(counts)))
-    share = usable.sparkSession.createDataFrame([(r["lang"], min(1.0, 2 * texts_per_label / r["count"])) for r in counts], "lang string, share double")
-    drawn = (usable.select("lang", "text", F.xxhash64(F.col("doc_id").cast("string"), "text").alias("h"))
-             .join(F.broadcast(share), "lang")
-             .where(F.expr("pmod(h, 1048576) < share * 1048576"))
-             .select("lang", "h", F.expr(f"substring(text, 1 + cast(pmod(h div 1048576, greatest(length(text) - {SNIPPET}, 1)) as int), {SNIPPET})").alias("snippet"))
-             .limit(4 * texts_per_label * len(counts)).collect())
+    # Twice the wanted texts by a share of the hashes (with many copies of a text it is one), then the smallest hashes of each label.
+    share = usable.sparkSession.createDataFrame([(r["lang"], min(1.0, 2 * texts_per_label / r["n"])) for r in counts], "lang string, share double")
+    smallest = Window.partitionBy("lang").orderBy("place", "h")
+    drawn = (hashed.join(F.broadcast(share), "lang")
+             .withColumn("place", F.expr("pmod(h, 1048576)")).where(F.expr("place < share * 1048576"))
+             .select("lang", "h", "place", F.expr(f"substring(text, 1 + cast(pmod(h div 1048576, greatest(length(text) - {SNIPPET}, 1)) as int), {SNIPPET})").alias("snippet"))
+             .groupBy("lang", "place", "h").agg(F.min("snippet").alias("snippet"))
+             .withColumn("at", F.row_number().over(smallest)).where(F.col("at") <= 2 * texts_per_label).select("lang", "h", "snippet").collect())
     drawn.sort(key=lambda r: (r["lang"], r["h"], r["snippet"]))
     taken: dict[str, list] = defaultdict(list)
     for r in drawn:
@@ -199,11 +206,11 @@ def learn(docs: DataFrame, texts_per_label: int = TEXTS_PER_LABEL, fold: int = 3
     return train([x for label in sorted(taken) for x in taken[label]])
 
 
-def _batches(texts: pd.Series) -> Iterator[list[list[bytes]]]:
-    batch, size = [], 0
+def _batches(texts: pd.Series, labels: int) -> Iterator[list[list[bytes]]]:
+    batch, size, most = [], 0, BATCH_CELLS // max(4, labels)
     for t in texts:
         words = words_of(t) if isinstance(t, str) and any(map(str.isalpha, t)) else []
-        if batch and size + len(words) > BATCH_WORDS:
+        if batch and size + len(words) > most:
             yield batch
             batch, size = [], 0
         batch.append(words)
@@ -214,14 +221,14 @@ def _batches(texts: pd.Series) -> Iterator[list[list[bytes]]]:
 
 def predictor(spark: SparkSession, crf: Crf):
     """A column function: text -> struct(lang_pred, score)."""
-    model = spark.sparkContext.broadcast(crf)  # (2 ** 19 + 1) * MANY weights at most, until bits_of ends
+    model = spark.sparkContext.broadcast(crf.arrays())  # (2 ** 19 + 1) * MANY weights at most, until bits_of ends
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        crf = model.value
+        crf = Crf(*model.value)
         for texts in parts:
             out = []
-            for batch in _batches(texts):
+            for batch in _batches(texts, len(crf.labels)):
                 for chances in crf.label(batch):
                     if not len(chances) or not crf.labels:
                         out.append((UNKNOWN, 0.0))
@@ -230,19 +237,20 @@ def predictor(spark: SparkSession, crf: Crf):
                         best = int(share.argmax())
                         out.append((crf.labels[best], float(min(1.0, share[best]))))
             yield pd.DataFrame(out, columns=["lang_pred", "score"])
+        give_back()
 
     return predict
 
 
 def language_spans(docs: DataFrame, crf: Crf) -> DataFrame:
     """Runs of words with one label: ``doc_id, first_word, n_words, lang``, one row a run."""
-    model = docs.sparkSession.sparkContext.broadcast(crf)
+    model = docs.sparkSession.sparkContext.broadcast(crf.arrays())
 
     def spans(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        crf = model.value
+        crf = Crf(*model.value)
         for rows in frames:
             done = 0
-            for batch in _batches(rows["text"]):
+            for batch in _batches(rows["text"], len(crf.labels)):
                 out = []
                 for key, chances in zip(rows["key"].iloc[done:done + len(batch)], crf.label(batch)):
                     best = chances.argmax(axis=1) if len(chances) else np.empty(0, int)
@@ -272,7 +280,12 @@ MIN_SHARE = 0.35
 
 
 def keep_identified(docs: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
-    """The documents with a language: not ``und``, and its share at least ``min_share``. All columns stay."""
+    """The documents with a language: not ``und``, and its share at least ``min_share``.
+
+    Defined cases: a null text and one without a letter goes; without labelled texts all go; repeated rows
+    stay or go together; an empty table stays empty; all columns pass through, and names cannot clash (the input row
+    is carried as a struct).
+    """
     carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), predictor(docs.sparkSession, learn(docs))("text").alias("p"))
     return carried.where((F.col("p.lang_pred") != UNKNOWN) & (F.col("p.score") >= min_share)).select("row.*")
 

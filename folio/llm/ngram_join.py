@@ -26,14 +26,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import broadcast_if_small, documents, numbered, ship, stored
+from folio.llm.common import broadcast_if_small, documents, give_back, numbered, ship, stored
 
 #: The query's n-grams and bound: link when DEN * intersection >= NUM * union. The pipeline gives its own.
 N = 4
 NUM, DEN = 85, 100
 #: Shingles of a column block, and of a packed piece.
 BLOCK_SHINGLES = 1 << 21
-PIECE = 1 << 19
+PIECE = 1 << 18
 REMEMBERED = 1 << 18
 STAR_ROUNDS = 5
 #: Centres that a round has for each column's rows to meet, and columns that a pair must share at least (L).
@@ -81,6 +81,7 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
         for rows in frames:
             sets = [shingle(t) for t in rows["text"]]
             yield pd.DataFrame({"row": rows["row"], "key": rows["key"], "n": [len(s) for s in sets], "sig": [shingle.signature(s) for s in sets]})
+        give_back()
 
     return docs.select("row", "key", "text").mapInPandas(sign, "row long, key string, n int, sig long")
 
@@ -124,6 +125,8 @@ def sharers(docs: DataFrame, n: int, blocks: int, num: int, den: int) -> DataFra
                         sets, size, piece = [], 0, piece + 1
         if sets:
             yield close(sets)
+        del sets, shingle
+        give_back()
 
     def mark(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         if key[0] < 0:  # names and sizes pass through
@@ -260,6 +263,7 @@ def classes(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN) -> Data
         for rows in frames:
             sets = [shingle(t) for t in rows["text"]]
             yield pd.DataFrame({"sig": rows["sig"], "n": [len(s) for s in sets], "hashes": [s.view(np.int64) for s in sets]})
+        give_back()
 
     sets = stored(docs.join(broadcast_if_small(chosen, SMALL), "row").select("sig", "text")
                   .mapInPandas(hashes, "sig long, n int, hashes array<long>"), "sets")
@@ -288,8 +292,12 @@ def jaccard_components(docs: DataFrame, n: int = N, num: int = NUM, den: int = D
 
 
 def keep_one(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN) -> DataFrame:
-    """One document of each component, that of the smallest id (then the first row); documents without
-    n-grams all stay. All columns stay."""
+    """One document of each component, that of the smallest id (then the first row).
+
+    Defined cases: documents without n-grams (null, empty, white space) all stay; of a component with null ids one
+    with an id stays, if there is any; repeated rows are one component; an empty table stays empty; all columns pass through, and names
+    cannot clash (the input row is carried as a struct).
+    """
     table, kind = numbered(docs), docs.schema["doc_id"].dataType
     rows = stored(classes(texts(table), n, num, den).withColumn("doc_id", F.col("key").cast(kind)), "classes")
     first = rows.where("comp is not null").groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("m"))

@@ -24,7 +24,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folio.llm.common import documents, new_path, ship
+from folio.llm.common import documents, new_path, per_process, ship
 
 BLOCK = 1 << 14  # ids in a block
 SEGMENT = 1 << 20  # ids after which a segment is closed
@@ -143,7 +143,8 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, block: int = BLOCK, s
     def segments(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        coder, part, n = LibraryCoder(vocabulary), TaskContext.get().partitionId(), 0
+        # Vocabulary and remembered pieces are kept for all tasks of the worker.
+        coder, part, n = per_process(("coder", vocabulary), lambda: LibraryCoder(vocabulary)), TaskContext.get().partitionId(), 0
         keys, ids, size = [], [], 0
 
         def close() -> pd.DataFrame:

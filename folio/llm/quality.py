@@ -132,7 +132,11 @@ def learn(figured: DataFrame) -> tuple[DataFrame, dict]:
 
 
 def judge(figured: DataFrame, posterior: DataFrame) -> DataFrame:
-    """Adds votes, ``posterior``, ``base_failed`` and ``kept`` to a table of figures."""
+    """Adds votes, ``posterior``, ``base_failed`` and ``kept`` to a table of figures.
+
+    Defined cases: figures of zero (a null text or one without words) fail the base rule whatever the model says; a
+    vote pattern that ``posterior`` lacks is not kept; other columns stay, unless their names are those added.
+    """
     names = [f"vote_{r[0]}" for r in RULES]
     return (figured.select("*", *votes()).join(F.broadcast(posterior), names, "left")
             .withColumn("base_failed", F.expr(BASE_FAILED))
@@ -142,16 +146,25 @@ def judge(figured: DataFrame, posterior: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that the fitted rules keep, with all their columns.
 
+    Each text is measured once: rows and figures are written together, and the model is fitted to and
+    applied to that table.
+
     Defined cases: a null or empty text has no words and fails the base rule; a text without a
     break is one line; repeated rows are judged alike; an empty table stays empty; other columns
     pass through, and names cannot clash (the input row is carried as a struct).
     """
-    posterior, _ = learn(stored(docs.select(figures("text").alias("f")).select("f.*"), "quality-figures"))
-    carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), figures("text").alias("f"))
-    return judge(carried.select("row", "f.*"), posterior).where("kept").select("row.*")
+    measured = stored(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("carried"), figures("text").alias("f")), "quality-figures")
+    figured = measured.select("carried", "f.*")
+    posterior, _ = learn(figured)
+    return judge(figured, posterior).where("kept").select("carried.*")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures, base rule, verdict, posterior and votes of every document.
+
+    Defined cases: a null or empty text, or one of white space, has figures of zero and fails the base rule; repeated
+    rows and ids have a row each; a long text is measured whole; an empty table gives no rows.
+    """
     figured = stored(documents(spark, sf_dir).select("doc_id", figures("text").alias("f")).select("doc_id", "f.*"), "quality-figures")
     posterior, _ = learn(figured)
     return judge(figured, posterior).select(
