@@ -41,68 +41,71 @@ class Chain:
         m, length = _blocks(n)
         pad = m * length - n
         top = E.max(axis=1)
-        e = np.concatenate([E / top[:, None], np.ones((pad, k))]).reshape(m, length, k)
-        first = np.concatenate([starts, np.ones(pad, bool)]).reshape(m, length)
-        resets = first.any(axis=0)
+        # State first, then blocks side by side: (step, state, block).
+        e = np.ones((m * length, k))
+        np.divide(E, top[:, None], out=e[:n])
+        e = np.ascontiguousarray(e.reshape(m, length, k).transpose(1, 2, 0))
+        first = np.ascontiguousarray(np.concatenate([starts, np.ones(pad, bool)]).reshape(m, length).T)
+        resets = first.any(axis=1)
         A, pi = self.A, self.pi
 
-        product = np.broadcast_to(np.eye(k), (m, k, k)).copy()
+        product = np.zeros((k, k, m))  # from, to, block
+        product[np.arange(k), np.arange(k)] = 1
         for s in range(length):
-            step = (product.reshape(m * k, k) @ A).reshape(m, k, k)
+            step = np.matmul(A.T, product)
             if resets[s]:
-                step[first[:, s]] = product[first[:, s]].sum(axis=2, keepdims=True) * pi
+                step[:, :, first[s]] = product[:, :, first[s]].sum(axis=1)[:, None] * pi[:, None]
             product = step
-            product *= e[:, s, None, :]
+            product *= e[s]
             if s % 8 == 7 or s == length - 1:
-                product /= product.max(axis=(1, 2), keepdims=True)
+                product /= product.max(axis=(0, 1))
+        product = np.ascontiguousarray(product.transpose(2, 0, 1))
 
-        into = np.empty((m, k))
+        into = np.empty((k, m))
         v = pi
         for b in range(m):
-            into[b] = v
+            into[:, b] = v
             v = v @ product[b]
             v = v / v.sum()
-        alpha, scale = np.empty((m, length, k)), np.empty((m, length))
+        alpha, scale = np.empty((length, k, m)), np.empty((length, m))
         now = into
         for s in range(length):
-            now = now @ A
+            now = np.matmul(A.T, now, out=alpha[s])
             if resets[s]:
-                now[first[:, s]] = pi
-            now *= e[:, s]
-            scale[:, s] = now.sum(axis=1)
-            now /= scale[:, s, None]
-            alpha[:, s] = now
-        flat = alpha.reshape(-1, k)[:n]
-        log = np.log(scale.reshape(-1)[:n]) + np.log(top)
+                now[:, first[s]] = pi[:, None]
+            now *= e[s]
+            now.sum(axis=0, out=scale[s])
+            now /= scale[s]
+        flat = lambda x: x.transpose(2, 0, 1).reshape(-1, k)[:n]
+        log = np.log(scale.T.reshape(-1)[:n]) + np.log(top)
         if not backward:
-            return flat, log, None, None
+            return flat(alpha), log, None, None
 
         # beta: weight of what follows a position, per state there; 'after' holds it for a block's last position.
-        after = np.empty((m, k))
+        after = np.empty((k, m))
         v = np.ones(k)
         for b in range(m - 1, -1, -1):
-            after[b] = v
+            after[:, b] = v
             v = product[b] @ v
             v = v / v.max()
-        gamma = np.empty((m, length, k))
+        gamma = np.empty((length, k, m))
         # counts[i, j] sums alpha_{t-1}[i] A[i, j] e_t[j] beta_t[j] / weight over positions t that start no sequence
         counts = np.zeros((k, k))
         beta = after
         for s in range(length - 1, -1, -1):
-            g = alpha[:, s] * beta
-            g /= g.sum(axis=1, keepdims=True)
-            gamma[:, s] = g
-            ahead = e[:, s] * beta
-            before = alpha[:, s - 1] if s else np.concatenate([pi[None], alpha[:-1, -1]])
-            back = ahead @ A.T
-            weight = (before * back).sum(axis=1)
-            live = ~first[:, s]
-            if live.any():
-                counts += A * (before[live].T @ (ahead[live] / weight[live, None]))
+            g = np.multiply(alpha[s], beta, out=gamma[s])
+            g /= g.sum(axis=0)
+            ahead = e[s] * beta
+            before = alpha[s - 1] if s else np.concatenate([pi[:, None], alpha[-1][:, :-1]], axis=1)
+            back = A @ ahead
+            weight = (before * back).sum(axis=0)
+            ahead /= weight
             if resets[s]:
-                back[first[:, s]] = 1.0
-            beta = back / back.max(axis=1, keepdims=True)
-        return flat, log, gamma.reshape(-1, k)[:n], counts
+                ahead[:, first[s]] = 0
+                back[:, first[s]] = 1
+            counts += before @ ahead.T
+            beta = back / back.max(axis=0)
+        return flat(alpha), log, flat(gamma), A * counts
 
 
 ship(__name__)

@@ -9,8 +9,10 @@ folder; all later passes read them. A state emits a word's class, and the class
   inflection; inside a class a word has its training count plus one, and one more unit stands for
   every word not seen.
 
-Both tables are bounded, so any vocabulary fits. Baum-Welch starts from a bounded sample of blocks
-and then runs full rounds: each task adds up its expected counts, the counts of all partitions are
+Both tables are bounded, so any vocabulary fits. Baum-Welch starts from class frequencies, shaken at random.
+Its first rounds take one share of the blocks each, a share that lies in all partitions and grows with the corpus; when
+every block was used once, full rounds follow until a token's log likelihood gains less than a tolerance.
+In a round each task adds up its expected counts, the counts of all partitions are
 summed in slices, and the driver turns them into chances. A text's score is its exact log
 likelihood by the scaled forward recursion, times its words' chances inside their classes. Counts
 of tail words are joined by word, never broadcast.
@@ -35,17 +37,18 @@ HEADS = 1 << 16
 TAILS = 1 << 14
 SUFFIX = 4  # bytes
 BLOCK_TOKENS = 1 << 17
-#: The bounded start: tokens of the sample, its rounds, then rounds over all training texts.
-SAMPLE_TOKENS = 1 << 18
-SAMPLE_BLOCKS = 4
-SAMPLE_ROUNDS = 25
-ROUNDS = 2
+#: Shares of the blocks that the first rounds take one by one; then full rounds until the gain a token (nats) is below TOLERANCE, at most ROUNDS.
+SHARES = 16
+TOLERANCE = 0.005
+ROUNDS = 12
+#: In a round over a share, this part of the emissions follows the classes' frequency in the whole corpus, as a share sees few of the classes.
+SPREAD = 0.1
 #: Added to every expected count.
 PRIOR = 0.05
 SLICES = 16
 
 _END = b" "  # no word holds a space
-BLOCKS = ("keys array<string>, train array<boolean>, rows array<long>, lengths array<long>, words binary, tails binary, ids binary")
+BLOCKS = ("share int, keys array<string>, train array<boolean>, rows array<long>, lengths array<long>, words binary, tails binary, ids binary")
 
 
 def words_of(text: str) -> list[bytes]:
@@ -55,7 +58,7 @@ def words_of(text: str) -> list[bytes]:
     return out
 
 
-def _block(rows: list[tuple]) -> pd.DataFrame:
+def _block(rows: list[tuple], share: int) -> pd.DataFrame:
     """Rows (key, train, row number, words) as one block: each distinct word once by hash and tail
     class, the tokens by their number among them."""
     import xxhash
@@ -67,25 +70,27 @@ def _block(rows: list[tuple]) -> pd.DataFrame:
     ids = np.concatenate(ids)
     tails = [0 if w is _END else xxhash.xxh32_intdigest(w[-SUFFIX:]) % TAILS for w in vocabulary]
     return pd.DataFrame({
-        "keys": [[r[0] for r in rows]], "train": [[bool(r[1]) for r in rows]], "rows": [[r[2] for r in rows]], "lengths": [[len(r[3]) for r in rows]],
+        "share": share, "keys": [[r[0] for r in rows]], "train": [[bool(r[1]) for r in rows]], "rows": [[r[2] for r in rows]], "lengths": [[len(r[3]) for r in rows]],
         "words": [np.array([xxhash.xxh3_64_intdigest(w) for w in vocabulary], "<u8").tobytes()], "tails": [np.array(tails, "<u2").tobytes()],
         "ids": [ids.astype("<u2" if len(vocabulary) <= 1 << 16 else "<u4").tobytes()]})
 
 
 def to_blocks(docs: DataFrame, train) -> DataFrame:
     """Token blocks of all rows; ``train`` marks the rows to learn from. A block ends after
-    ``BLOCK_TOKENS`` tokens, at a text's end."""
+    ``BLOCK_TOKENS`` tokens, at a text's end. The blocks of a task belong to the shares in turn."""
     def blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows, size = [], 0
+        from pyspark import TaskContext
+
+        rows, size, share = [], 0, TaskContext.get().partitionId() % SHARES
         for frame in frames:
             for r in frame.itertuples(index=False):
                 rows.append((r.key, r.train, r.row, words_of(r.text)))
                 size += len(rows[-1][3])
                 if size >= BLOCK_TOKENS:
-                    yield _block(rows)
-                    rows, size = [], 0
+                    yield _block(rows, share)
+                    rows, size, share = [], 0, (share + 1) % SHARES
         if rows:
-            yield _block(rows)
+            yield _block(rows, share)
 
     return docs.select(F.col("doc_id").cast("string").alias("key"), train.alias("train"), F.monotonically_increasing_id().alias("row"),
                        F.coalesce("text", F.lit("")).alias("text")).mapInPandas(blocks, BLOCKS)
@@ -129,43 +134,37 @@ class Hmm:
         """The model as plain arrays, which a worker without this package can unpickle."""
         return self.heads, self.start, self.steps, self.emit
 
-    def expect(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected (starts, steps, emissions by class and state) of a block's training texts."""
+    def expect(self, block: Block) -> tuple[np.ndarray, ...]:
+        """Expected (starts, steps, emissions by class and state) of a block's training texts, their tokens and log likelihood."""
         use = block.train[block.text]
         k, n = len(self.start), len(self.emit)
         if not use.any():
-            return np.zeros(k), np.zeros((k, k)), np.zeros((n, k))
+            return np.zeros(k), np.zeros((k, k)), np.zeros((n, k)), np.zeros(2)
         ids, starts = block.ids[use], block.starts[use]
         classes = block.classes(self.heads)
-        _, _, gamma, steps = Chain(self.steps, self.start).run(self.emit[classes][ids], starts)
+        _, log, gamma, steps = Chain(self.steps, self.start).run(self.emit[classes][ids], starts)
         out = np.empty((n, k))
         for j in range(k):
             out[:, j] = np.bincount(classes, np.bincount(ids, gamma[:, j], len(classes)), n)
-        return gamma[starts].sum(axis=0), steps, out
+        return gamma[starts].sum(axis=0), steps, out, np.array([len(ids), log.sum()])
 
     def updated(self, starts: np.ndarray, steps: np.ndarray, emissions: np.ndarray) -> Hmm:
         norm = lambda x, axis: (x + PRIOR) / (x + PRIOR).sum(axis=axis, keepdims=True)
         return Hmm(self.heads, norm(starts, 0), norm(steps, 1), norm(emissions, 0))
 
 
-def start_model(heads: np.ndarray, class_counts: np.ndarray, sample: list[Block], states: int, rounds: int, seed: int = 11) -> Hmm:
-    """Baum-Welch on a bounded sample, from class frequencies shaken at random and sticky states."""
+def start_model(heads: np.ndarray, class_counts: np.ndarray, states: int, seed: int = 11) -> Hmm:
+    """Class frequencies shaken at random, and sticky states."""
     rng = np.random.default_rng(seed)
     emit = (class_counts[:, None] + PRIOR) * rng.gamma(4, 0.25, (len(class_counts), states))
     steps = np.full((states, states), 0.1 / max(1, states - 1))
     np.fill_diagonal(steps, 0.9)
-    model = Hmm(heads, np.full(states, 1 / states), steps / steps.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
-    for _ in range(rounds if sample else 0):
-        sums = [model.expect(b) for b in sample]
-        starts, steps, emissions = (sum(x) for x in zip(*sums))
-        # The sample sees few of the classes: all of them keep a share by their frequency in the corpus.
-        share = (class_counts + PRIOR) / (class_counts + PRIOR).sum()
-        model = model.updated(starts, steps, emissions + share[:, None] * 0.1 * emissions.sum(axis=0))
-    return model
-
-
-def full_round(blocks: DataFrame, model: Hmm) -> Hmm:
-    """One Baum-Welch round over all training texts. Each task sums its own counts and sends them
+    return Hmm(heads, np.full(states, 1 / states), steps / steps.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+
+
+def one_round(blocks: DataFrame, model: Hmm, spread: np.ndarray | None = None) -> tuple[Hmm, float]:
+    """One Baum-Welch round over the training texts in ``blocks``: the next model, and the log likelihood
+    a token under the one given. With ``spread`` (a chance for each class) a part of the emissions follows it. Each task sums its own counts and sends them
     in slices; a slice's sum is one task's work, of bounded size."""
     shared = blocks.sparkSession.sparkContext.broadcast(model.arrays())  # (HEADS + TAILS) * STATES doubles at most
 
@@ -191,10 +190,29 @@ def full_round(blocks: DataFrame, model: Hmm) -> Hmm:
               .applyInPandas(add, "slice int, counts binary"))
     rows = groups.groupBy("slice").applyInPandas(add, "slice int, counts binary").collect()  # the model's size
     if not rows:
-        return model
+        return model, 0.0
     flat = np.concatenate([np.frombuffer(r["counts"]) for r in sorted(rows, key=lambda r: r["slice"])])
     k = len(model.start)
-    return model.updated(flat[:k], flat[k:k + k * k].reshape(k, k), flat[k + k * k:].reshape(-1, k))
+    emissions, (tokens, log) = flat[k + k * k:-2].reshape(-1, k), flat[-2:]
+    if not tokens:
+        return model, 0.0
+    if spread is not None:
+        emissions = emissions + SPREAD * spread[:, None] * emissions.sum(axis=0)
+    return model.updated(flat[:k], flat[k:k + k * k].reshape(k, k), emissions), log / tokens
+
+
+def fit(blocks: DataFrame, model: Hmm, class_counts: np.ndarray, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> tuple[Hmm, list[float]]:
+    """The fitted model, and the log likelihood a token before each full round."""
+    spread = (class_counts + PRIOR) / (class_counts + PRIOR).sum()
+    for share in range(SHARES):
+        model, _ = one_round(blocks.where(F.col("share") == share), model, spread)
+    logs: list[float] = []
+    while len(logs) < rounds:
+        model, log = one_round(blocks, model)
+        logs.append(log)
+        if len(logs) > 1 and logs[-1] - logs[-2] < tolerance:
+            break
+    return model, logs
 
 
 def word_counts(blocks: DataFrame) -> DataFrame:
@@ -207,8 +225,7 @@ def word_counts(blocks: DataFrame) -> DataFrame:
     return blocks.mapInPandas(count, "word long, tail int, c long").groupBy("word").agg(F.first("tail").alias("tail"), F.sum("c").alias("c"))
 
 
-def score(docs: DataFrame, train, states: int = STATES, rounds: int = ROUNDS, heads: int = HEADS, sample_tokens: int = SAMPLE_TOKENS,
-          sample_rounds: int = SAMPLE_ROUNDS) -> DataFrame:
+def score(docs: DataFrame, train, states: int = STATES, rounds: int = ROUNDS, heads: int = HEADS) -> DataFrame:
     """Train on the rows that ``train`` marks and score every row:
     ``doc_id, trained, n_tokens, n_known, train_tokens, base_score, score`` (log10).
 
@@ -227,19 +244,8 @@ def score(docs: DataFrame, train, states: int = STATES, rounds: int = ROUNDS, he
     for r in counts.where(F.col("c") * heads < total).groupBy("tail").agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect():  # at most TAILS
         tail_counts[r["tail"]], tail_words[r["tail"]] = r["c"], r["n"]
 
-    sample, left = [], sample_tokens
-    # The blocks of the smallest hashes: found by their hashes alone, then fetched.
-    place = F.xxhash64(F.col("keys").getItem(0), F.col("rows").getItem(0), F.col("lengths"))
-    usable = blocks.where(F.expr("exists(train, x -> x)")).withColumn("place", place)
-    chosen = [r["place"] for r in usable.select("place").orderBy("place").limit(SAMPLE_BLOCKS).collect()]
-    drawn = usable.where(F.col("place").isin(chosen)).limit(SAMPLE_BLOCKS).collect() if chosen else []
-    for r in sorted(drawn, key=lambda r: r["place"]):  # a few blocks, each BLOCK_TOKENS and one text long
-        if left > 0:
-            sample.append(Block(r))
-            left -= len(sample[-1].ids)
-    model = start_model(head_words, np.concatenate([head_counts, tail_counts]), sample, states, sample_rounds)
-    for _ in range(rounds):
-        model = full_round(blocks, model)
+    class_counts = np.concatenate([head_counts, tail_counts])
+    model, _ = fit(blocks, start_model(head_words, class_counts, states), class_counts, rounds)
 
     shared = spark.sparkContext.broadcast((model.arrays(), head_counts, np.log10(tail_counts + tail_words + 1)))
 
