@@ -17,11 +17,13 @@ from folio.jobs.checkout import (checkout_batch, checkout_with_limit_batch, defa
                                  reject_inactive_loans, safe_checkout_batch)
 from folio.jobs.keys import assign_keys
 from folio.jobs.payments import pay_fines_batch
-from folio.jobs.returns import batch_return, overdue_fines_from_changes, return_batch
+from folio.jobs.returns import batch_return, commit_returns, overdue_fines_from_changes, return_batch
 from folio.oracle.jobs_sql import JOB_SQL
+from folio.oracle.temporal_sql import SESSIONS_SQL
+from folio.plans.temporal import x4_click_sessions
 from folio.quality.registry import QUALITY_QUERIES, QUALITY_SQL
 from folio.sources import requests as rq
-from folio.sources.catalog import fingerprint, library_for
+from folio.sources.catalog import fingerprint, library_for, stored_folder
 from folio.sources.library import Library
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +65,12 @@ def _w8(spark, sf_dir):
     return batch_return(rq.batch_return_requests(lib), lib)
 
 
+def _w8_next(spark, sf_dir):
+    """W8 committed: the next versions of the loans and the fines."""
+    outputs = _part(_w8, "updated_loans")(spark, sf_dir), _part(_w8, "new_fines")(spark, sf_dir)
+    return commit_returns(spark, _lib(spark, sf_dir), stored_folder(spark, sf_dir), *outputs)
+
+
 def w9_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = rq.member_changes(_lib(spark, sf_dir))
     return audit_member_updates(old, new)
@@ -135,6 +143,8 @@ JOB_QUERIES: dict[str, Query] = {
     "w8_updated_loans": _part(_w8, "updated_loans"),
     "w8_new_fines": _part(_w8, "new_fines"),
     "w8_audit": _part(_w8, "audit"),
+    "w8_loans_next": _part(_w8_next, "loans"),
+    "w8_fines_next": _part(_w8_next, "fines"),
     "w9_audit": w9_audit,
     "w10_accepted": _part(_w10, "accepted"),
     "w10_rejected": _part(_w10, "rejected"),
@@ -145,4 +155,5 @@ JOB_QUERIES: dict[str, Query] = {
     "w14_blocked": _part(_w14, "blocked"),
 }
 JOB_QUERIES.update(QUALITY_QUERIES)
-JOB_SQL = {**JOB_SQL, **QUALITY_SQL}
+JOB_QUERIES["x4_click_sessions"] = x4_click_sessions
+JOB_SQL = {**JOB_SQL, **QUALITY_SQL, **SESSIONS_SQL}

@@ -9,8 +9,9 @@ emits the late-return fine, so W13 is never chained after it).
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.config import AS_OF
@@ -18,7 +19,9 @@ from folio.functions.scalar import fine_days, fine_for_days
 from folio.jobs import messages as msg
 from folio.jobs.keys import assign_keys
 from folio.jobs.sink import settle
-from folio.sources.library import Library
+from folio.session import scratch_dir
+from folio.sources.library import LIBRARY_SCHEMAS, Library
+from folio.sources.versions import VersionedTable
 
 LOAN_COLUMNS = ("loan_id", "member_id", "copy_id", "loan_date", "due_date", "return_date", "status")
 FINE_COLUMNS = ("fine_id", "loan_id", "fine_amount", "fine_reason", "paid", "payment_date")
@@ -101,6 +104,24 @@ def batch_return(requests: DataFrame, lib: Library, as_of: _dt.date = AS_OF) ->
     return {"updated_loans": updated_loans, "new_fines": new_fines, "audit": audit}
 
 
+def commit_returns(spark: SparkSession, lib: Library, folder: str | None, updated_loans: DataFrame, new_fines: DataFrame) -> dict[str, DataFrame]:
+    """W8's outputs applied: its loans replace those of equal ids, its fines are inserted, each as one commit on the
+    stored table; the tables read back after it. ``folder`` holds the stored tables (none: they are stored as version 0 first).
+
+    The batch is named after the stored tables, so a job that runs again finds it committed.
+    """
+    root = f"{folder or scratch_dir(spark, f'versions-{uuid.uuid4().hex}')}/versions"
+    out = {}
+    for name, key, change in (("loans", "loan_id", {"updates": updated_loans}), ("fines", "fine_id", {"inserts": new_fines})):
+        table = VersionedTable(spark, f"{root}/{name}", LIBRARY_SCHEMAS[name], [key])
+        if folder:
+            table.start_from(f"{folder}/{name}")
+        else:
+            table.commit("base", inserts=lib.table(name))
+        out[name] = table.read(table.commit("batch-return", **change).number)
+    return out
+
+
 def overdue_fines_from_changes(old: DataFrame, new: DataFrame, lib: Library) -> DataFrame:
     """W13 (AFTER UPDATE on loans): a loan that went from 'active' to
     'returned' after its due date gets an 'overdue' fine of 0.25 per day."""

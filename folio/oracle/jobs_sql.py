@@ -211,6 +211,13 @@ SELECT 'loans' AS table_name, 'UPDATE' AS action, b.member_id AS record_id, 'SYS
          || ' books' AS description
 FROM batch_return_requests b
 LEFT JOIN (SELECT request_id, COUNT(*) AS c FROM w8_late GROUP BY request_id) n ON b.request_id = n.request_id"""),
+    "w8_loans_next": _q(W8 + f"""
+SELECT loan_id, member_id, copy_id, loan_date, due_date,
+       CASE WHEN status = 'active' AND member_id IN (SELECT member_id FROM w8_first) THEN {AS_OF} ELSE return_date END AS return_date,
+       CASE WHEN status = 'active' AND member_id IN (SELECT member_id FROM w8_first) THEN 'returned' ELSE status END AS status
+FROM loans"""),
+    "w8_fines_next": _q(W8 + "SELECT fine_id, loan_id, fine_amount, fine_reason, paid, payment_date FROM fines UNION ALL " + _fines_from(
+        "w8_late l", fine_for_days(f"GREATEST(0, {days(AS_OF, 'l.due_date')})"), "request_id, loan_id")),
     "w9_audit": _q(W9 + """
 SELECT 'members' AS table_name, 'UPDATE' AS action, member_id AS record_id, 'SYSTEM' AS changed_by,
        'Member ' || first_name || ' ' || last_name || ' updated. Status: ' || status || ' -> ' || 'suspended'

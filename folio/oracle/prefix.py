@@ -94,7 +94,7 @@ lib_events AS (
   FROM (SELECT ti, click_type, wk, wd FROM _clicks UNION SELECT 6, 'open day', wk, wd FROM _clicks)
 ),
 event_registrations AS (
-  SELECT (wd * 10 + ti) * 1000000 + user_id AS registration_id, wd * 10 + ti AS event_id,
+  SELECT (wd * 10 + ti) * 1000000000000 + user_id AS registration_id, wd * 10 + ti AS event_id,
          user_id AS member_id, CAST(min(ts) AS DATE) AS registration_date
   FROM _clicks
   GROUP BY wd, ti, user_id

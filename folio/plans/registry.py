@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folio.plans import aggregates, basic, joins, setops, subqueries, tuned, windows
+from folio.plans import aggregates, basic, joins, setops, subqueries, temporal, tuned, windows
 from folio.plans.member_report import member_report
 from folio.sources.catalog import library_for
 from folio.sources.library import Library
@@ -74,6 +74,12 @@ def _member_report_part(part: str) -> ReportFn:
     return run
 
 
+REPORTS.update({
+    "x1_payment_after_loan": temporal.x1_payment_after_loan,
+    "x2_copies_lent_twice": temporal.x2_copies_lent_twice,
+    "x3_peak_open_loans": temporal.x3_peak_open_loans,
+})
+
 REPORTS.update({
     "q9_4a_member_profile": _member_report_part("profile"),
     "q9_4b_current_loans": _member_report_part("current_loans"),

@@ -22,6 +22,9 @@ from folio.operators.ranking import (percent_rank_by_value, rank_by_value, runni
 from folio.plans.common import loan_counts_per_book_with_copies
 from folio.sources.library import Library
 
+#: Pieces into which the ids of a day are cut where one member may hold a large part of it (8.8).
+DAY_PIECES = 256
+
 
 def q8_1_member_ranks(lib: Library) -> DataFrame:
     """ROW_NUMBER / RANK / DENSE_RANK of members by loan count (ties by member_id).
@@ -115,10 +118,13 @@ def q8_7_fine_percentile(lib: Library) -> DataFrame:
 
 def q8_8_loan_gaps(lib: Library) -> DataFrame:
     """Days between a member's consecutive loans (ties on a day by loan_id).
-    LAG per member is computed month by month (see operators.lag)."""
+    LAG per member is computed in pieces of a day (see operators.lag): a day's loans are cut by their ids into
+    DAY_PIECES equal ranges, so that a piece stays small whatever one member borrows."""
+    last = lib.loans.agg(F.coalesce(F.max("loan_id"), F.lit(0)).alias("last")).scalar()
+    piece = F.floor(F.col("loan_id") / (last + 1) * DAY_PIECES)
     rows = (lib.loans.select("member_id", "loan_id", "loan_date")
-            .withColumn("_month", F.year("loan_date") * 12 + F.month("loan_date")))
-    lagged = chunked_lag(rows, ["member_id"], ["loan_date", "loan_id"], "loan_date", "_month", "prev_loan_date")
+            .withColumn("_piece", F.datediff("loan_date", F.lit("1970-01-01")).cast("long") * DAY_PIECES + piece))
+    lagged = chunked_lag(rows, ["member_id"], ["loan_date", "loan_id"], "loan_date", "_piece", "prev_loan_date")
     return (lagged.join(lib.members.select("member_id", full_name().alias("member_name")), "member_id")
             .orderBy("member_name", "loan_date", "loan_id")
             .select("member_name", "loan_date", "prev_loan_date",

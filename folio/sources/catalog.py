@@ -97,6 +97,11 @@ def _materialize_locked(spark: SparkSession, sf_dir: str, path: str, fp: str) ->
     return path
 
 
+def stored_folder(spark: SparkSession, sf_dir: str) -> str | None:
+    """Folder of the stored library tables of a driver data folder; none if they are not stored."""
+    return materialize(spark, sf_dir) if _state["enabled"] else None
+
+
 def library_for(spark: SparkSession, sf_dir: str) -> Library:
     """The library tables for a driver data folder: the stored copy, or with
     ``set_enabled(False)`` the lazily derived tables. Failing to store them is

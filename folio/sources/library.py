@@ -129,7 +129,7 @@ LAYOUT = {
     "event_registrations": ["event_id", "member_id"],
     "members": ["member_id"],
 }
-LAYOUT_VERSION = "layout-2"
+LAYOUT_VERSION = "layout-3"
 
 
 def _case(col: Column, mapping: dict, default=None) -> Column:
@@ -370,7 +370,7 @@ class Library:
         event_registrations = (
             clicks_w.groupBy("wd", "ti", "user_id").agg(F.min("ts").alias("first_ts"))
             .select(
-                (ev_id * 1000000 + F.col("user_id")).alias("registration_id"),
+                (ev_id * 1_000_000_000_000 + F.col("user_id")).alias("registration_id"),
                 ev_id.alias("event_id"),
                 F.col("user_id").alias("member_id"),
                 F.to_date("first_ts").alias("registration_date"),
