@@ -42,6 +42,18 @@ def numbered(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return stored(df.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in columns or df.columns]).alias("carried")), "numbered")
 
 
+#: Rows and bytes of a batch of whole texts on its way to a Python worker (Spark's defaults: 10000, 64 MB).
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send whole texts to Python workers in small batches, where the deployment left Spark's sizes as they are. A
+    batch stands in the JVM and twice in the worker; in a long session, each of whose tasks keeps a worker, that adds up."""
+    for key, usual, own in (("maxRecordsPerBatch", "10000", BATCH_ROWS), ("maxBytesPerBatch", str(64 << 20), BATCH_BYTES)):
+        if spark.conf.get(f"spark.sql.execution.arrow.{key}", usual).rstrip("b") == usual:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(own))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
