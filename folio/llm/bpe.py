@@ -19,7 +19,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folio.llm.common import documents, ship, stored
+from folio.llm.common import documents, give_back, ship, stored
 
 #: Characters of a chunk, and of its overlap with the next one.
 CHUNK = 1 << 14
@@ -92,6 +92,8 @@ def pre_tokenise(frames: Iterator[pd.DataFrame], coder: Callable[[], Coder], siz
             head.append([start + e for e in ends if e <= min(overlap, last)])
             tail.append([start + e for e in ends if size <= e <= last])
         yield rows.assign(head=head, tail=tail)
+    own = rows = head = tail = None
+    give_back()
 
 
 def encode_texts(texts: DataFrame, ranks_path: str, pattern: str, summarise: Callable[[bytes, Coder], tuple],
@@ -115,6 +117,8 @@ def encode_texts(texts: DataFrame, ranks_path: str, pattern: str, summarise: Cal
         own = coder()
         for rows in frames:
             yield frame(rows["key"], map(own.encode, rows["text"]), own)
+        own = rows = None
+        give_back()
 
     def bounds(frames):
         return pre_tokenise(frames, coder, size, overlap)
@@ -124,11 +128,15 @@ def encode_texts(texts: DataFrame, ranks_path: str, pattern: str, summarise: Cal
         for rows in frames:
             ids = [own.encode(c[int(a) - s:int(b) - s]) for s, c, a, b in zip(rows["start"], rows["chunk"], rows["from"], rows["to"])]
             yield pd.DataFrame({"uid": rows["uid"], "key": rows["key"], "part": rows["part"], "ids": ids})
+        own = rows = ids = None
+        give_back()
 
     def join(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = coder()
         for rows in frames:
             yield frame(rows["key"], map(b"".join, rows["ids"]), own)
+        own = rows = None
+        give_back()
 
     out = f"key string, {columns}"
     short = texts.where(F.length("text") <= size)

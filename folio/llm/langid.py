@@ -33,7 +33,7 @@ SNIPPET = 400
 BITS = 18
 ORDERS = (1, 2, 3, 4, 5)
 #: Words times labels of one forward-backward call, so that its arrays stay alike for any number of labels; a longer text is one call.
-BATCH_CELLS = 1 << 20
+BATCH_CELLS = 1 << 19
 UNKNOWN = "und"
 
 _BEGIN, _END = b"\x02", b"\x03"
@@ -237,6 +237,7 @@ def predictor(spark: SparkSession, crf: Crf):
                         best = int(share.argmax())
                         out.append((crf.labels[best], float(min(1.0, share[best]))))
             yield pd.DataFrame(out, columns=["lang_pred", "score"])
+        crf = texts = batch = chances = None
         give_back()
 
     return predict
