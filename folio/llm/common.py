@@ -27,11 +27,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark, 'llm')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back. This cuts the lineage: a lost
-    executor never makes Spark compute the table again, and every reader sees the same rows."""
+    executor never makes Spark compute the table again, and every reader sees the same rows.
+    ``compression``: other than the session's, as zstd for whole texts."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.option("compression", compression) if compression else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -39,7 +40,7 @@ def numbered(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """A stored copy of ``df``, each row with a number of its own: ``row, carried``, the latter a struct of its ``columns``
     (or all). A number made while reading depends on how the files were split for that read; here it is
     written, so whoever reads rows and numbers from this table finds the same number at a row."""
-    return stored(df.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in columns or df.columns]).alias("carried")), "numbered")
+    return stored(df.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in columns or df.columns]).alias("carried")), "numbered", "zstd")
 
 
 #: Rows and bytes of a batch of whole texts on its way to a Python worker (Spark's defaults: 10000, 64 MB).

@@ -153,7 +153,7 @@ def keep_good(docs: DataFrame) -> DataFrame:
     break is one line; repeated rows are judged alike; an empty table stays empty; other columns
     pass through, and names cannot clash (the input row is carried as a struct).
     """
-    measured = stored(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("carried"), figures("text").alias("f")), "quality-figures")
+    measured = stored(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("carried"), figures("text").alias("f")), "quality-figures", "zstd")
     figured = measured.select("carried", "f.*")
     posterior, _ = learn(figured)
     return judge(figured, posterior).where("kept").select("carried.*")
