@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import random
 import re
 import struct
 import zlib
@@ -241,9 +242,9 @@ def shifting(spark, monkeypatch, tmp_path):
     cores = itertools.cycle(["1", "5", "9"])
     write = common.stored
 
-    def stored(df, name):
+    def stored(df, name, *how):
         spark.conf.set("spark.sql.files.minPartitionNum", next(cores))
-        return write(df, name)
+        return write(df, name, *how)
 
     for module in (common, ngram_join, decontam):
         monkeypatch.setattr(module, "stored", stored)
@@ -303,13 +304,52 @@ def test_contamination_matches_brute_force(spark):
     assert clean.columns == docs.columns and clean.count() == sum(not r[-1] for r in brute_contamination(TEXTS, ITEMS))
 
 
-def test_nearby_terms(spark):
-    docs = spark.createDataFrame([(1, "alpha x x beta"), (2, "beta " + "x " * 20 + "alpha"), (3, "alpha")], "doc_id long, text string")
-    terms = common.stored(decontam.item_terms(spark.createDataFrame([(1, "alpha beta")], "item_id long, text string")), "t")
-    index = decontam.build_index(docs, terms)
-    ids = {r["row"]: r["doc_id"] for r in index.where("term = ''").collect()}
-    near = lambda slop: {(ids[r["row"]], r["distance"]) for r in decontam.nearby(index, terms, slop).collect()}
-    assert near(3) == {(1, 3)} and near(25) == {(1, 3), (2, 21)} and near(2) == set()
+def brute_near(texts, items, slop, width):
+    cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").encode().lower().decode())
+    count = Counter(x for _, t in texts for x in cut(t))
+    out = []
+    for i, t in texts:
+        w, named = cut(t), set()
+        at = {}
+        for p, x in enumerate(w):
+            at.setdefault(x, []).append(p)
+        for item, text in items:
+            v = cut(text)
+            n = min(width, len(v))
+            for s in range(len(v) - n + 1 if n else 0):
+                offs = range(s, s + n)
+                if all(count[v[o]] for o in offs):
+                    rare = min(offs, key=lambda o: (count[v[o]], o))
+                    if any(all(any(abs(q - (p - rare + o)) <= slop for q in at.get(v[o], [])) for o in offs) for p in at.get(v[rare], [])):
+                        named.add("" if item is None else str(item))
+        out.append((i, len(named), hashlib.sha256(",".join(sorted(named)).encode()).hexdigest()))
+    return sorted(out, key=key)
+
+
+@pytest.mark.parametrize("slop,width", [(0, 10), (1, 3), (3, 10), (3, 4)])
+def test_proximity_matches_brute_force(spark, slop, width):
+    rnd = random.Random(slop * 100 + width)
+    passage = [f"p{i}" for i in range(14)]
+    texts = list(TEXTS)
+    for i in range(40):  # passages with words inserted, left out, exchanged
+        w = list(passage)
+        for _ in range(rnd.randint(0, 4)):
+            at = rnd.randrange(len(w))
+            w[at:at + rnd.randint(0, 1)] = rnd.choice([[], ["x"], ["x", "y", "z"], [w[at - 1]]])
+        texts.append((1000 + i, " ".join(["a"] * rnd.randint(0, 5) + w + ["p3"] * rnd.randint(0, 2))))
+    items = [*ITEMS, (9, " ".join(passage)), (10, "p3 p3 p4"), (11, "never seen"), (12, "x y z x y z")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = decontam.contamination(docs, spark.createDataFrame(items, "item_id long, text string"), width, slop=slop)
+    assert rows(got, "doc_id", "n_near", "near_sha256") == brute_near(texts, items, slop, width)
+    if not slop:
+        assert not got.where("n_near <> n_items or near_sha256 <> items_sha256").count()
+
+
+def test_long_item_is_checked_around_its_seeds(spark):
+    long = [f"w{i}" for i in range(50_000)]
+    docs = spark.createDataFrame([(1, " ".join(long[200:215])), (2, "w7 " + "w8 " * 9), (3, " ".join(long[30_000:31_000]))], "doc_id long, text string")
+    got = decontam.contamination(docs, spark.createDataFrame([(1, " ".join(long))], "item_id long, text string"), slop=2)
+    assert rows(got, "doc_id", "n_hit", "n_near") == [(1, 15, 1), (2, 0, 0), (3, 1000, 1)]
 
 
 # Pages ----------------------------------------------------------------------------------------------
