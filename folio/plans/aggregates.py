@@ -111,9 +111,9 @@ def q4_8_event_capacity(lib: Library, as_of: _dt.date = AS_OF_EVENTS) -> DataFra
     regs = lib.event_registrations.groupBy("event_id").agg(F.count("registration_id").alias("n"))
     events = lib.lib_events.filter(F.col("event_date") > F.lit(as_of))
     out = (events.join(regs, "event_id", "left")
-           .select("event_name", "event_date",
+           .select("event_id", "event_name", "event_date",
                    F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("registrations"),
                    "max_attendees"))
     return (out.withColumn("capacity_percentage",
                            ratio_round(F.col("registrations"), F.col("max_attendees"), 1, mult=100))
-            .orderBy(F.col("capacity_percentage").desc()))
+            .orderBy(F.col("capacity_percentage").desc(), "event_id").drop("event_id"))

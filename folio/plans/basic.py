@@ -20,8 +20,8 @@ from folio.sources.library import Library
 
 def q3_1_active_members(lib: Library) -> DataFrame:
     return (lib.members.filter(F.col("status") == "active")
-            .select("first_name", "last_name", "email", "membership_type")
-            .orderBy("last_name", "first_name"))
+            .orderBy("last_name", "first_name", "member_id")
+            .select("first_name", "last_name", "email", "membership_type"))
 
 
 def q3_2_books_since_2001(lib: Library, min_year: int = 2001) -> DataFrame:
@@ -39,8 +39,8 @@ def q3_3_genre_search(lib: Library, genre: str = "PROMO") -> DataFrame:
             .join(copies, "book_id", "left")
             .groupBy("book_id", "title", "author_name", "genre")
             .agg(F.count("copy_id").alias("total_copies"))
-            .select("title", "author_name", "genre", "total_copies")
-            .orderBy("title"))
+            .orderBy("title", "book_id")
+            .select("title", "author_name", "genre", "total_copies"))
 
 
 def q3_4_overdue_loans(lib: Library, as_of: _dt.date = AS_OF) -> DataFrame:

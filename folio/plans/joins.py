@@ -52,8 +52,8 @@ def q5_3_members_unpaid(lib: Library) -> DataFrame:
                                             F.sum("unpaid_sum").cast("decimal(20,2)").alias("total_unpaid_fines")))
     return (per_member.join(lib.members.select("member_id", full_name().alias("member_name"), "email", "phone"),
                             "member_id")
-            .select("member_name", "email", "phone", "overdue_books", "total_unpaid_fines")
-            .orderBy(F.col("total_unpaid_fines").desc()))
+            .orderBy(F.col("total_unpaid_fines").desc(), "member_id")
+            .select("member_name", "email", "phone", "overdue_books", "total_unpaid_fines"))
 
 
 def q5_4_availability(lib: Library) -> DataFrame:

@@ -25,8 +25,8 @@ def q6_1_above_avg_fines(lib: Library) -> DataFrame:
                                             F.sum("unpaid_count").cast("long").alias("number_of_fines")))
     return (per_member.filter(F.col("total_unpaid_fines") * stats.getField("n") > stats.getField("s"))
             .join(lib.members.select("member_id", full_name().alias("member_name")), "member_id")
-            .select("member_name", "total_unpaid_fines", "number_of_fines")
-            .orderBy(F.col("total_unpaid_fines").desc()))
+            .orderBy(F.col("total_unpaid_fines").desc(), "member_id")
+            .select("member_name", "total_unpaid_fines", "number_of_fines"))
 
 
 def q6_2_popular_books(lib: Library) -> DataFrame:
@@ -83,8 +83,8 @@ def q6_5_attended_all(lib: Library, event_type: str = "book_club") -> DataFrame:
                   .groupBy("member_id").agg(F.count("event_id").alias("events_attended")))
     return (per_member.filter(F.col("events_attended") == n_events)
             .join(lib.members.select("member_id", full_name().alias("member_name")), "member_id")
-            .select("member_name", "events_attended")
-            .orderBy("member_name"))
+            .orderBy("member_name", "member_id")
+            .select("member_name", "events_attended"))
 
 
 def q6_6_monthly_revenue(lib: Library, k: int = 12) -> DataFrame:

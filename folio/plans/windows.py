@@ -60,8 +60,8 @@ def q8_3_top3_per_genre(lib: Library, k: int = 3) -> DataFrame:
     w = Window.partitionBy("genre").orderBy(F.col("n_loans").desc())
     return (per_book.withColumn("genre_rank", F.rank().over(w).cast("long"))
             .filter(F.col("genre_rank") <= k)
-            .select("genre", "title", F.col("n_loans").alias("loan_count"), "genre_rank")
-            .orderBy("genre", "genre_rank"))
+            .orderBy("genre", "genre_rank", "book_id")
+            .select("genre", "title", F.col("n_loans").alias("loan_count"), "genre_rank"))
 
 
 def q8_4_monthly_change(lib: Library) -> DataFrame:
