@@ -6,14 +6,15 @@ threshold's share can link to nobody and leaves. That takes out nearly all rows
 one packed shuffle.
 
 Of the rest, each distinct set of n-grams is one row. Columns are ordered from the rarest. Sizes na
-and nb ask for an overlap of at least ``o``, so two rows that link share at least ``min(L, o)`` of the
-first ``na - o + L`` columns of the one and ``nb - o + L`` of the other. Only these columns enter the
-product, for pairs of admissible sizes; overlap counts accumulate over them and pairs below the bound
-are discarded. What remains is checked on the whole sets.
+and nb ask for an overlap of at least ``o``, so two rows that link share one of the first
+``na - o + 1`` columns of the one and ``nb - o + 1`` of the other. Pairs of admissible sizes that meet
+there are the places of the product that are computed. A row is stored as one cell for each of ``CELLS``
+column blocks. Counts of the first block leave out every pair that cannot reach ``o`` even if all its
+other columns were shared; counts of the other blocks are added up for the rest, and the sum decides.
 
 Only links between different components matter for components. So the columns first link each row to
-one other row (stars, not all pairs), in a few rounds with other centres; the counts follow only where a
-column still holds rows of different components.
+one other row (stars, not all pairs), in a few rounds with other centres; all pairs of a column follow only
+where it still holds rows of different components.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.llm.common import broadcast_if_small, documents, give_back, numbered, ship, stored
@@ -36,11 +37,15 @@ BLOCK_SHINGLES = 1 << 21
 PIECE = 1 << 18
 REMEMBERED = 1 << 18
 STAR_ROUNDS = 5
-#: Centres that a round has for each column's rows to meet, and columns that a pair must share at least (L).
+#: Centres that a round has for each column's rows to meet.
 CENTRES = 64
-SHARED = 1
+#: Column blocks that a row's cells are cut into for the counts; the hash's highest bits name the block.
+CELLS = 4
 #: Rows up to which a counted table is broadcast.
 SMALL = 1 << 21
+#: A component is large from this many rows on, and from one row in HEAD: so at most HEAD are large.
+LARGE = 1 << 10
+HEAD = 1 << 16
 
 
 class Shingler:
@@ -181,23 +186,40 @@ def components(links: DataFrame) -> DataFrame:
 
 def _prefix(n: str, num: int, den: int) -> str:
     """SQL of the longest prefix of columns that a row of size n needs with any partner."""
-    return f"least({n}, {n} - cast(ceil({num} * {n} / {den}) as long) + {SHARED})"
+    return f"least({n}, {n} - cast(ceil({num} * {n} / {den}) as long) + 1)"
 
 
-def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b, na, nb) that link, by the whole sets."""
-    left = sets.select(F.col("sig").alias("a"), F.col("hashes").alias("ha"))
-    right = sets.select(F.col("sig").alias("b"), F.col("hashes").alias("hb"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("ha", "hb")))
-    return both.where(f"{den} * i >= {num} * (na + nb - i)").select("a", "b")
+def _least(num: int, den: int) -> str:
+    """SQL of the least overlap with which sizes na and nb link."""
+    return f"cast(ceil({num} * (na + nb) / {num + den}) as long)"
 
 
-def linked_sets(sets: DataFrame, num: int, den: int, rounds: int = STAR_ROUNDS) -> DataFrame:
-    """``node, comp`` over ``sets`` (sig, n, hashes), of all that link to another."""
-    # The least overlap that two sizes allow, and which sizes may link.
-    least = f"cast(ceil({num} * (na + nb) / {num + den}) as long)"
+def first_counts(pairs: DataFrame, cells: DataFrame, num: int, den: int) -> DataFrame:
+    """``a, b, na, nb, overlap`` of the pairs (a, b) that may still link: overlap in the first column block. The
+    columns of the other blocks bound what can be added."""
+    first = cells.where("block = 0")
+    left = first.select(F.col("sig").alias("a"), F.col("n").alias("na"), F.col("hashes").alias("ha"))
+    right = first.select(F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("hashes").alias("hb"))
+    counted = pairs.select("a", "b").join(left, "a").join(right, "b").withColumn("overlap", F.size(F.array_intersect("ha", "hb")).cast("long"))
+    return counted.where(f"overlap + least(na - size(ha), nb - size(hb)) >= {_least(num, den)}").select("a", "b", "na", "nb", "overlap")
+
+
+def linking(pairs: DataFrame, cells: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that link, by overlap counts accumulated over the column blocks of ``cells``
+    (sig, n, block, hashes; each row has a cell, if an empty one, in each block)."""
+    rest = cells.where("block > 0")
+    left = rest.select(F.col("sig").alias("a"), "block", F.col("hashes").alias("ha"))
+    right = rest.select(F.col("sig").alias("b"), "block", F.col("hashes").alias("hb"))
+    added = (first_counts(pairs, cells, num, den).join(left, "a").join(right, ["b", "block"])
+             .groupBy("a", "b", "na", "nb", "overlap").agg(F.sum(F.size(F.array_intersect("ha", "hb"))).alias("more")))
+    return added.where(f"{den} * (overlap + more) >= {num} * (na + nb - overlap - more)").select("a", "b")
+
+
+def linked_sets(cells: DataFrame, num: int, den: int, rounds: int = STAR_ROUNDS) -> DataFrame:
+    """``node, comp`` over the rows of ``cells`` (sig, n, block, hashes), of all that link to another."""
+    least = _least(num, den)
     sizes = f"({den} * least(na, nb) >= {num} * greatest(na, nb))"
-    entries = sets.select("sig", "n", F.explode("hashes").alias("h"))
+    entries = cells.select("sig", "n", F.explode("hashes").alias("h"))
     often = entries.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     shared = entries.join(often, "h").groupBy("sig", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("own"))
     # A row's columns that only it has come first in its order; they fill the prefix but match nobody.
@@ -210,7 +232,7 @@ def linked_sets(sets: DataFrame, num: int, den: int, rounds: int = STAR_ROUNDS)
     # A column's rows by neighbouring size classes: rows of admissible sizes meet in (h, the smaller class).
     prefix = stored(prefix, "prefixes")
 
-    labels = sets.sparkSession.createDataFrame([], "node long, comp long")
+    labels = cells.sparkSession.createDataFrame([], "node long, comp long")
     for r in range(rounds):
         now = prefix.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
         centre = (now.groupBy("h", "k").agg(F.min(F.struct(F.xxhash64("sig", F.lit(r), F.expr(f"pmod(h, {CENTRES})")).alias("x"), "sig", "n", "comp")).alias("m"),
@@ -218,8 +240,7 @@ def linked_sets(sets: DataFrame, num: int, den: int, rounds: int = STAR_ROUNDS)
         pairs = (now.join(centre.select("h", "k", "m"), ["h", "k"]).where("comp <> m.comp")
                  .select(F.least("sig", "m.sig").alias("a"), F.greatest("sig", "m.sig").alias("b"), F.col("n").alias("na"), F.col("m.n").alias("nb"))
                  .where(sizes).dropDuplicates(["a", "b"]))
-        # na + nb is symmetric, so which of the two belongs to a does not matter below.
-        new = stored(verified(pairs, sets, num, den), "links")
+        new = stored(linking(pairs, cells, num, den), "links")
         if not new.limit(1).count():
             break
         labels = merged(labels, new)
@@ -228,10 +249,10 @@ def linked_sets(sets: DataFrame, num: int, den: int, rounds: int = STAR_ROUNDS)
     mixed = now.groupBy("h", "k").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h", "k")
     now = stored(now.join(mixed, ["h", "k"]), "open-columns")
     side = lambda x: now.select("h", "k", F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col("comp").alias(f"c{x}"), F.col("own_class").alias(f"k{x}"), F.col("at").alias(f"at{x}"))
-    early = f"ata < na - {least} + {SHARED} and atb < nb - {least} + {SHARED}"
+    early = f"ata <= na - {least} and atb <= nb - {least}"
     pairs = (side("a").join(side("b"), ["h", "k"]).where(f"a < b and ca <> cb and k = least(ka, kb) and {sizes} and {early}")
-             .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("overlap")).where(f"overlap >= least({SHARED}, {least})"))
-    return merged(labels, verified(pairs, sets, num, den))
+             .select("a", "b").distinct())
+    return merged(labels, linking(pairs, cells, num, den))
 
 
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -262,15 +283,31 @@ def classes(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN) -> Data
         shingle = Shingler(n)
         for rows in frames:
             sets = [shingle(t) for t in rows["text"]]
-            yield pd.DataFrame({"sig": rows["sig"], "n": [len(s) for s in sets], "hashes": [s.view(np.int64) for s in sets]})
+            cuts = [np.split(s.view(np.int64), np.searchsorted(s, ends)) for s in sets]
+            yield pd.DataFrame({"sig": np.repeat(rows["sig"].to_numpy(), CELLS), "n": np.repeat([len(s) for s in sets], CELLS),
+                                "block": np.tile(np.arange(CELLS), len(sets)), "hashes": [c for row in cuts for c in row]})
         give_back()
 
-    sets = stored(docs.join(broadcast_if_small(chosen, SMALL), "row").select("sig", "text")
-                  .mapInPandas(hashes, "sig long, n int, hashes array<long>"), "sets")
-    found = linked_sets(sets, num, den).select(F.col("node").alias("sig"), "comp")
+    ends = np.array([(i << 64) // CELLS for i in range(1, CELLS)], np.uint64)
+    cells = stored(docs.join(broadcast_if_small(chosen, SMALL), "row").select("sig", "text")
+                   .mapInPandas(hashes, "sig long, n int, block int, hashes array<long>"), "cells")
+    found = linked_sets(cells, num, den).select(F.col("node").alias("sig"), "comp")
     return signed.join(found, "sig", "left").select("row", "key", "n", F.when(F.col("n") > 0, F.coalesce("comp", "sig")).alias("comp"))
 
 
+def with_first(rows: DataFrame, order: Column) -> DataFrame:
+    """``rows`` (stored) that have a ``comp``, each with its component's least ``order`` as ``first`` (null: the row is alone).
+
+    Components are reduced before they are joined. The large ones, at most ``HEAD``, are broadcast, so their rows stay where
+    they are; the rows of the others are dealt by component."""
+    reduced = rows.where("comp is not null").groupBy("comp").agg(F.min(order).alias("first"), F.count("*").alias("many")).where("many > 1")
+    reduced, bound = stored(reduced, "firsts"), max(LARGE, rows.count() // HEAD)
+    large = F.broadcast(reduced.where(f"many >= {bound}").select("comp", "first"))
+    some = rows.where("comp is not null")
+    return (some.join(large, "comp")
+            .unionByName(some.join(large, "comp", "left_anti").join(reduced.where(f"many < {bound}").select("comp", "first"), "comp", "left")))
+
+
 def texts(table: DataFrame) -> DataFrame:
     """``row, key, text`` of a numbered table: doc_id as text."""
     return table.select("row", F.col("carried.doc_id").cast("string").alias("key"), "carried.text")
@@ -286,9 +323,9 @@ def jaccard_components(docs: DataFrame, n: int = N, num: int = NUM, den: int = D
     """
     table, kind = numbered(docs, ["doc_id", "text"]), docs.schema["doc_id"].dataType
     rows = stored(classes(texts(table), n, num, den).withColumn("doc_id", F.col("key").cast(kind)), "classes")
-    least = rows.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
-    return rows.join(least, "comp", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"),
-                                                   F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+    size = F.col("n").cast("long").alias("n_shingles")
+    return (with_first(rows, F.col("doc_id")).select("doc_id", size, F.coalesce("first", "doc_id").alias("component_id"))
+            .unionByName(rows.where("comp is null").select("doc_id", size, F.col("doc_id").alias("component_id"))))
 
 
 def keep_one(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -300,8 +337,8 @@ def keep_one(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN) -> Dat
     """
     table, kind = numbered(docs), docs.schema["doc_id"].dataType
     rows = stored(classes(texts(table), n, num, den).withColumn("doc_id", F.col("key").cast(kind)), "classes")
-    first = rows.where("comp is not null").groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("m"))
-    gone = stored(rows.join(first, "comp").where("row <> m.row").select("row"), "copies")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    gone = stored(with_first(rows, order).where("row <> first.row").select("row"), "copies")
     return table.join(broadcast_if_small(gone, SMALL), "row", "left_anti").select("carried.*")
 
 

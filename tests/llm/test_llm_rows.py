@@ -225,6 +225,32 @@ def test_components_match_brute_force_on_copies(spark, seed, rounds, monkeypatch
     assert rows(got) == brute_components(data)
 
 
+def test_accumulated_counts_decide(spark):
+    """Cells of four blocks: the first block's counts drop no pair that links, and most of those that cannot."""
+    rng = np.random.default_rng(5)
+    top = [int(x) for x in rng.integers(0, 1 << 64, 400, dtype=np.uint64)]
+    sets = [set(top[i:i + 100]) for i in [*range(0, 20, 2), *range(30, 300, 15)]] + [set(top[200:201]), set(top[200:203]), set(top[200:203])]
+    cells = [(i, len(s), b, [x - (1 << 64) if x >> 63 else x for x in sorted(s) if x >> 62 == b]) for i, s in enumerate(sets) for b in range(4)]
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets))]
+    cells = spark.createDataFrame(cells, "sig long, n int, block int, hashes array<long>")
+    pairs, links = spark.createDataFrame(pairs, "a long, b long"), [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    assert rows(ngram_join.linking(pairs, cells, 85, 100)) == links
+    left = {(r["a"], r["b"]): r["overlap"] for r in ngram_join.first_counts(pairs, cells, 85, 100).collect()}
+    assert set(links) <= set(left) and 2 * len(left) < pairs.count()
+    assert all(n == len([x for x in sets[a] & sets[b] if x >> 62 == 0]) for (a, b), n in left.items())
+
+
+@pytest.mark.parametrize("large", [2, 1 << 10])
+def test_components_large_and_small(spark, large, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LARGE", large)
+    data = [(None, " ".join(f"c{j}" for j in range(9)))] + [(100 - i, " ".join(f"c{j}" for j in range(9))) for i in range(50)]
+    data += [(200 + i, f"p{i // 3} q{i // 3}") for i in range(9)] + [(300, "alone here"), (301, None), (301, None), (None, "nobody else")]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    assert rows(ngram_join.jaccard_components(docs)) == brute_components(data)
+    assert sorted(((r[0],) for r in ngram_join.keep_one(docs).select("doc_id").collect()), key=key) == sorted(
+        [(51,), (200,), (203,), (206,), (300,), (301,), (301,), (None,)], key=key)
+
+
 def test_one_of_each_group_stays(spark):
     docs = odd_documents(spark)
     got = ngram_join.keep_one(docs)
