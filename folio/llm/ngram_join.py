@@ -37,7 +37,9 @@ BLOCK_SHINGLES = 1 << 21
 PIECE = 1 << 18
 REMEMBERED = 1 << 18
 STAR_ROUNDS = 5
-#: Centres that a round has for each column's rows to meet.
+#: Centres that the rows of a group of copies meet in a round, over all their columns: few at first, as one is
+#: enough for most; the rows left meet GROWTH times as many in the next round, and at most CENTRES.
+GROWTH = 8
 CENTRES = 64
 #: Column blocks that a row's cells are cut into for the counts; the hash's highest bits name the block.
 CELLS = 4
@@ -234,16 +236,18 @@ def linked_sets(cells: DataFrame, num: int, den: int, rounds: int = STAR_ROUNDS)
 
     labels = cells.sparkSession.createDataFrame([], "node long, comp long")
     for r in range(rounds):
+        centres = min(GROWTH ** r, CENTRES)
         now = prefix.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
-        centre = (now.groupBy("h", "k").agg(F.min(F.struct(F.xxhash64("sig", F.lit(r), F.expr(f"pmod(h, {CENTRES})")).alias("x"), "sig", "n", "comp")).alias("m"),
+        centre = (now.groupBy("h", "k").agg(F.min(F.struct(F.xxhash64("sig", F.lit(r), F.expr(f"pmod(h, {centres})")).alias("x"), "sig", "n", "comp")).alias("m"),
                                             F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi"))
         pairs = (now.join(centre.select("h", "k", "m"), ["h", "k"]).where("comp <> m.comp")
                  .select(F.least("sig", "m.sig").alias("a"), F.greatest("sig", "m.sig").alias("b"), F.col("n").alias("na"), F.col("m.n").alias("nb"))
                  .where(sizes).dropDuplicates(["a", "b"]))
         new = stored(linking(pairs, cells, num, den), "links")
-        if not new.limit(1).count():
+        if new.limit(1).count():
+            labels = merged(labels, new)
+        elif centres == CENTRES:
             break
-        labels = merged(labels, new)
 
     now = prefix.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
     mixed = now.groupBy("h", "k").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h", "k")
