@@ -14,7 +14,8 @@ other columns were shared; counts of the other blocks are added up for the rest,
 
 Only links between different components matter for components. So the columns first link each row to
 one other row (stars, not all pairs), in a few rounds with other centres; all pairs of a column follow only
-where it still holds rows of different components.
+where it still holds rows of different components. A crowd of rows that such columns connect is not paired by its common
+columns at all: its rows are told by their differences from the columns that most of them have (``crowd_links``).
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ NUM, DEN = 85, 100
 BLOCK_SHINGLES = 1 << 21
 PIECE = 1 << 18
 REMEMBERED = 1 << 18
-STAR_ROUNDS = 5
+STAR_ROUNDS = 2
 #: Centres that the rows of a group of copies meet in a round, over all their columns: few at first, as one is
 #: enough for most; the rows left meet GROWTH times as many in the next round, and at most CENTRES.
 GROWTH = 8
@@ -45,6 +46,8 @@ CENTRES = 64
 CELLS = 4
 #: Rows up to which a counted table is broadcast.
 SMALL = 1 << 21
+#: Rows from which on those that open columns connect are a crowd.
+CROWD = 32
 #: A component is large from this many rows on, and from one row in HEAD: so at most HEAD are large.
 LARGE = 1 << 10
 HEAD = 1 << 16
@@ -252,6 +255,10 @@ def linked_sets(cells: DataFrame, num: int, den: int, rounds: int = STAR_ROUNDS)
     now = prefix.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
     mixed = now.groupBy("h", "k").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h", "k")
     now = stored(now.join(mixed, ["h", "k"]), "open-columns")
+    crowds = crowded(now)
+    if crowds.limit(1).count():
+        labels = crowd_links(labels, crowds, cells, num, den)
+        now = now.join(broadcast_if_small(crowds.select("sig"), SMALL), "sig", "left_anti")
     side = lambda x: now.select("h", "k", F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col("comp").alias(f"c{x}"), F.col("own_class").alias(f"k{x}"), F.col("at").alias(f"at{x}"))
     early = f"ata <= na - {least} and atb <= nb - {least}"
     pairs = (side("a").join(side("b"), ["h", "k"]).where(f"a < b and ca <> cb and k = least(ka, kb) and {sizes} and {early}")
@@ -259,6 +266,58 @@ def linked_sets(cells: DataFrame, num: int, den: int, rounds: int = STAR_ROUNDS)
     return merged(labels, linking(pairs, cells, num, den))
 
 
+def crowded(now: DataFrame) -> DataFrame:
+    """``sig, crowd, many`` of the rows of open columns (sig, h, k) of which at least ``CROWD`` are connected by such columns."""
+    first = now.groupBy("h", "k").agg(F.min("sig").alias("b"))
+    connected = components(now.join(first, ["h", "k"]).where("sig <> b").select(F.col("sig").alias("a"), "b").distinct())
+    crowds = connected.groupBy("comp").agg(F.count("*").alias("many")).where(f"many >= {CROWD}")
+    return stored(connected.join(crowds, "comp").select(F.col("node").alias("sig"), F.col("comp").alias("crowd"), "many"), "crowds")
+
+
+def crowd_links(labels: DataFrame, crowds: DataFrame, cells: DataFrame, num: int, den: int) -> DataFrame:
+    """``labels`` and all links inside the ``crowds`` (sig, crowd, many).
+
+    Each row of a crowd is held against the crowd's reference, the columns that more than half of its rows have; ``d`` counts
+    the differences, missing and own columns alike. Rows a and b differ in da + db - 2 x places if x differences are common to
+    both, so they link when ea + eb <= 2 (num + den) x with e = (num + den) d - (den - num) n. With x = 0, both then link to the row of
+    the least e as well: a star is enough. All other links need common differences, by the same bounds on
+    prefixes and places as columns (rarest first); columns that all rows share are in no difference and pair nobody.
+    """
+    total = num + den
+    own = stored(cells.join(broadcast_if_small(crowds, SMALL), "sig"), "crowd-cells")
+    common = (own.select("crowd", "many", "block", F.explode("hashes").alias("h")).groupBy("crowd", "many", "block", "h").agg(F.count("*").alias("c"))
+              .where("2 * c > many").groupBy("crowd", "block").agg(F.collect_list("h").alias("ref")))
+    common = stored(common, "crowd-references")
+    size = common.agg(F.coalesce(F.sum(F.size("ref")), F.lit(0))).first()[0]
+    ref = F.coalesce("ref", F.expr("cast(array() as array<long>)"))
+    differences = stored(own.join(F.broadcast(common) if size <= SMALL else common, ["crowd", "block"], "left")
+                         .select("sig", "crowd", "n", F.concat(F.array_except("hashes", ref), F.array_except(ref, "hashes")).alias("hashes")), "differences")
+    rows = stored(differences.groupBy("sig", "crowd", "n").agg(F.sum(F.size("hashes")).cast("long").alias("d"))
+                  .withColumn("e", F.expr(f"{total} * d - {den - num} * n")), "crowd-rows")
+    least = stored(rows.groupBy("crowd").agg(F.min(F.struct("e", "sig")).alias("m")), "crowd-least")
+    rows = rows.join(broadcast_if_small(least, SMALL), "crowd")
+    stars = rows.where("sig <> m.sig and e + m.e <= 0").select(F.col("sig").alias("a"), F.col("m.sig").alias("b"))
+    labels = merged(labels, stars)
+
+    entries = differences.select("sig", "crowd", F.explode("hashes").alias("h"))
+    often = entries.groupBy("crowd", "h").agg(F.count("*").alias("df")).where("df > 1")
+    shared = entries.join(often, ["crowd", "h"]).groupBy("sig").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("own"))
+    # With any partner at least this many differences must be common.
+    room = f"d - greatest(1, cast(ceil((e + m.e) / {2 * total}) as long)) + 1 - (d - size(own))"
+    prefix = (shared.join(rows, "sig").where(f"{room} > 0")
+              .select("sig", "crowd", "n", "d", "e", F.expr("d - size(own)").alias("alone"), F.expr(f"posexplode(slice(own, 1, cast(least({room}, size(own)) as int)))").alias("i", "c"))
+              .select("sig", "crowd", "n", "d", "e", F.col("c.h").alias("h"), (F.col("alone") + F.col("i")).alias("at")))
+    now = stored(prefix.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("comp", "sig")), "crowd-prefixes")
+    mixed = now.groupBy("crowd", "h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("crowd", "h")
+    now = now.join(mixed, ["crowd", "h"])
+    side = lambda x: now.select("crowd", "h", *[F.col(c).alias(c[0] + x if c != "at" else f"at{x}") for c in ("n", "d", "e", "comp", "at")], F.col("sig").alias(x))
+    needed = f"cast(ceil((ea + eb) / {2 * total}) as long)"
+    pairs = (side("a").join(side("b"), ["crowd", "h"])
+             .where(f"a < b and ca <> cb and {den} * least(na, nb) >= {num} * greatest(na, nb) and ata <= da - {needed} and atb <= db - {needed}")
+             .select("a", "b").distinct())
+    return merged(labels, linking(pairs, cells, num, den))
+
+
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """``node, comp`` of old labels and new links (a, b): the links join whole components, so only their
     labels are walked."""

@@ -225,6 +225,33 @@ def test_components_match_brute_force_on_copies(spark, seed, rounds, monkeypatch
     assert rows(got) == brute_components(data)
 
 
+@pytest.mark.parametrize("seed", [0, 1])
+def test_crowds_of_near_copies_are_not_paired(spark, seed, monkeypatch):
+    """Copies around the bound, of which many link to nobody: all links are found, by few pairs a row, without any star round."""
+    monkeypatch.setattr(ngram_join.linked_sets, "__defaults__", (0,))
+    rng = np.random.default_rng(seed)
+    base, other = [f"w{x}" for x in range(150)], [f"v{x}" for x in range(150)]
+    texts = []
+    for i in range(240):
+        words = list(base if i % 4 else other)
+        for p in rng.integers(0, len(words), rng.integers(0, 9)):
+            words[p] = f"e{rng.integers(40 if i % 3 else 100000)}"
+        texts.append(" ".join(words[:len(words) - int(rng.integers(0, 6))]))
+    data = [(int(i), t) for i, t in zip(rng.permutation(len(texts)), texts)]
+    counted, linking = [], ngram_join.linking
+
+    def counting(pairs, cells, num, den):
+        counted.append(pairs.count())
+        return linking(pairs, cells, num, den)
+
+    monkeypatch.setattr(ngram_join, "linking", counting)
+    got = rows(ngram_join.jaccard_components(spark.createDataFrame(data, "doc_id long, text string").repartition(5)))
+    want = brute_components(data)
+    assert got == want
+    assert sum(1 for d, _, c in want if d == c) > 40  # many rows stay alone
+    assert sum(counted) < 4 * len(data)
+
+
 def test_accumulated_counts_decide(spark):
     """Cells of four blocks: the first block's counts drop no pair that links, and most of those that cannot."""
     rng = np.random.default_rng(5)
