@@ -149,14 +149,13 @@ def encode_texts(texts: DataFrame, ranks_path: str, pattern: str, summarise: Cal
                     F.array_min(F.array_intersect(F.lag("tail").over(row), "head"))))
                 .withColumn("last", F.lead("part").over(row).isNull())
                 .withColumn("to", F.when(F.col("last"), F.col("start") + F.length("chunk")).otherwise(F.lead("from").over(row)))
+                .withColumn("lost", F.max(F.col("from").isNull()).over(Window.partitionBy("uid")))
                 .drop("head", "tail"))
-    stitched = stored(stitched, "bpe-chunks")
-    lost = stitched.where(F.col("from").isNull()).select("uid").distinct()
-    good = stitched.join(lost, "uid", "left_anti")
-    many = (good.mapInPandas(pieces, "uid long, key string, part int, ids binary")
+    stitched = stored(stitched, "bpe-chunks", "zstd")
+    many = (stitched.where("not lost").mapInPandas(pieces, "uid long, key string, part int, ids binary")
             .groupBy("uid", "key").agg(F.expr("transform(array_sort(collect_list(struct(part, ids))), x -> x.ids)").alias("ids"))
             .mapInPandas(join, out))
-    unstitched = (stitched.join(lost, "uid", "left_semi").groupBy("uid", "key")
+    unstitched = (stitched.where("lost").groupBy("uid", "key")
                   .agg(F.expr(f"concat_ws('', transform(array_sort(collect_list(struct(part, substring(chunk, 1, {size}) as c))), x -> x.c))").alias("text"))
                   .mapInPandas(whole, out))
     return short.select("uid", "key", "text").mapInPandas(whole, out).unionByName(many).unionByName(unstitched)

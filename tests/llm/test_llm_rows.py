@@ -132,6 +132,12 @@ def test_bpe_matches_the_library(spark, size, overlap):
     assert bpe.bpe_digests(no_documents(spark), P.path(bpe.RANKS)).count() == 0
 
 
+def test_bpe_chunks_are_not_joined(spark):
+    """Texts that cannot be stitched are marked where their chunks are stitched: no join deals all chunks again."""
+    coded = bpe.bpe_digests(odd_documents(spark), P.path(bpe.RANKS))
+    assert "Join" not in coded._jdf.queryExecution().toString()
+
+
 # Quality rules --------------------------------------------------------------------------------------
 
 def brute_figures(text):
