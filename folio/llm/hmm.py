@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.llm.chain import Chain
-from folio.llm.common import documents, fold_of, ship, stored
+from folio.llm.common import documents, fold_of, give_back, ship, small_batches, stored
 
 STATES = 6
 HEADS = 1 << 16
@@ -91,6 +91,8 @@ def to_blocks(docs: DataFrame, train) -> DataFrame:
                     rows, size, share = [], 0, (share + 1) % SHARES
         if rows:
             yield _block(rows, share)
+        rows = frame = r = None
+        give_back()
 
     return docs.select(F.col("doc_id").cast("string").alias("key"), train.alias("train"), F.monotonically_increasing_id().alias("row"),
                        F.coalesce("text", F.lit("")).alias("text")).mapInPandas(blocks, BLOCKS)
@@ -176,6 +178,8 @@ def one_round(blocks: DataFrame, model: Hmm, spread: np.ndarray | None = None) -
         if total is not None:
             flat = np.concatenate([x.ravel() for x in total])
             yield pd.DataFrame({"slice": np.arange(SLICES, dtype=np.int32), "counts": [x.tobytes() for x in np.array_split(flat, SLICES)]})
+        model = total = block = one = flat = None
+        give_back()
 
     def add(key: tuple, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = None
@@ -189,6 +193,7 @@ def one_round(blocks: DataFrame, model: Hmm, spread: np.ndarray | None = None) -
     groups = (per_task.withColumn("group", (F.spark_partition_id() / 32).cast("int")).groupBy("slice", "group")
               .applyInPandas(add, "slice int, counts binary"))
     rows = groups.groupBy("slice").applyInPandas(add, "slice int, counts binary").collect()  # the model's size
+    shared.destroy()
     if not rows:
         return model, 0.0
     flat = np.concatenate([np.frombuffer(r["counts"]) for r in sorted(rows, key=lambda r: r["slice"])])
@@ -221,6 +226,8 @@ def word_counts(blocks: DataFrame) -> DataFrame:
         for block in read_blocks(frames):
             c = np.bincount(block.ids[block.train[block.text]], minlength=len(block.words))
             yield pd.DataFrame({"word": block.words.view(np.int64)[c > 0], "tail": block.tails[c > 0].astype(np.int32), "c": c[c > 0]})
+        block = c = None
+        give_back()
 
     return blocks.mapInPandas(count, "word long, tail int, c long").groupBy("word").agg(F.first("tail").alias("tail"), F.sum("c").alias("c"))
 
@@ -267,6 +274,8 @@ def score(docs: DataFrame, train, states: int = STATES, rounds: int = ROUNDS, he
             yield pd.DataFrame({"key": list(block.keys), "trained": block.train, "row": block.rows, "n_tokens": block.lengths,
                                 "known": per(is_head[block.ids].astype(float)).astype(np.int64), "logs": per(add[block.ids]),
                                 "chain": per(log) / np.log(10) - per(mass[block.ids])})
+        block = classes = log = add = mass = None
+        give_back()
 
     def tails(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Per text and distinct tail word its count."""
@@ -275,6 +284,8 @@ def score(docs: DataFrame, train, states: int = STATES, rounds: int = ROUNDS, he
             is_tail = (block.classes(model.heads) >= len(model.heads))[block.ids]
             pair, n = np.unique(block.text[is_tail] * len(block.words) + block.ids[is_tail], return_counts=True)
             yield pd.DataFrame({"row": block.rows[pair // len(block.words)], "word": block.words.view(np.int64)[pair % len(block.words)], "n": n.astype(np.int32)})
+        block = is_tail = pair = n = None
+        give_back()
 
     scored = blocks.mapInPandas(texts, "key string, trained boolean, row long, n_tokens long, known long, logs double, chain double")
     known = (blocks.mapInPandas(tails, "row long, word long, n int").join(counts.where(F.col("c") * heads < total).select("word", "c"), "word")
@@ -288,6 +299,7 @@ def score(docs: DataFrame, train, states: int = STATES, rounds: int = ROUNDS, he
 
 
 def op4_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return score(documents(spark, sf_dir), fold_of("doc_id", 7) != 2).select(
         "doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 

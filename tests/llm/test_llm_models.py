@@ -205,3 +205,20 @@ def test_pipeline_on_odd_rows(spark):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, SF0001)
             docs.collect()
+
+
+def test_lm_query_sends_small_batches(spark, monkeypatch):
+    """The query asks for small batches of whole texts, where the session left Spark's sizes as they are."""
+    names = [f"spark.sql.execution.arrow.{x}" for x in ("maxRecordsPerBatch", "maxBytesPerBatch")]
+    before = [spark.conf.get(x) for x in names]
+    monkeypatch.setattr(hmm, "documents", lambda spark, sf_dir: None)
+    monkeypatch.setattr(hmm, "score", lambda docs, train: spark.range(1).selectExpr(
+        "id as doc_id", "true as trained", "1 as n_tokens", "1 as n_known", "1 as train_tokens", "0d as base_score", "0d as score"))
+    try:
+        for x in names:
+            spark.conf.unset(x)
+        hmm.op4_hmm_scoring(spark, "")
+        assert [int(spark.conf.get(x).rstrip("b")) for x in names] == [2000, 8 << 20]
+    finally:
+        for x, y in zip(names, before):
+            spark.conf.set(x, y)
