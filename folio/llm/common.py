@@ -6,7 +6,7 @@ import sys
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from folio.session import scratch_dir
@@ -36,6 +36,14 @@ def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFram
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, name: str, what: Column | None = None) -> tuple[DataFrame, int]:
+    """A ``stored`` table and the sum of ``what`` over its rows (or their number), taken while it is written. A query of its own
+    for each such sum costs the driver a plan, jobs and a scan; loops over many small tables ask for hundreds."""
+    seen = Observation()
+    table = stored(df.observe(seen, F.sum(F.lit(1) if what is None else what).alias("total")), name)
+    return table, int(seen.get["total"] or 0)
+
+
 def numbered(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """A stored copy of ``df``, each row with a number of its own: ``row, carried``, the latter a struct of its ``columns``
     (or all). A number made while reading depends on how the files were split for that read; here it is
@@ -59,10 +67,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int, rows: int | None = None) -> DataFrame:
     """Hint a broadcast only for a table counted to hold at most ``max_rows`` rows; a larger
-    one is left to a shuffled join. ``df`` should be a stored table (it is read twice)."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    one is left to a shuffled join. ``rows``: their number, if known; else ``df`` should be a stored table (it is read twice)."""
+    return F.broadcast(df) if (df.limit(max_rows + 1).count() if rows is None else rows) <= max_rows else df
 
 
 def per_process(key, make):

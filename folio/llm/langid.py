@@ -203,7 +203,10 @@ def learn(docs: DataFrame, texts_per_label: int = TEXTS_PER_LABEL, fold: int = 3
         words = words_of(r["snippet"])[1:-1] or words_of(r["snippet"])  # the cut may have hit the outer words
         if words and len(taken[r["lang"]]) < texts_per_label:
             taken[r["lang"]].append((r["lang"], words))
-    return train([x for label in sorted(taken) for x in taken[label]])
+    crf = train([x for label in sorted(taken) for x in taken[label]])
+    del drawn, taken
+    give_back()  # the driver's: its Python stays beside the later stages of a session
+    return crf
 
 
 def _batches(texts: pd.Series, labels: int) -> Iterator[list[list[bytes]]]:

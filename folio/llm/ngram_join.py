@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import broadcast_if_small, documents, give_back, numbered, ship, stored
+from folio.llm.common import broadcast_if_small, counted, documents, give_back, numbered, ship, stored
 
 #: The query's n-grams and bound: link when DEN * intersection >= NUM * union. The pipeline gives its own.
 N = 4
@@ -182,8 +182,8 @@ def components(links: DataFrame) -> DataFrame:
         near = (edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near")))
         lower = labels.join(near, "node").select("node", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
         of_label = labels.select(F.col("node").alias("comp"), F.col("comp").alias("above"))
-        moved = stored(lower.join(of_label, "comp", "left").select("node", "old", F.least("comp", F.coalesce("above", "comp")).alias("comp")), "labels")
-        changed = moved.where("old <> comp").limit(1).count()
+        moved = lower.join(of_label, "comp", "left").select("node", "old", F.least("comp", F.coalesce("above", "comp")).alias("comp"))
+        moved, changed = counted(moved, "labels", F.expr("cast(old <> comp as int)"))
         labels = moved.select("node", "comp")
         if not changed:
             return labels
@@ -246,32 +246,33 @@ def linked_sets(cells: DataFrame, num: int, den: int, rounds: int = STAR_ROUNDS)
         pairs = (now.join(centre.select("h", "k", "m"), ["h", "k"]).where("comp <> m.comp")
                  .select(F.least("sig", "m.sig").alias("a"), F.greatest("sig", "m.sig").alias("b"), F.col("n").alias("na"), F.col("m.n").alias("nb"))
                  .where(sizes).dropDuplicates(["a", "b"]))
-        new = stored(linking(pairs, cells, num, den), "links")
-        if new.limit(1).count():
-            labels = merged(labels, new)
-        elif centres == CENTRES:
+        labels, new = merged(labels, linking(pairs, cells, num, den))
+        if not new and centres == CENTRES:
             break
 
     now = prefix.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
     mixed = now.groupBy("h", "k").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h", "k")
-    now = stored(now.join(mixed, ["h", "k"]), "open-columns")
-    crowds = crowded(now)
-    if crowds.limit(1).count():
+    now, entries = counted(now.join(mixed, ["h", "k"]), "open-columns")
+    if not entries:
+        return labels
+    crowds, many = crowded(now)
+    if many:
+        crowds = broadcast_if_small(crowds, SMALL, many)
         labels = crowd_links(labels, crowds, cells, num, den)
-        now = now.join(broadcast_if_small(crowds.select("sig"), SMALL), "sig", "left_anti")
+        now = now.join(crowds.select("sig"), "sig", "left_anti")
     side = lambda x: now.select("h", "k", F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col("comp").alias(f"c{x}"), F.col("own_class").alias(f"k{x}"), F.col("at").alias(f"at{x}"))
     early = f"ata <= na - {least} and atb <= nb - {least}"
     pairs = (side("a").join(side("b"), ["h", "k"]).where(f"a < b and ca <> cb and k = least(ka, kb) and {sizes} and {early}")
              .select("a", "b").distinct())
-    return merged(labels, linking(pairs, cells, num, den))
+    return merged(labels, linking(pairs, cells, num, den))[0]
 
 
-def crowded(now: DataFrame) -> DataFrame:
-    """``sig, crowd, many`` of the rows of open columns (sig, h, k) of which at least ``CROWD`` are connected by such columns."""
+def crowded(now: DataFrame) -> tuple[DataFrame, int]:
+    """``sig, crowd, many`` of the rows of open columns (sig, h, k) of which at least ``CROWD`` are connected by such columns; their number."""
     first = now.groupBy("h", "k").agg(F.min("sig").alias("b"))
     connected = components(now.join(first, ["h", "k"]).where("sig <> b").select(F.col("sig").alias("a"), "b").distinct())
     crowds = connected.groupBy("comp").agg(F.count("*").alias("many")).where(f"many >= {CROWD}")
-    return stored(connected.join(crowds, "comp").select(F.col("node").alias("sig"), F.col("comp").alias("crowd"), "many"), "crowds")
+    return counted(connected.join(crowds, "comp").select(F.col("node").alias("sig"), F.col("comp").alias("crowd"), "many"), "crowds")
 
 
 def crowd_links(labels: DataFrame, crowds: DataFrame, cells: DataFrame, num: int, den: int) -> DataFrame:
@@ -284,20 +285,19 @@ def crowd_links(labels: DataFrame, crowds: DataFrame, cells: DataFrame, num: int
     prefixes and places as columns (rarest first); columns that all rows share are in no difference and pair nobody.
     """
     total = num + den
-    own = stored(cells.join(broadcast_if_small(crowds, SMALL), "sig"), "crowd-cells")
+    own = stored(cells.join(crowds, "sig"), "crowd-cells")
     common = (own.select("crowd", "many", "block", F.explode("hashes").alias("h")).groupBy("crowd", "many", "block", "h").agg(F.count("*").alias("c"))
               .where("2 * c > many").groupBy("crowd", "block").agg(F.collect_list("h").alias("ref")))
-    common = stored(common, "crowd-references")
-    size = common.agg(F.coalesce(F.sum(F.size("ref")), F.lit(0))).first()[0]
+    common, size = counted(common, "crowd-references", F.size("ref"))
     ref = F.coalesce("ref", F.expr("cast(array() as array<long>)"))
-    differences = stored(own.join(F.broadcast(common) if size <= SMALL else common, ["crowd", "block"], "left")
+    differences = stored(own.join(broadcast_if_small(common, SMALL, size), ["crowd", "block"], "left")
                          .select("sig", "crowd", "n", F.concat(F.array_except("hashes", ref), F.array_except(ref, "hashes")).alias("hashes")), "differences")
     rows = stored(differences.groupBy("sig", "crowd", "n").agg(F.sum(F.size("hashes")).cast("long").alias("d"))
                   .withColumn("e", F.expr(f"{total} * d - {den - num} * n")), "crowd-rows")
-    least = stored(rows.groupBy("crowd").agg(F.min(F.struct("e", "sig")).alias("m")), "crowd-least")
-    rows = rows.join(broadcast_if_small(least, SMALL), "crowd")
+    least, crowd_count = counted(rows.groupBy("crowd").agg(F.min(F.struct("e", "sig")).alias("m")), "crowd-least")
+    rows = rows.join(broadcast_if_small(least, SMALL, crowd_count), "crowd")
     stars = rows.where("sig <> m.sig and e + m.e <= 0").select(F.col("sig").alias("a"), F.col("m.sig").alias("b"))
-    labels = merged(labels, stars)
+    labels, _ = merged(labels, stars)
 
     entries = differences.select("sig", "crowd", F.explode("hashes").alias("h"))
     often = entries.groupBy("crowd", "h").agg(F.count("*").alias("df")).where("df > 1")
@@ -307,7 +307,9 @@ def crowd_links(labels: DataFrame, crowds: DataFrame, cells: DataFrame, num: int
     prefix = (shared.join(rows, "sig").where(f"{room} > 0")
               .select("sig", "crowd", "n", "d", "e", F.expr("d - size(own)").alias("alone"), F.expr(f"posexplode(slice(own, 1, cast(least({room}, size(own)) as int)))").alias("i", "c"))
               .select("sig", "crowd", "n", "d", "e", F.col("c.h").alias("h"), (F.col("alone") + F.col("i")).alias("at")))
-    now = stored(prefix.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("comp", "sig")), "crowd-prefixes")
+    now, left = counted(prefix.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("comp", "sig")), "crowd-prefixes")
+    if not left:
+        return labels
     mixed = now.groupBy("crowd", "h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("crowd", "h")
     now = now.join(mixed, ["crowd", "h"])
     side = lambda x: now.select("crowd", "h", *[F.col(c).alias(c[0] + x if c != "at" else f"at{x}") for c in ("n", "d", "e", "comp", "at")], F.col("sig").alias(x))
@@ -315,32 +317,33 @@ def crowd_links(labels: DataFrame, crowds: DataFrame, cells: DataFrame, num: int
     pairs = (side("a").join(side("b"), ["crowd", "h"])
              .where(f"a < b and ca <> cb and {den} * least(na, nb) >= {num} * greatest(na, nb) and ata <= da - {needed} and atb <= db - {needed}")
              .select("a", "b").distinct())
-    return merged(labels, linking(pairs, cells, num, den))
+    return merged(labels, linking(pairs, cells, num, den))[0]
 
 
-def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """``node, comp`` of old labels and new links (a, b): the links join whole components, so only their
+def merged(labels: DataFrame, links: DataFrame) -> tuple[DataFrame, int]:
+    """``node, comp`` of old labels and new links (a, b), and the number of the links: they join whole components, so only their
     labels are walked."""
     def label(x: str) -> DataFrame:
         return labels.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))
 
     between = (links.join(label("a"), "a", "left").join(label("b"), "b", "left")
                .select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")))
-    between = stored(between, "links")
+    between, new = counted(between, "links")
+    if not new:
+        return labels, 0
     joined = components(between.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
     nodes = labels.union(between.select("a", "ca")).union(between.select("b", "cb")).distinct()
     return stored(nodes.join(joined.select(F.col("node").alias("old"), F.col("comp").alias("least")), F.col("comp") == F.col("old"), "left")
-                  .select("node", F.coalesce("least", "comp").alias("comp")), "labels")
+                  .select("node", F.coalesce("least", "comp").alias("comp")), "labels"), new
 
 
 def classes(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN) -> DataFrame:
     """``row, key, n, comp`` of every row of ``docs`` (row, key, text; stored, as it is read again by row): set size, and the
     name of its component (null for an empty set)."""
-    signed = stored(signatures(docs, n), "signatures")
-    total = signed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    signed, total = counted(signatures(docs, n), "signatures", F.col("n"))
     blocks = max(1, math.ceil(total / BLOCK_SHINGLES))
     stays = sharers(docs, n, blocks, num, den).distinct()
-    chosen = stored(signed.join(stays, "sig").groupBy("sig").agg(F.min("row").alias("row")), "sharers")
+    chosen, sets = counted(signed.join(stays, "sig").groupBy("sig").agg(F.min("row").alias("row")), "sharers")
 
     def hashes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle = Shingler(n)
@@ -352,7 +355,7 @@ def classes(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN) -> Data
         give_back()
 
     ends = np.array([(i << 64) // CELLS for i in range(1, CELLS)], np.uint64)
-    cells = stored(docs.join(broadcast_if_small(chosen, SMALL), "row").select("sig", "text")
+    cells = stored(docs.join(broadcast_if_small(chosen, SMALL, sets), "row").select("sig", "text")
                    .mapInPandas(hashes, "sig long, n int, block int, hashes array<long>"), "cells")
     found = linked_sets(cells, num, den).select(F.col("node").alias("sig"), "comp")
     return signed.join(found, "sig", "left").select("row", "key", "n", F.when(F.col("n") > 0, F.coalesce("comp", "sig")).alias("comp"))
@@ -401,8 +404,8 @@ def keep_one(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN) -> Dat
     table, kind = numbered(docs), docs.schema["doc_id"].dataType
     rows = stored(classes(texts(table), n, num, den).withColumn("doc_id", F.col("key").cast(kind)), "classes")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
-    gone = stored(with_first(rows, order).where("row <> first.row").select("row"), "copies")
-    return table.join(broadcast_if_small(gone, SMALL), "row", "left_anti").select("carried.*")
+    gone, many = counted(with_first(rows, order).where("row <> first.row").select("row"), "copies")
+    return table.join(broadcast_if_small(gone, SMALL, many), "row", "left_anti").select("carried.*")
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

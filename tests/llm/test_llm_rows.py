@@ -258,6 +258,18 @@ def test_crowds_of_near_copies_are_not_paired(spark, seed, monkeypatch):
     assert sum(counted) < 4 * len(data)
 
 
+def test_phases_without_links_start_few_jobs(spark):
+    """Each job's plan and tasks stay in the driver for a while: sums are taken while tables are written, and phases without links end."""
+    docs = spark.createDataFrame([(i, " ".join(f"u{i}_{j}" for j in range(30))) for i in range(50)], "doc_id long, text string").repartition(3)
+    spark.sparkContext.setJobGroup("few-jobs", "few-jobs")
+    try:
+        assert ngram_join.keep_one(docs).count() == 50
+    finally:
+        for key in ("spark.jobGroup.id", "spark.job.description"):
+            spark.sparkContext.setLocalProperty(key, None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few-jobs")) <= 60
+
+
 def test_accumulated_counts_decide(spark):
     """Cells of four blocks: the first block's counts drop no pair that links, and most of those that cannot."""
     rng = np.random.default_rng(5)
