@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folio.llm.common import documents, ship, stored
+from folio.llm.common import documents, give_back, ship, small_batches, stored
 
 MAX_WORDS = 3
 LEAST = 10
@@ -33,7 +33,7 @@ UNKNOWN = "und"
 #: Bytes of a block's words; occurrences of n-grams in a hash partition (about, a hot n-gram aside); counters merged at once.
 BLOCK_BYTES = 1 << 22
 PARTITION_MASS = 1 << 24
-MERGED = 1 << 22
+MERGED = 1 << 21
 #: Rows that ask for a word's count come from so many tasks at least; a language's ranking is cut in so many parts first.
 SALTS = 16
 
@@ -86,6 +86,8 @@ def to_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         for lang in list(open_blocks):
             yield close(lang)
             made += 1
+        rows = text = body = None
+        give_back()
 
     return docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text").where("text is not null").mapInPandas(
         pack, "block long, lang string, n_words long, body binary")
@@ -118,17 +120,19 @@ class Grams:
             spans = np.column_stack([spans[keys // v], last]) if n > 1 else last[:, None]
             names = (names[keys // v] if n > 1 else np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15) + named[last]
             names ^= names >> np.uint64(31)
-            self.columns.append(spans)
+            self.columns.append(spans.astype(np.int32))
             hashes.append(names * np.uint64(0xBF58476D1CE4E5B9))
             counts.append(count)
-            sizes.append(np.full(len(keys), n))
+            sizes.append(np.full(len(keys), n, np.int16))
+        del codes, word, at, found, keys, last, spans, names, count
         h = np.concatenate(hashes)
+        del hashes
         h ^= h >> np.uint64(29)
-        part = (h >> np.uint64(40)) % np.uint64(partitions)
-        place = (part << np.uint64(32)) | (h & np.uint64(0xFFFFFFFF))
+        place = (((h >> np.uint64(40)) % np.uint64(partitions)) << np.uint64(32)) | (h & np.uint64(0xFFFFFFFF))
+        del h
         order = np.argsort(place, kind="stable")
         self.place, self.counts, self.sizes = place[order], np.concatenate(counts)[order], np.concatenate(sizes)[order]
-        self.own = np.concatenate([np.arange(len(c)) for c in self.columns])[order]
+        self.own = np.concatenate([np.arange(len(c), dtype=np.int32) for c in self.columns])[order]
         edges = np.searchsorted(self.place, np.arange(partitions + 1, dtype=np.uint64) << np.uint64(32))
         self.parts = [(p, int(edges[p]), int(edges[p + 1])) for p in np.flatnonzero(np.diff(edges)).tolist()]
 
@@ -192,6 +196,9 @@ def survivors(blocks: DataFrame, max_words: int, least: int, partitions: int) ->
                 low = (g.place & np.uint64(0xFFFFFFFF)).astype(np.uint32)
                 yield pd.DataFrame({"part": [p for p, _, _ in g.parts], "block": r.block, "mass": [int(g.counts[a:b].sum()) for _, a, b in g.parts],
                                     "counts": [press_counts(low[a:b], g.counts[a:b]) for _, a, b in g.parts]})
+                g = low = None
+        rows = r = None
+        give_back()
 
     def answer(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         kept = summary(rows["counts"], int(rows["mass"].sum()) // least)
@@ -200,6 +207,8 @@ def survivors(blocks: DataFrame, max_words: int, least: int, partitions: int) ->
             keys = unpress_counts(raw)[0]
             at = np.minimum(np.searchsorted(kept, keys), max(0, len(kept) - 1))
             bits.append(np.packbits(kept[at] == keys).tobytes() if len(kept) else b"")
+        kept = keys = at = None
+        give_back()
         return pd.DataFrame({"block": rows["block"], "part": key[0], "mask": bits})
 
     return (blocks.mapInPandas(tell, "part int, block long, mass long, counts binary")
@@ -225,6 +234,9 @@ def frequent_phrases(blocks: DataFrame, max_words: int = MAX_WORDS, least: int =
                         kept[a:b] = np.unpackbits(np.frombuffer(bits[p], np.uint8), count=b - a).astype(bool)
                 phrases, sizes, counts = g.phrases(np.flatnonzero(kept))
                 yield pd.DataFrame({"lang": r.lang, "size": sizes.astype(np.int32), "phrase": phrases, "f": counts.astype(np.int64)})
+                g = kept = bits = phrases = None
+        rows = r = None
+        give_back()
 
     counted = blocks.join(masks, "block").select("lang", "body", "masks").mapInPandas(count, "lang string, size int, phrase string, f long")
     return counted.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
@@ -276,6 +288,7 @@ def collocations(docs: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST
 
 
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return collocations(documents(spark, sf_dir))
 
 

@@ -71,6 +71,22 @@ def test_collocations_query_equals_sql(spark):
     assert result.ok, result
 
 
+def test_collocations_query_sends_small_batches(spark, monkeypatch):
+    """Blocks of some MB stand in the JVM and twice in a worker: the query asks for small batches, where the session left Spark's sizes."""
+    names = [f"spark.sql.execution.arrow.{x}" for x in ("maxRecordsPerBatch", "maxBytesPerBatch")]
+    before = [spark.conf.get(x) for x in names]
+    monkeypatch.setattr(collocations, "documents", lambda spark, sf_dir: None)
+    monkeypatch.setattr(collocations, "collocations", lambda docs: None)
+    try:
+        for x in names:
+            spark.conf.unset(x)
+        collocations.op13_collocations(spark, "")
+        assert [int(spark.conf.get(x).rstrip("b")) for x in names] == [2000, 8 << 20]
+    finally:
+        for x, y in zip(names, before):
+            spark.conf.set(x, y)
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_merged_summaries_keep_every_frequent_key(seed):
     """Any merge order, with far more keys than counters: who reaches the threshold is never lost."""
