@@ -40,26 +40,27 @@ class Chain:
             return np.empty((0, k)), np.empty(0), np.empty((0, k)), np.zeros((k, k))
         m, length = _blocks(n)
         pad = m * length - n
-        top = E.max(axis=1)
-        # State first, then blocks side by side: (step, state, block).
-        e = np.ones((m * length, k))
-        np.divide(E, top[:, None], out=e[:n])
-        e = np.ascontiguousarray(e.reshape(m, length, k).transpose(1, 2, 0))
+        # State first, then blocks side by side: (step, state, block). The largest weight of a position is taken across
+        # whole rows of blocks; within the few states of one position numpy is slow.
+        e = np.array((np.concatenate([E, np.ones((pad, k))]) if pad else E).reshape(m, length, k).transpose(1, 2, 0), float, order="C")
+        top = e.max(axis=1)
+        e /= top[:, None]
         first = np.ascontiguousarray(np.concatenate([starts, np.ones(pad, bool)]).reshape(m, length).T)
         resets = first.any(axis=1)
         A, pi = self.A, self.pi
 
-        product = np.zeros((k, k, m))  # from, to, block
+        product, step = np.zeros((k, k, m)), np.empty((k, k, m))  # to, from, block: one matrix product a position
         product[np.arange(k), np.arange(k)] = 1
         for s in range(length):
-            step = np.matmul(A.T, product)
+            np.matmul(A.T, product.reshape(k, -1), out=step.reshape(k, -1))
             if resets[s]:
-                step[:, :, first[s]] = product[:, :, first[s]].sum(axis=1)[:, None] * pi[:, None]
-            product = step
-            product *= e[s]
+                at = np.flatnonzero(first[s])
+                step[:, :, at] = product[:, :, at].sum(axis=0) * pi[:, None, None]
+            product, step = step, product
+            product *= e[s][:, None]
             if s % 8 == 7 or s == length - 1:
                 product /= product.max(axis=(0, 1))
-        product = np.ascontiguousarray(product.transpose(2, 0, 1))
+        product = np.ascontiguousarray(product.transpose(2, 1, 0))
 
         into = np.empty((k, m))
         v = pi
@@ -77,7 +78,7 @@ class Chain:
             now.sum(axis=0, out=scale[s])
             now /= scale[s]
         flat = lambda x: x.transpose(2, 0, 1).reshape(-1, k)[:n]
-        log = np.log(scale.T.reshape(-1)[:n]) + np.log(top)
+        log = (np.log(scale) + np.log(top)).T.reshape(-1)[:n]
         if not backward:
             return flat(alpha), log, None, None
 

@@ -15,7 +15,7 @@ every block was used once, full rounds follow until a token's log likelihood gai
 In a round each task adds up its expected counts, the counts of all partitions are
 summed in slices, and the driver turns them into chances. A text's score is its exact log
 likelihood by the scaled forward recursion, times its words' chances inside their classes. Counts
-of tail words are joined by word, never broadcast.
+of tail words are never broadcast: each block asks hash partitions for its distinct words.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.llm.chain import Chain
-from folio.llm.common import documents, fold_of, give_back, ship, small_batches, stored
+from folio.llm.common import documents, fold_of, give_back, new_path, ship, small_batches, stored
 
 STATES = 6
 HEADS = 1 << 16
@@ -46,9 +46,12 @@ SPREAD = 0.1
 #: Added to every expected count.
 PRIOR = 0.05
 SLICES = 16
+#: Blocks that a task of a full round adds up (about), as each sends a whole model's counts; training tokens of a hash partition of tail words.
+TASK_BLOCKS = 20
+PARTITION_TOKENS = 1 << 23
 
 _END = b" "  # no word holds a space
-BLOCKS = ("share int, keys array<string>, train array<boolean>, rows array<long>, lengths array<long>, words binary, tails binary, ids binary")
+BLOCKS = ("block long, share int, keys array<string>, train array<boolean>, rows array<long>, lengths array<long>, words binary, tails binary, ids binary")
 
 
 def words_of(text: str) -> list[bytes]:
@@ -58,7 +61,7 @@ def words_of(text: str) -> list[bytes]:
     return out
 
 
-def _block(rows: list[tuple], share: int) -> pd.DataFrame:
+def _block(rows: list[tuple], block: int, share: int) -> pd.DataFrame:
     """Rows (key, train, row number, words) as one block: each distinct word once by hash and tail
     class, the tokens by their number among them."""
     import xxhash
@@ -70,7 +73,7 @@ def _block(rows: list[tuple], share: int) -> pd.DataFrame:
     ids = np.concatenate(ids)
     tails = [0 if w is _END else xxhash.xxh32_intdigest(w[-SUFFIX:]) % TAILS for w in vocabulary]
     return pd.DataFrame({
-        "share": share, "keys": [[r[0] for r in rows]], "train": [[bool(r[1]) for r in rows]], "rows": [[r[2] for r in rows]], "lengths": [[len(r[3]) for r in rows]],
+        "block": block, "share": share, "keys": [[r[0] for r in rows]], "train": [[bool(r[1]) for r in rows]], "rows": [[r[2] for r in rows]], "lengths": [[len(r[3]) for r in rows]],
         "words": [np.array([xxhash.xxh3_64_intdigest(w) for w in vocabulary], "<u8").tobytes()], "tails": [np.array(tails, "<u2").tobytes()],
         "ids": [ids.astype("<u2" if len(vocabulary) <= 1 << 16 else "<u4").tobytes()]})
 
@@ -81,16 +84,17 @@ def to_blocks(docs: DataFrame, train) -> DataFrame:
     def blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        rows, size, share = [], 0, TaskContext.get().partitionId() % SHARES
+        task, made = TaskContext.get().partitionId(), 0
+        rows, size = [], 0
         for frame in frames:
             for r in frame.itertuples(index=False):
                 rows.append((r.key, r.train, r.row, words_of(r.text)))
                 size += len(rows[-1][3])
                 if size >= BLOCK_TOKENS:
-                    yield _block(rows, share)
-                    rows, size, share = [], 0, (share + 1) % SHARES
+                    yield _block(rows, (task << 32) + made, (task + made) % SHARES)
+                    rows, size, made = [], 0, made + 1
         if rows:
-            yield _block(rows, share)
+            yield _block(rows, (task << 32) + made, (task + made) % SHARES)
         rows = frame = r = None
         give_back()
 
@@ -98,11 +102,18 @@ def to_blocks(docs: DataFrame, train) -> DataFrame:
                        F.coalesce("text", F.lit("")).alias("text")).mapInPandas(blocks, BLOCKS)
 
 
+def stored_blocks(docs: DataFrame, train) -> DataFrame:
+    """``to_blocks`` in the shared folder, by share: a round over one share reads that share's files alone."""
+    made, path = to_blocks(docs, train), new_path(docs.sparkSession, "hmm-blocks")
+    made.write.partitionBy("share").parquet(path)
+    return docs.sparkSession.read.schema(made.schema).parquet(path)
+
+
 class Block:
     """A block read back."""
 
     def __init__(self, r):
-        self.keys, self.rows = r.keys, np.asarray(r.rows, np.int64)
+        self.id, self.keys, self.rows = r.block, r.keys, np.asarray(r.rows, np.int64)
         self.lengths, self.train = np.asarray(r.lengths, np.int64), np.asarray(r.train, bool)
         self.words, self.tails = np.frombuffer(r.words, "<u8"), np.frombuffer(r.tails, "<u2").astype(np.int64)
         n = int(self.lengths.sum())
@@ -118,6 +129,14 @@ class Block:
         own = heads[at] == self.words if len(heads) else np.zeros(len(self.words), bool)
         return np.where(own, at, len(heads) + self.tails)
 
+    def tail_words(self, classes: np.ndarray, heads: int, partitions: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """Numbers of the block's tail words by hash partition, and each partition's first and last place among them."""
+        mine = np.flatnonzero(classes >= heads)
+        part = (self.words[mine] >> np.uint64(20)) % np.uint64(partitions)
+        order = np.argsort(part, kind="stable")
+        edges = np.searchsorted(part[order], np.arange(partitions + 1, dtype=np.uint64))
+        return mine[order], [(p, int(edges[p]), int(edges[p + 1])) for p in np.flatnonzero(np.diff(edges)).tolist()]
+
 
 def read_blocks(frames: Iterator[pd.DataFrame]) -> Iterator[Block]:
     for rows in frames:
@@ -212,8 +231,9 @@ def fit(blocks: DataFrame, model: Hmm, class_counts: np.ndarray, rounds: int = R
     for share in range(SHARES):
         model, _ = one_round(blocks.where(F.col("share") == share), model, spread)
     logs: list[float] = []
+    whole = blocks.coalesce(max(blocks.sparkSession.sparkContext.defaultParallelism, -(-blocks.count() // TASK_BLOCKS)))
     while len(logs) < rounds:
-        model, log = one_round(blocks, model)
+        model, log = one_round(whole, model)
         logs.append(log)
         if len(logs) > 1 and logs[-1] - logs[-2] < tolerance:
             break
@@ -232,6 +252,38 @@ def word_counts(blocks: DataFrame) -> DataFrame:
     return blocks.mapInPandas(count, "word long, tail int, c long").groupBy("word").agg(F.first("tail").alias("tail"), F.sum("c").alias("c"))
 
 
+def told_counts(blocks: DataFrame, counts: DataFrame, heads: np.ndarray, partitions: int) -> DataFrame:
+    """``block, answers``: per block and hash partition the training counts of the block's tail words, in the order of
+    ``Block.tail_words``. Each block asks for a word once, in one row a partition; ``counts`` (word, c) has the tail words."""
+    shared = blocks.sparkSession.sparkContext.broadcast(heads)
+
+    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for block in read_blocks(frames):
+            tails, parts = block.tail_words(block.classes(shared.value), len(shared.value), partitions)
+            yield pd.DataFrame({"part": [p for p, _, _ in parts], "block": block.id, "words": [block.words[tails[a:b]].tobytes() for _, a, b in parts]})
+        block = tails = parts = None
+        give_back()
+
+    def answer(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        order = np.argsort(known["word"].to_numpy())
+        words, c = known["word"].to_numpy()[order], known["c"].to_numpy()[order]
+        out = []
+        for raw in asked["words"]:
+            w = np.frombuffer(raw, "<i8")
+            at = np.minimum(np.searchsorted(words, w), max(0, len(words) - 1))
+            out.append((np.where(words[at] == w, c[at], 0) if len(words) else np.zeros(len(w), np.int64)).astype("<i8").tobytes())
+        found = pd.DataFrame({"block": asked["block"], "part": asked["part"], "counts": out})
+        order = words = c = known = asked = None
+        give_back()
+        return found
+
+    part = F.expr(f"cast(((word >> 20) & {(1 << 44) - 1}) % {partitions} as int)")  # of the unsigned hash, as in tail_words
+    asked = blocks.select("block", "words", "tails", "ids", "lengths", "train", "rows", "keys").mapInPandas(ask, "part int, block long, words binary")
+    return (asked.groupBy("part").cogroup(counts.select(part.alias("part"), "word", "c").groupBy("part"))
+            .applyInPandas(answer, "block long, part int, counts binary")
+            .groupBy("block").agg(F.collect_list(F.struct("part", "counts")).alias("answers")))
+
+
 def score(docs: DataFrame, train, states: int = STATES, rounds: int = ROUNDS, heads: int = HEADS) -> DataFrame:
     """Train on the rows that ``train`` marks and score every row:
     ``doc_id, trained, n_tokens, n_known, train_tokens, base_score, score`` (log10).
@@ -241,7 +293,7 @@ def score(docs: DataFrame, train, states: int = STATES, rounds: int = ROUNDS, he
     is one sequence; an empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
-    blocks = stored(to_blocks(docs, train), "hmm-blocks")
+    blocks = stored_blocks(docs, train)
     counts = stored(word_counts(blocks), "hmm-counts")
     total, vocabulary = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = {r["word"]: r["c"] for r in counts.where(F.col("c") * heads >= total).select("word", "c").collect()}  # at most `heads`
@@ -255,47 +307,41 @@ def score(docs: DataFrame, train, states: int = STATES, rounds: int = ROUNDS, he
     model, _ = fit(blocks, start_model(head_words, class_counts, states), class_counts, rounds)
 
     shared = spark.sparkContext.broadcast((model.arrays(), head_counts, np.log10(tail_counts + tail_words + 1)))
+    partitions = max(1, -(-int(total) // PARTITION_TOKENS))
+    told = told_counts(blocks, counts.where(F.col("c") * heads < total), head_words, partitions)
+    base = float(np.log10(total + vocabulary + 1))
 
     def texts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Per text the forward score of its classes, the log chance that its tail words' classes
-        spread over their words, and what its head words add to the base."""
+        spread over their words, and what its words add to the base."""
         arrays, head_counts, log_mass = shared.value
         model = Hmm(*arrays)
-        for block in read_blocks(frames):
-            classes = block.classes(model.heads)
-            log = Chain(model.steps, model.start).run(model.emit[classes][block.ids], block.starts, backward=False)[1]
-            is_head = classes < len(model.heads)
-            add = np.zeros(len(classes))
-            add[is_head] = np.log10(head_counts[classes[is_head]] + 1)
-            mass = np.zeros(len(classes))
-            mass[~is_head] = log_mass[classes[~is_head] - len(model.heads)]
-            n = len(block.lengths)
-            per = lambda x: np.bincount(block.text, x, n)
-            yield pd.DataFrame({"key": list(block.keys), "trained": block.train, "row": block.rows, "n_tokens": block.lengths,
-                                "known": per(is_head[block.ids].astype(float)).astype(np.int64), "logs": per(add[block.ids]),
-                                "chain": per(log) / np.log(10) - per(mass[block.ids])})
-        block = classes = log = add = mass = None
+        for rows in frames:
+            for r in rows.itertuples(index=False):
+                block = Block(r)
+                classes = block.classes(model.heads)
+                log = Chain(model.steps, model.start).run(model.emit[classes][block.ids], block.starts, backward=False)[1]
+                is_head = classes < len(model.heads)
+                own = np.zeros(len(classes))
+                own[is_head] = head_counts[classes[is_head]]
+                tails, parts = block.tail_words(classes, len(model.heads), partitions)
+                answers = {m["part"]: m["counts"] for m in r.answers} if r.answers is not None else {}
+                for p, a, b in parts:
+                    own[tails[a:b]] = np.frombuffer(answers[p], "<i8")
+                add, mass = np.log10(own + 1), np.zeros(len(classes))
+                mass[~is_head] = log_mass[classes[~is_head] - len(model.heads)]
+                n = len(block.lengths)
+                per = lambda x: np.bincount(block.text, x, n)
+                tail_logs = per(np.where(is_head, 0, add)[block.ids])
+                yield pd.DataFrame({"key": list(block.keys), "trained": block.train, "n_tokens": block.lengths,
+                                    "n_known": per((own > 0)[block.ids].astype(float)).astype(np.int64), "base_score": per(add[block.ids]) - block.lengths * base,
+                                    "score": per(log) / np.log(10) - per(mass[block.ids]) + tail_logs})
+        rows = r = block = classes = log = own = add = mass = answers = None
         give_back()
 
-    def tails(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Per text and distinct tail word its count."""
-        model = Hmm(*shared.value[0])
-        for block in read_blocks(frames):
-            is_tail = (block.classes(model.heads) >= len(model.heads))[block.ids]
-            pair, n = np.unique(block.text[is_tail] * len(block.words) + block.ids[is_tail], return_counts=True)
-            yield pd.DataFrame({"row": block.rows[pair // len(block.words)], "word": block.words.view(np.int64)[pair % len(block.words)], "n": n.astype(np.int32)})
-        block = is_tail = pair = n = None
-        give_back()
-
-    scored = blocks.mapInPandas(texts, "key string, trained boolean, row long, n_tokens long, known long, logs double, chain double")
-    known = (blocks.mapInPandas(tails, "row long, word long, n int").join(counts.where(F.col("c") * heads < total).select("word", "c"), "word")
-             .groupBy("row").agg(F.sum("n").alias("tail_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("tail_logs")))
-    base = float(np.log10(total + vocabulary + 1))
-    logs = F.coalesce("tail_logs", F.lit(0.0))
-    return scored.join(known, "row", "left").select(
-        F.col("key").cast(docs.schema["doc_id"].dataType).alias("doc_id"), "trained", "n_tokens",
-        (F.col("known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
-        (F.col("logs") + logs - F.col("n_tokens") * base).alias("base_score"), (F.col("chain") + logs).alias("score"))
+    scored = blocks.join(told, "block", "left").mapInPandas(texts, "key string, trained boolean, n_tokens long, n_known long, base_score double, score double")
+    return scored.select(F.col("key").cast(docs.schema["doc_id"].dataType).alias("doc_id"), "trained", "n_tokens", "n_known",
+                         F.lit(int(total)).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op4_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -207,6 +207,29 @@ def test_pipeline_on_odd_rows(spark):
             docs.collect()
 
 
+def test_tail_words_learn_their_counts_from_any_partition(spark, tmp_path):
+    """Each block asks once for each distinct tail word; all hash partitions answer in the order asked, with 0 for words never seen in training."""
+    rng = np.random.default_rng(3)
+    docs = [(i, " ".join(f"w{x}" for x in rng.integers(0, 400, 50))) for i in range(60)]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    blocks = hmm.stored_blocks(table, F.col("doc_id") < 40)
+    counts = hmm.word_counts(blocks)
+    true = {r["word"]: r["c"] for r in counts.collect()}
+    heads = np.sort(np.array(list(true)[:20], np.int64).view(np.uint64))
+    asked = 0
+    told = {r["block"]: {m["part"]: m["counts"] for m in r["answers"]} for r in hmm.told_counts(
+        blocks, counts.where(~F.col("word").isin([int(x) for x in heads.view(np.int64)])), heads, 7).collect()}
+    for r in blocks.collect():
+        block = hmm.Block(r)
+        tails, parts = block.tail_words(block.classes(heads), len(heads), 7)
+        assert len(parts) > 1 and len(set(tails.tolist())) == len(tails) == len(block.words) - np.isin(block.words, heads).sum()
+        for p, a, b in parts:
+            assert np.frombuffer(told[r["block"]][p], "<i8").tolist() == [true.get(w, 0) for w in block.words[tails[a:b]].view(np.int64).tolist()]
+            asked += b - a
+    assert asked < 2000  # 3060 pairs of a text and a tail word at least
+    assert all("/share=" in f for f in blocks.inputFiles())  # a round over a share reads its files alone
+
+
 def test_lm_query_sends_small_batches(spark, monkeypatch):
     """The query asks for small batches of whole texts, where the session left Spark's sizes as they are."""
     names = [f"spark.sql.execution.arrow.{x}" for x in ("maxRecordsPerBatch", "maxBytesPerBatch")]
