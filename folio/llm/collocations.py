@@ -5,8 +5,10 @@ block's distinct n-grams go, as sorted hashes with counts, to hash partitions wh
 corpus. A partition merges them into one Misra-Gries summary: counters are added, and whatever exceeds the
 capacity is paid for by lowering all counters by the largest one that has to go. A summary of capacity C
 over mass M misses each n-gram by at most M / (C + 1); with C = M // threshold that is less than the
-threshold, so every n-gram that reaches it keeps a counter. The partition answers each block with one bit
-for each hash it sent. Second pass: a block reads its bits and sends the words and counts of the
+threshold, so every n-gram that reaches it keeps a counter. Most counters belong to n-grams that do not: the
+partition adds up all counts it was sent for the hashes that have one, and keeps those whose sum reaches the
+threshold (no less than any of their n-grams' counts). It answers each block with one bit for each hash the
+block sent. Second pass: a block reads its bits and sends the words and counts of the
 surviving n-grams alone; their sums are exact, since hashes only chose them.
 
 Nothing grows with the corpus but the number of partitions and of blocks.
@@ -97,15 +99,20 @@ class Grams:
     """The distinct n-grams of a block in the order in which their hash partitions hear of them."""
 
     def __init__(self, lang: str, body: bytes, max_words: int, partitions: int):
+        import pyarrow as pa
+        import pyarrow.compute as pc
         import xxhash
         import zstandard
 
-        codes, words = pd.factorize(np.array(zstandard.ZstdDecompressor().decompress(body).split(b" "), dtype=object))
-        self.words, v = list(words), len(words)
+        raw = pa.array([zstandard.ZstdDecompressor().decompress(body)], pa.large_binary())
+        coded = pc.split_pattern(raw, b" ").values.dictionary_encode()
+        codes, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        self.words, v = words.cast(pa.large_string()), len(words)
+        is_word = pc.not_equal(words, pa.scalar(_BREAK, pa.large_binary())).to_numpy(zero_copy_only=False)
         seed = xxhash.xxh3_64_intdigest(lang.encode("utf-8"))
-        named = np.fromiter((xxhash.xxh3_64_intdigest(w, seed=seed) for w in self.words), np.uint64, v)
-        codes = codes.astype(np.int64)
-        word = np.fromiter((w != _BREAK for w in self.words), bool, v)[codes]
+        named = np.fromiter((xxhash.xxh3_64_intdigest(w, seed=seed) for w in words.to_numpy(zero_copy_only=False)), np.uint64, v)
+        word = is_word[codes]
+        del raw, coded, words
         at = np.flatnonzero(word)  # first positions of the n-grams of one size
         found, self.columns, hashes, counts, sizes = codes[at], [], [], [], []
         spans, names = np.zeros((v, 0), np.int64), np.zeros(0, np.uint64)
@@ -115,7 +122,13 @@ class Grams:
                 at, found = at[more], found[more]
                 whole = word[at + n - 1]
                 at, found = at[whole], found[whole] * v + codes[at[whole] + n - 1]
-            keys, found, count = np.unique(found, return_inverse=True, return_counts=True)
+            if n == 1:  # words have numbers already
+                keys, count = np.flatnonzero(is_word), np.bincount(found, minlength=v)[is_word]
+                found = (np.cumsum(is_word) - 1)[found]
+            elif n < max_words:
+                keys, found, count = np.unique(found, return_inverse=True, return_counts=True)
+            else:
+                keys, count = np.unique(found, return_counts=True)
             last = keys % v if n > 1 else keys
             spans = np.column_stack([spans[keys // v], last]) if n > 1 else last[:, None]
             names = (names[keys // v] if n > 1 else np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15) + named[last]
@@ -124,27 +137,31 @@ class Grams:
             hashes.append(names * np.uint64(0xBF58476D1CE4E5B9))
             counts.append(count)
             sizes.append(np.full(len(keys), n, np.int16))
-        del codes, word, at, found, keys, last, spans, names, count
+        del codes, word, at, found, keys, last, spans, names, count, is_word, named
         h = np.concatenate(hashes)
         del hashes
         h ^= h >> np.uint64(29)
         place = (((h >> np.uint64(40)) % np.uint64(partitions)) << np.uint64(32)) | (h & np.uint64(0xFFFFFFFF))
         del h
-        order = np.argsort(place, kind="stable")
+        order = np.argsort(place)  # n-grams of one hash may lie in any order: their bits are equal
         self.place, self.counts, self.sizes = place[order], np.concatenate(counts)[order], np.concatenate(sizes)[order]
         self.own = np.concatenate([np.arange(len(c), dtype=np.int32) for c in self.columns])[order]
         edges = np.searchsorted(self.place, np.arange(partitions + 1, dtype=np.uint64) << np.uint64(32))
         self.parts = [(p, int(edges[p]), int(edges[p + 1])) for p in np.flatnonzero(np.diff(edges)).tolist()]
 
-    def phrases(self, chosen: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    def phrases(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Words, size and count of the n-grams at ``chosen`` (places in the order)."""
-        text, out, sizes, counts = [w.decode("utf-8") for w in self.words], [], [], []
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        out, sizes, counts, space = [], [], [], pa.scalar(" ", pa.large_string())
         for n, spans in enumerate(self.columns, 1):
             mine = chosen[self.sizes[chosen] == n]
-            out += [" ".join([text[i] for i in row]) for row in spans[self.own[mine]].tolist()]
+            rows = spans[self.own[mine]]
+            out.append(pc.binary_join_element_wise(*(self.words.take(rows[:, i]) for i in range(n)), space).to_numpy(zero_copy_only=False))
             sizes.append(np.full(len(mine), n))
             counts.append(self.counts[mine])
-        return out, np.concatenate(sizes), np.concatenate(counts)
+        return np.concatenate(out), np.concatenate(sizes), np.concatenate(counts)
 
 
 def press_counts(keys: np.ndarray, counts: np.ndarray) -> bytes:
@@ -187,8 +204,27 @@ def summary(pressed, capacity: int, at_once: int = MERGED) -> np.ndarray:
     return merge([held, *waiting], capacity)[0]
 
 
+def found_at(kept: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the sorted ``keys`` are among the sorted ``kept``, and the places of those there."""
+    if not len(kept):
+        return np.zeros(len(keys), bool), np.zeros(0, np.int64)
+    at = np.minimum(np.searchsorted(kept, keys), len(kept) - 1)
+    found = kept[at] == keys
+    return found, at[found]
+
+
+def reaching(pressed, kept: np.ndarray, least: int) -> np.ndarray:
+    """Those of the sorted keys ``kept`` whose counts in ``pressed`` add up to ``least``."""
+    sums = np.zeros(len(kept), np.int64)
+    for raw in pressed:
+        keys, counts = unpress_counts(raw)
+        found, at = found_at(kept, keys)
+        np.add.at(sums, at, counts[found])  # a block may send a key twice, for n-grams of one hash
+    return kept[sums >= least]
+
+
 def survivors(blocks: DataFrame, max_words: int, least: int, partitions: int) -> DataFrame:
-    """``block, masks``: per block and hash partition, which of the block's n-grams the summaries kept."""
+    """``block, masks``: per block and hash partition, which of the block's n-grams have hashes that occur ``least`` times."""
     def tell(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in frames:
             for r in rows.itertuples(index=False):
@@ -201,13 +237,9 @@ def survivors(blocks: DataFrame, max_words: int, least: int, partitions: int) ->
         give_back()
 
     def answer(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        kept = summary(rows["counts"], int(rows["mass"].sum()) // least)
-        bits = []
-        for raw in rows["counts"]:
-            keys = unpress_counts(raw)[0]
-            at = np.minimum(np.searchsorted(kept, keys), max(0, len(kept) - 1))
-            bits.append(np.packbits(kept[at] == keys).tobytes() if len(kept) else b"")
-        kept = keys = at = None
+        kept = reaching(rows["counts"], summary(rows["counts"], int(rows["mass"].sum()) // least), least)
+        bits = [np.packbits(found_at(kept, unpress_counts(raw)[0])[0]).tobytes() if len(kept) else b"" for raw in rows["counts"]]
+        kept = None
         give_back()
         return pd.DataFrame({"block": rows["block"], "part": key[0], "mask": bits})
 

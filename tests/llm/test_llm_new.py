@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import zstandard
 from conftest import SF0001
 from odd import ROWS, no_documents, odd_documents
 
@@ -107,6 +108,35 @@ def test_merged_summaries_keep_every_frequent_key(seed):
     assert all(true[k] - least < c <= true[k] for k, c in zip(keys.tolist(), counts.tolist()))
 
 
+def test_words_are_sent_for_frequent_ngrams_alone(spark):
+    """Much mass on few words leaves counters to rare n-grams as well; the second pass must not hear of those."""
+    rows = [("en", "hot " * 200 + f"rare{i} word{i // 4} word{i // 4}") for i in range(40)] + [("de", f"hot hot rare{i}") for i in range(9)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    blocks = collocations.stored(collocations.to_blocks(docs, 3000), "test-blocks")
+    here, total = [], Counter()
+    for r in blocks.collect():
+        count = Counter()
+        for piece in zstandard.ZstdDecompressor().decompress(r.body).decode().split(" . "):
+            w = piece.split(" ")
+            count.update((r.lang, *w[i:i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1))
+        here.append(count)
+        total.update(count)
+    frequent = {g for g, f in total.items() if f >= 8}
+    answers = collocations.survivors(blocks, 3, 8, 2).collect()
+    told = sum(int(np.unpackbits(np.frombuffer(m.mask, np.uint8)).sum()) for r in answers for m in r.masks)
+    assert len(here) > 5 and 0 < len(frequent) < len(total)
+    assert told == sum(len(frequent & set(count)) for count in here)
+
+
+def test_sums_of_kept_keys_hear_every_count():
+    """A key may come twice from one block (two n-grams of one hash) and from many blocks; keys without a counter are not looked at."""
+    pieces = [collocations.press_counts(np.array(k, np.uint32), np.array(c)) for k, c in (([1, 5, 5, 9], [2, 3, 4, 9]), ([5, 7], [1, 7]), ([], []), ([1, 2**32 - 1], [5, 8]))]
+    kept = np.array([1, 5, 7, 2**32 - 1], np.uint32)
+    assert collocations.reaching(pieces, kept, 8).tolist() == [5, 2**32 - 1]
+    assert collocations.reaching(pieces, kept, 7).tolist() == [1, 5, 7, 2**32 - 1]
+    assert collocations.reaching(pieces, kept[:0], 1).tolist() == []
+
+
 def test_long_text_is_cut_between_pieces():
     body = collocations.normal("a b. c d; e f\ng " * 50)
     parts = list(collocations.parts_of(body, 30))
